@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The analyses this library reproduces are batch jobs over files; none reads a
+stream, keeps state across batches or uses event-time windows, so no
+streaming operator is provided.
+"""
