@@ -13,36 +13,51 @@ from pyspark.sql import functions as F
 
 # A lookup above this many rows is not broadcast.  Lookups are projected to
 # their key and one or two short attributes first, so this bounds the
-# broadcast to a few MB per executor.
+# broadcast to a few MB per executor.  Session setting to override it:
+MAX_ROWS_CONF = "farebox.broadcast.maxRows"
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+def max_broadcast_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
+
+
+# Verdicts of earlier checks in this process, keyed by application, the
+# relation's semantic plan hash, its input files and the bound.  Spark writes
+# new file names on every (over)write, so a changed input gives a new key.
+_VERDICTS: dict[tuple, bool] = {}
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded scan, never a full count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    if max_rows is None:
+        max_rows = max_broadcast_rows(df)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    if key not in _VERDICTS:
+        _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _VERDICTS[key]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Column | str | list[str], how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                small: bool | None = None) -> DataFrame:
+                max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Fact-dimension equi join; the fact side is never broadcast.
 
     ``small`` skips the size check when the caller already ran it.
     """
     if small is None:
-        small = fits_broadcast(lookup, max_broadcast_rows)
+        small = fits_broadcast(lookup, max_rows)
     side = F.broadcast(lookup) if small else lookup
     return fact.join(side, on, how)
 
 
 def role_playing_join(fact: DataFrame, lookup: DataFrame, lookup_key: str,
                       roles: list[tuple[str, str]], extra: Column | None = None,
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Join one lookup several times under role names.
 
     ``roles`` = [(fact key column, role alias), ...]; the lookup's columns are
@@ -50,7 +65,8 @@ def role_playing_join(fact: DataFrame, lookup: DataFrame, lookup_key: str,
     join condition, so a cross-role equality (``pu.Borough == dz.Borough``)
     becomes a second equi key and an inequality a residual of that join.
     """
-    small = fits_broadcast(lookup, max_broadcast_rows)
+    if small is None:
+        small = fits_broadcast(lookup, max_rows)
     out = fact
     for i, (fact_key, alias) in enumerate(roles):
         cond = F.col(fact_key) == F.col(f"{alias}.{lookup_key}")

@@ -1,12 +1,18 @@
-"""Q3, Q5, Q6: trip aggregates by zone attributes.
-
-All three aggregate *before* the zone lookup (eager aggregation): the trips
-are reduced per task to one row per (pickup id[, drop-off id]) by a partial
-hash aggregate, only those partials cross the shuffle, and the lookup joins
-the already-aggregated rows.  The fact table is never joined row by row,
-never shuffled whole and never broadcast; a hot zone costs one partial row
-per task.  Row-level lookup joins are in ``farebox.operators.joins`` for
-callers that need the joined rows themselves.
+"""Q3, Q5, Q6 (trip aggregates by zone attributes) and Q4 (night trips).
+
+Two plan shapes, chosen by the size check of the zone lookup:
+
+* lookup proven small -> it is broadcast and every trip probes it map-side;
+  the aggregate then combines per task (partial HashAggregate), so only
+  per-task partials are shuffled.  One shuffle, no fact movement.
+* lookup too big to broadcast -> the trips are aggregated first per
+  (pickup id[, drop-off id]) (eager aggregation: partial aggregate, shuffle of
+  partials only), and the lookup joins those aggregated rows -- a shuffle
+  join of two relations whose size is bounded by the number of zone ids, not
+  by the number of trips.
+
+Either way the fact table is never shuffled whole and never broadcast, and a
+hot zone costs one partial row per task.
 """
 
 from __future__ import annotations
@@ -14,27 +20,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.functions.temporal import hour_in_wrapped_range
 from farebox.operators.aggregates import count_by, sum_by
-from farebox.operators.joins import lookup_join, role_playing_join
+from farebox.operators.joins import fits_broadcast, lookup_join, role_playing_join
 from farebox.operators.ordering import top_k
 from farebox.schemas import MONEY_TOTALS
 
+ROLES = [("PULocationID", "pu"), ("DOLocationID", "dz")]
+
 
 def pair_counts(trips: DataFrame) -> DataFrame:
     """Trips per (PULocationID, DOLocationID); null ids kept as their own pairs."""
     return count_by(trips, ["PULocationID", "DOLocationID"], "n")
 
 
-def _pair_roles(pairs: DataFrame, zones: DataFrame, columns: list[str], extra=None) -> DataFrame:
-    return role_playing_join(pairs, zones.select("LocationID", *columns), "LocationID",
-                             [("PULocationID", "pu"), ("DOLocationID", "dz")], extra=extra)
+def _trips_by_pair_roles(trips: DataFrame, zones: DataFrame, columns: list[str], extra=None):
+    """Trips (or pre-aggregated pairs) joined to the zone lookup as pickup
+    ``pu`` and drop-off ``dz``; returns (joined frame, trip-count column)."""
+    lookup = zones.select("LocationID", *columns)
+    small = fits_broadcast(lookup)
+    if small:
+        rows = role_playing_join(trips, lookup, "LocationID", ROLES, extra=extra, small=True)
+        return rows, F.count(F.lit(1))
+    rows = role_playing_join(pair_counts(trips), lookup, "LocationID", ROLES, extra=extra, small=False)
+    return rows, F.sum("n")
 
 
 def same_borough(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Q3: trips that start and end in the same borough, per borough, most first."""
-    joined = _pair_roles(pair_counts(trips), zones, ["Borough"], extra=F.col("pu.Borough") == F.col("dz.Borough"))
-    return (joined.groupBy(F.col("pu.Borough").alias("Borough"))
-            .agg(F.sum("n").alias("TotalTrips"))
+    rows, trips_n = _trips_by_pair_roles(trips, zones, ["Borough"], extra=F.col("pu.Borough") == F.col("dz.Borough"))
+    return (rows.groupBy(F.col("pu.Borough").alias("Borough"))
+            .agg(trips_n.alias("TotalTrips"))
             .orderBy(F.col("TotalTrips").desc()))
 
 
@@ -42,26 +58,38 @@ def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame
     """Q5: the ``k`` most frequent ordered pairs of different zones.
 
     Ties on the count are broken by (Pickup_Zone, Dropoff_Zone) so row k is
-    stable.
+    stable.  ``orderBy + limit`` runs as a per-task top-k plus a k-row merge.
     """
-    joined = _pair_roles(pair_counts(trips), zones, ["Zone"], extra=F.col("pu.Zone") != F.col("dz.Zone"))
-    counted = (joined.groupBy(F.col("pu.Zone").alias("Pickup_Zone"), F.col("dz.Zone").alias("Dropoff_Zone"))
-               .agg(F.sum("n").alias("Total_Trips")))
+    rows, trips_n = _trips_by_pair_roles(trips, zones, ["Zone"], extra=F.col("pu.Zone") != F.col("dz.Zone"))
+    counted = (rows.groupBy(F.col("pu.Zone").alias("Pickup_Zone"), F.col("dz.Zone").alias("Dropoff_Zone"))
+               .agg(trips_n.alias("Total_Trips")))
     return top_k(counted, k, [F.col("Total_Trips").desc(), F.col("Pickup_Zone").asc(), F.col("Dropoff_Zone").asc()])
 
 
 def revenue_by_borough(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Q6: eight money totals per pickup borough, largest revenue first."""
-    per_zone = sum_by(trips, "PULocationID", [(c, c) for c, _ in MONEY_TOTALS])
-    joined = lookup_join(per_zone, zones.select("LocationID", "Borough"),
-                         F.col("PULocationID") == F.col("LocationID"))
-    return (sum_by(joined, "Borough", MONEY_TOTALS)
-            .orderBy(F.col("Total_Revenue").desc()))
+    lookup = zones.select("LocationID", "Borough")
+    small = fits_broadcast(lookup)
+    if small:
+        rows = trips
+    else:
+        rows = sum_by(trips, "PULocationID", [(c, c) for c, _ in MONEY_TOTALS])
+    joined = lookup_join(rows, lookup, F.col("PULocationID") == F.col("LocationID"), small=small)
+    return sum_by(joined, "Borough", MONEY_TOTALS).orderBy(F.col("Total_Revenue").desc())
 
 
-# SQL forms of Q3 and Q5 (same eager-aggregation plan; ``dz`` because ``do``
-# is a keyword in other SQL dialects).
+# SQL forms of Q3 (``dz`` because ``do`` is a keyword in other dialects).
 SAME_BOROUGH_SQL = """
+SELECT pu.Borough, COUNT(*) AS TotalTrips
+FROM {trips} t
+JOIN {zones} pu ON t.PULocationID = pu.LocationID
+JOIN {zones} dz ON t.DOLocationID = dz.LocationID
+WHERE pu.Borough = dz.Borough
+GROUP BY pu.Borough
+ORDER BY TotalTrips DESC
+"""
+
+SAME_BOROUGH_PREAGG_SQL = """
 WITH pairs AS (
     SELECT PULocationID, DOLocationID, COUNT(*) AS n
     FROM {trips}
@@ -86,7 +114,11 @@ ORDER BY NightTrips DESC
 
 
 def same_borough_sql(spark: SparkSession, trips: DataFrame, zones: DataFrame) -> DataFrame:
-    return spark.sql(SAME_BOROUGH_SQL, trips=trips, zones=zones)
+    """Q3 in SQL; the lookup enters the SQL with a broadcast hint only after its size check."""
+    lookup = zones.select("LocationID", "Borough")
+    if fits_broadcast(lookup):
+        return spark.sql(SAME_BOROUGH_SQL, trips=trips, zones=F.broadcast(lookup))
+    return spark.sql(SAME_BOROUGH_PREAGG_SQL, trips=trips, zones=lookup)
 
 
 def night_trips_sql(spark: SparkSession, trips: DataFrame) -> DataFrame:
@@ -96,7 +128,5 @@ def night_trips_sql(spark: SparkSession, trips: DataFrame) -> DataFrame:
 
 def night_trips(trips: DataFrame) -> DataFrame:
     """Q4 in the DataFrame API."""
-    from farebox.functions.temporal import hour_in_wrapped_range
-
     return (count_by(trips.where(hour_in_wrapped_range("tpep_pickup_datetime", 23, 7)), "VendorID", "NightTrips")
             .orderBy(F.col("NightTrips").desc()))

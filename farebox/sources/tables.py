@@ -91,7 +91,9 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     ).select("o_orderkey", "c_nationkey")
     items = lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                             "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    with_cust = items.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Both sides grow with the data: always a shuffle (sort-merge) join, never
+    # a broadcast picked from a low file-size estimate of the line items.
+    with_cust = items.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     with_supp = lookup_join(with_cust, supplier.select("s_suppkey", "s_nationkey"),
                             F.col("l_suppkey") == F.col("s_suppkey"))
     return with_supp.select(
