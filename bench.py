@@ -46,6 +46,8 @@ def main() -> None:
     from farebox.sources.csv import read_csv_inferred
 
     timings: dict[str, float] = {}
+    # JVM start-up and first-job class loading are not part of any step.
+    spark.range(1000).selectExpr("sum(id)").collect()
 
     t0 = time.perf_counter()
     geo_path = write_parquet(tables.geo_trips(spark, sf_dir), scratch_path(spark, "geo_trips"))

@@ -21,7 +21,7 @@ from farebox.operators import argmax, joins, ordering
 from farebox.plans import q1, q2
 from farebox.plans import zones as zq
 from farebox.schemas import FIELD, MONEY_TOTALS, TRIP_SCHEMA
-from farebox.session import scratch_path
+from farebox.session import checkpoint_root, scratch_path
 from farebox.sinks import writers
 from farebox.sinks.etl import csv_to_parquet
 from farebox.sources import csv as csv_src
@@ -466,6 +466,7 @@ SHUFFLE_PARTITION_SETTINGS = (8, 32, 64, 128)
 def q6_partitions_invariant(spark, sf):
     """Q6 run once per shuffle-partition setting; each run is materialised
     (reliable checkpoint in the shared folder) while its setting is active."""
+    checkpoint_root(spark)  # checkpoints go to the session's shared folder
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     runs = []

@@ -18,15 +18,14 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, setting one only if unset."""
-    root = spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
         # Local runs only: nothing configured, so take a private folder.
-        root = tempfile.mkdtemp(prefix="farebox-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="farebox-ckpt-"))
+        root = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)  # DataFrame.checkpoint() writes there too
     return root.rstrip("/")
 
 
