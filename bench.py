@@ -13,7 +13,9 @@ Prints one JSON line.  Steps:
 * ``q6_from_tables`` -- Q6 straight from the driver tables (the view joins
   line items, orders, customers and suppliers).
 
-``value`` is the sum of the medians plus the one-off ``prepare``.
+``value`` is the sum of the Q1-Q6 medians (``q1``, ``q2``, ``q2_sql``, ``q3``,
+``q4``, ``q5``, ``q6``); ``prepare`` and the CSV / raw-table variants are
+reported next to it in ``queries``.
 """
 
 from __future__ import annotations
@@ -85,9 +87,11 @@ def main() -> None:
         timings[name] = statistics.median(samples)
 
     spark.stop()
+    headline = ["q1", "q2", "q2_sql", "q3", "q4", "q5", "q6"]
     print(json.dumps({
-        "metric": "total_seconds",
-        "value": round(sum(timings.values()), 3),
+        "metric": "headline_query_seconds",
+        "value": round(sum(timings[k] for k in headline), 3),
+        "total_with_prepare_and_variants": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in timings.items()},
         "rows": rows,
