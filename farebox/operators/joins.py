@@ -1,40 +1,77 @@
 """Joins of a fact relation with small lookup relations.
 
-Only a relation whose row count is *proven* small is broadcast: the check is a
-bounded count (``limit(n + 1).count()`` scans at most n + 1 rows per task and
-stops).  Above the bound the join is left to the planner -- a shuffle join
-that AQE can still turn into a broadcast or split for skew at run time.
+Only a relation whose size is *measured* small is broadcast.  The check is
+one bounded scan, ``limit(max_rows + 1)``, that counts the rows it sees and
+sums their bytes (fixed-width sizes plus the actual byte length of every
+string); the lookup is broadcast when it has at most ``max_rows`` rows and
+at most ``max_bytes`` bytes.  Above either bound the join is left to the
+planner -- a shuffle join that AQE can still turn into a broadcast or split
+for skew at run time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup above this many rows is not broadcast.  Lookups are projected to
-# their key and one or two short attributes first, so this bounds the
-# broadcast to a few MB per executor.  Session setting to override it:
+# Session settings that override the bounds below.
 MAX_ROWS_CONF = "farebox.broadcast.maxRows"
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
+MAX_BYTES_CONF = "farebox.broadcast.maxBytes"
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+    T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
+}
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
 
 
+def max_broadcast_bytes(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
+
+
+def _row_bytes(df: DataFrame) -> Column | None:
+    """Bytes of one row as a row-wise expression; None for nested types."""
+    total: Column = F.lit(8)  # row header / null bits
+    for field in df.schema.fields:
+        width = _FIXED_WIDTH.get(type(field.dataType))
+        if width is not None:
+            total = total + F.lit(width + 8)  # value slot
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.lit(8) + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        else:
+            return None
+    return total
+
+
 # Verdicts of earlier checks in this process, keyed by application, the
-# relation's semantic plan hash, its input files and the bound.  Spark writes
-# new file names on every (over)write, so a changed input gives a new key.
+# relation's semantic plan hash, its input files and the bounds.  Spark
+# writes new file names on every (over)write, so a changed input gives a new key.
 _VERDICTS: dict[tuple, bool] = {}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded scan, never a full count)."""
-    if max_rows is None:
-        max_rows = max_broadcast_rows(df)
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    A bounded scan (never a full count of a large relation).
+    """
+    max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
+    max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())),
+           max_rows, max_bytes)
     if key not in _VERDICTS:
-        _VERDICTS[key] = df.limit(max_rows + 1).count() <= max_rows
+        width = _row_bytes(df)
+        if width is None:
+            _VERDICTS[key] = False
+        else:
+            seen = df.limit(max_rows + 1).select(width.alias("_b")).agg(
+                F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes")).first()
+            _VERDICTS[key] = seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
     return _VERDICTS[key]
 
 
