@@ -40,11 +40,27 @@ def to_double(text: Column) -> Column:
 
 
 def to_timestamp(text: Column, pattern: str = TRIP_TS_PATTERN) -> Column:
-    """Timestamp in the given layout or null."""
+    """Session-zone timestamp in the given layout or null."""
     return F.try_to_timestamp(text, F.lit(pattern))
 
 
-PARSERS = {"int": to_int, "double": to_double, "timestamp": to_timestamp}
+# ``yyyy-MM-dd HH:mm:ss`` with two-digit fields and seconds below 60.
+_WALL_CLOCK_TEXT = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):([0-5]\d)$"
+
+
+def to_wall_clock(text: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` as a zone-free TIMESTAMP_NTZ, or null.
+
+    No time zone is involved, so hour() is the written hour and differences
+    are wall-clock differences in every session zone (no DST shifts); an
+    impossible date such as Feb 30 gives null.
+    """
+    part = [F.regexp_extract(text, _WALL_CLOCK_TEXT, i).cast("int") for i in range(1, 7)]
+    ts = F.try_make_timestamp_ntz(part[0], part[1], part[2], part[3], part[4], part[5].cast("decimal(8,6)"))
+    return F.when(text.rlike(_WALL_CLOCK_TEXT), ts)
+
+
+PARSERS = {"int": to_int, "double": to_double, "timestamp": to_wall_clock}
 
 
 def parse_fields(line: str | Column, spec: list[tuple[int, str, str]]) -> list[Column]:

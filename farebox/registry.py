@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from farebox.functions.format import csv_record, hourly_line
 from farebox.functions.geo import haversine_km_asin, haversine_km_atan2, nonzero_points
-from farebox.functions.parse import fields, to_double, to_int, to_timestamp
+from farebox.functions.parse import fields, to_double, to_int, to_wall_clock
 from farebox.functions.temporal import hour_in_wrapped_range, hour_of, minutes_between, pickup_before_dropoff
 from farebox.functions.udfs import hour_udf
 from farebox.operators import aggregates as agg
@@ -227,7 +227,7 @@ def fn_parse(spark, sf):
     lines = text.strip_header(_geo_lines(spark, sf))
     return lines.select(
         to_int(F.get(parts, FIELD["VendorID"])).alias("VendorID"),
-        F.date_format(to_timestamp(F.get(parts, FIELD["tpep_pickup_datetime"])), TS_SEC).alias("pickup"),
+        F.date_format(to_wall_clock(F.get(parts, FIELD["tpep_pickup_datetime"])), TS_SEC).alias("pickup"),
         to_double(F.get(parts, FIELD["pickup_latitude"])).alias("pickup_latitude"),
         to_double(F.get(parts, FIELD["pickup_longitude"])).alias("pickup_longitude"))
 
