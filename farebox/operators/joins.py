@@ -4,9 +4,8 @@ Only a relation whose size is *measured* small is broadcast.  The check is
 one bounded scan, ``limit(max_rows + 1)``, that counts the rows it sees and
 sums their bytes (fixed-width sizes plus the actual byte length of every
 string); the lookup is broadcast when it has at most ``max_rows`` rows and
-at most ``max_bytes`` bytes.  Above either bound the join is left to the
-planner -- a shuffle join that AQE can still turn into a broadcast or split
-for skew at run time.
+at most ``max_bytes`` bytes.  Above either bound the join is a sort-merge
+join (shuffle both sides; spills; AQE splits skewed partitions).
 """
 
 from __future__ import annotations
@@ -88,8 +87,14 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on: Column | str | list[str]
     """
     if small is None:
         small = fits_broadcast(lookup, max_rows)
-    side = F.broadcast(lookup) if small else lookup
-    return fact.join(side, on, how)
+    return fact.join(lookup_side(lookup, small), on, how)
+
+
+def lookup_side(lookup: DataFrame, small: bool) -> DataFrame:
+    """The lookup with its join strategy: broadcast when proven small, else
+    sort-merge -- so the planner cannot broadcast it from a file-size estimate
+    (compressed Parquet sizes understate rows in memory)."""
+    return F.broadcast(lookup) if small else lookup.hint("merge")
 
 
 def role_playing_join(fact: DataFrame, lookup: DataFrame, lookup_key: str,

@@ -7,7 +7,7 @@ Two plan shapes, chosen by the size check of the zone lookup:
   per-task partials are shuffled.  One shuffle, no fact movement.
 * lookup too big to broadcast -> the trips are aggregated first per
   (pickup id[, drop-off id]) (eager aggregation: partial aggregate, shuffle of
-  partials only), and the lookup joins those aggregated rows -- a shuffle
+  partials only), and the lookup joins those aggregated rows -- a sort-merge
   join of two relations whose size is bounded by the number of zone ids, not
   by the number of trips.
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from farebox.functions.temporal import hour_in_wrapped_range
 from farebox.operators.aggregates import count_by, sum_by
-from farebox.operators.joins import fits_broadcast, lookup_join, role_playing_join
+from farebox.operators.joins import fits_broadcast, lookup_join, lookup_side, role_playing_join
 from farebox.operators.ordering import top_k
 from farebox.schemas import MONEY_TOTALS
 
@@ -118,7 +118,7 @@ def same_borough_sql(spark: SparkSession, trips: DataFrame, zones: DataFrame) ->
     lookup = zones.select("LocationID", "Borough")
     if fits_broadcast(lookup):
         return spark.sql(SAME_BOROUGH_SQL, trips=trips, zones=F.broadcast(lookup))
-    return spark.sql(SAME_BOROUGH_PREAGG_SQL, trips=trips, zones=lookup)
+    return spark.sql(SAME_BOROUGH_PREAGG_SQL, trips=trips, zones=lookup_side(lookup, False))
 
 
 def night_trips_sql(spark: SparkSession, trips: DataFrame) -> DataFrame:

@@ -33,5 +33,7 @@ def test_lookup_join_same_rows_either_way(spark):
     cond = F.col("PULocationID") == F.col("LocationID")
     hinted = joins.lookup_join(loc, zones, cond)
     assert "BroadcastHashJoin" in explain_text(hinted, "simple")
-    unhinted = joins.lookup_join(loc, zones, cond, max_rows=10)  # check fails: planner decides
+    unhinted = joins.lookup_join(loc, zones, cond, max_rows=10)  # check fails: sort-merge join
+    plan = explain_text(unhinted, "simple")
+    assert "SortMergeJoin [PULocationID" in plan and "BroadcastHashJoin [PULocationID" not in plan
     assert hinted.count() == unhinted.count() > 0
