@@ -276,6 +276,11 @@ GROUP BY z.Borough ORDER BY Total_Revenue DESC, Borough LIMIT 5""", "loc", "zone
     "q1_hourly_avg": Q1,
     "q1_udf": Q1,
     "q1_text": Q1,
+    "q1_hourly_avg_csv": Q1,
+    "q1_udf_csv": Q1,
+    "q2_window_csv": Q2_WINDOW,
+    "q2_sql_csv": Q2_SQL,
+    "q6_revenue_csv": Q6,
     "q2_window": Q2_WINDOW,
     "q2_sql": Q2_SQL,
     "q2_text": Q2_TEXT,

@@ -84,6 +84,10 @@ def _loc_csv(spark, sf) -> tuple[DataFrame, DataFrame]:
     return trips, zones
 
 
+def _geo_csv_fixed(spark, sf) -> DataFrame:
+    return csv_src.read_csv_with_schema(spark, rawfiles.write_geo_csv(spark, sf), TRIP_SCHEMA)
+
+
 def _geo_text_rows(spark, sf) -> DataFrame:
     parsed = text.parse_lines(text.strip_header(_geo_lines(spark, sf)), q2.TEXT_SPEC)
     return parsed.select(
@@ -399,16 +403,38 @@ def q1_text(spark, sf):
     return _r_q1(q1.hourly_avg_text(_geo_lines(spark, sf)))
 
 
+@register("q1_hourly_avg_csv")
+def q1_hourly_avg_csv(spark, sf):
+    """Q1 from the raw trip CSV read with the fixed positional schema."""
+    return _r_q1(q1.hourly_avg(_geo_csv_fixed(spark, sf)))
+
+
+@register("q1_udf_csv")
+def q1_udf_csv(spark, sf):
+    return _r_q1(q1.hourly_avg_udf(_geo_csv_fixed(spark, sf)))
+
+
 @register("q2_window")
 def q2_window(spark, sf):
     return _r_q2(q2.longest_window(_geo(spark, sf)))
 
 
+@register("q2_window_csv")
+def q2_window_csv(spark, sf):
+    return _r_q2(q2.longest_window(_geo_csv_fixed(spark, sf)))
+
+
 @register("q2_sql")
 def q2_sql(spark, sf):
     return q2.longest_sql(spark, _geo(spark, sf))
 
 
+@register("q2_sql_csv")
+def q2_sql_csv(spark, sf):
+    """Q2 SQL over the raw trip CSV with an inferred schema."""
+    return q2.longest_sql(spark, csv_src.read_csv_inferred(spark, rawfiles.write_geo_csv(spark, sf)))
+
+
 @register("q2_text")
 def q2_text(spark, sf):
     return _r_q2(q2.longest_text(_geo_lines(spark, sf)))
@@ -459,6 +485,12 @@ def q6_revenue(spark, sf):
     return _r_money(zq.revenue_by_borough(_loc(spark, sf), _zones(spark, sf)))
 
 
+@register("q6_revenue_csv")
+def q6_revenue_csv(spark, sf):
+    """Q6 over trip and zone CSV files with inferred schemas."""
+    return _r_money(zq.revenue_by_borough(*_loc_csv(spark, sf)))
+
+
 SHUFFLE_PARTITION_SETTINGS = (8, 32, 64, 128)
 
 
