@@ -9,7 +9,9 @@ Prints one JSON line.  Steps:
   around a full action (collect of the small result), median of 3 runs
   after one warm-up.
 * ``q3_csv`` / ``q4_csv`` -- the same queries reading CSV with inferred
-  schemas (inference scan included).
+  schemas (inference scan included); ``q1_text`` / ``q2_text`` -- from raw
+  text lines (header removal + lenient parsing).
+* ``etl`` -- the CSV -> Parquet conversion job over the three raw files.
 * ``q6_from_tables`` -- Q6 straight from the driver tables (the view joins
   line items, orders, customers and suppliers).
 
@@ -45,7 +47,9 @@ def main() -> None:
     from farebox.plans import zones as zq
     from farebox.sinks.writers import write_parquet
     from farebox.sources import rawfiles, tables
+    from farebox.sinks.etl import csv_to_parquet
     from farebox.sources.csv import read_csv_inferred
+    from farebox.sources.text import read_lines
 
     timings: dict[str, float] = {}
     # JVM start-up and first-job class loading are not part of any step.
@@ -75,6 +79,10 @@ def main() -> None:
         "q3_csv": lambda: zq.same_borough(read_csv_inferred(spark, loc_csv), read_csv_inferred(spark, zones_csv)),
         "q4_csv": lambda: zq.night_trips_sql(spark, read_csv_inferred(spark, geo_csv)),
         "q6_from_tables": lambda: zq.revenue_by_borough(tables.loc_trips(spark, sf_dir), tables.zones(spark, sf_dir)),
+        "q1_text": lambda: q1.hourly_avg_text(read_lines(spark, geo_csv)),
+        "q2_text": lambda: q2.longest_text(read_lines(spark, geo_csv)),
+        "etl": lambda: csv_to_parquet(spark, [(name, src, scratch_path(spark, name + "_pq")) for name, src in
+                                              (("geo", geo_csv), ("loc", loc_csv), ("zones", zones_csv))]),
     }
     rows = {}
     for name, build in cases.items():

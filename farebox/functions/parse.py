@@ -45,7 +45,7 @@ def to_timestamp(text: Column, pattern: str = TRIP_TS_PATTERN) -> Column:
 
 
 # ``yyyy-MM-dd HH:mm:ss`` with two-digit fields and seconds below 60.
-_WALL_CLOCK_TEXT = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):([0-5]\d)$"
+_WALL_CLOCK_TEXT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:[0-5]\d$"
 
 
 def to_wall_clock(text: Column) -> Column:
@@ -55,15 +55,8 @@ def to_wall_clock(text: Column) -> Column:
     are wall-clock differences in every session zone (no DST shifts); an
     impossible date such as Feb 30 gives null.
     """
-    part = [F.regexp_extract(text, _WALL_CLOCK_TEXT, i).cast("int") for i in range(1, 7)]
-    ts = F.try_make_timestamp_ntz(part[0], part[1], part[2], part[3], part[4], part[5].cast("decimal(8,6)"))
-    return F.when(text.rlike(_WALL_CLOCK_TEXT), ts)
+    # The pattern pins the layout; the cast then only rejects impossible dates.
+    return F.when(text.rlike(_WALL_CLOCK_TEXT), text.try_cast("timestamp_ntz"))
 
 
 PARSERS = {"int": to_int, "double": to_double, "timestamp": to_wall_clock}
-
-
-def parse_fields(line: str | Column, spec: list[tuple[int, str, str]]) -> list[Column]:
-    """Columns for ``spec`` = [(field index, output name, 'int'|'double'|'timestamp'), ...]."""
-    arr = fields(line)
-    return [PARSERS[kind](field(arr, idx)).alias(name) for idx, name, kind in spec]
