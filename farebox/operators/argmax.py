@@ -33,14 +33,20 @@ def argmax_max_by(df: DataFrame, keys, value: str, payload: list[str]) -> DataFr
     any tied row, as a pairwise reduce would).
     """
     aggs = [F.max(value).alias(value)] + [F.max_by(p, value).alias(p) for p in payload]
-    return df.where(F.col(value).isNotNull()).groupBy(*_keys(keys)).agg(*aggs)
+    # Null values are skipped by both aggregates; a key with no value at all is
+    # dropped after the aggregate (a filter before it would be pushed below the
+    # projection and compute ``value`` twice per row).
+    return df.groupBy(*_keys(keys)).agg(*aggs).where(F.col(value).isNotNull())
 
 
 def argmax_ties(df: DataFrame, keys, value: str, columns: list[str]) -> DataFrame:
     """All rows whose ``value`` equals the per-key maximum; null keys dropped."""
     ks = _keys(keys)
-    present = F.col(value).isNotNull()
+    keyed = None
     for k in ks:
-        present = present & F.col(k).isNotNull()
-    w = Window.partitionBy(*ks).orderBy(F.col(value).desc())
-    return df.where(present).withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1).select(*columns)
+        keyed = F.col(k).isNotNull() if keyed is None else keyed & F.col(k).isNotNull()
+    # Nulls sort last, so a null value reaches rank 1 only when the key has no
+    # value at all; that row is dropped after the window.
+    w = Window.partitionBy(*ks).orderBy(F.col(value).desc_nulls_last())
+    ranked = df.where(keyed).withColumn("_rk", F.rank().over(w))
+    return ranked.where((F.col("_rk") == 1) & F.col(value).isNotNull()).select(*columns)
