@@ -57,7 +57,11 @@ _VERDICTS: dict[tuple, bool] = {}
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    A bounded scan (never a full count of a large relation).
+    Meant for lookups that are scans (or joins of small scans): the limit
+    stops each scan task after ``max_rows + 1`` rows, so the check never
+    counts a large relation.  A lookup that is itself a shuffle join or an
+    aggregate of large inputs would have to be computed to be checked; such
+    relations are joined by sort-merge without a check.
     """
     max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes

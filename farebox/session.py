@@ -39,6 +39,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/farebox/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Settings for a large cluster, applied by the application at submit time
+# (the library never changes a running session).  Static broadcasts from file
+# size estimates are off; AQE still broadcasts a join side whose *measured*
+# shuffle output is small, coalesces small shuffles and splits skewed joins.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    # sized for the largest shuffle (line items by order key); AQE coalesces the rest
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def local_session(app_name: str = "farebox", cores: str = "*", shuffle_partitions: int = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench (never used by library code)."""
