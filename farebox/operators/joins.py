@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farebox.session import app_id
+
 # Session settings that override the bounds below.
 MAX_ROWS_CONF = "farebox.broadcast.maxRows"
 MAX_BYTES_CONF = "farebox.broadcast.maxBytes"
@@ -65,8 +67,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     """
     max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())),
-           max_rows, max_bytes)
+    key = (app_id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
     if key not in _VERDICTS:
         width = _row_bytes(df)
         if width is None:

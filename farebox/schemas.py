@@ -40,7 +40,7 @@ TRIP_SCHEMA = StructType([StructField(name, dtype) for name, dtype in TRIP_COLUM
 # Positions of the fields the text parsers read (0-based, file order above).
 FIELD = {name: idx for idx, (name, _) in enumerate(TRIP_COLUMNS_19)}
 
-# Columns of a location-id trip file that the queries use.
+# Columns of a location-id trip file that the queries use.
 LOC_TRIP_COLUMNS = [
     "PULocationID",
     "DOLocationID",
@@ -54,7 +54,7 @@ LOC_TRIP_COLUMNS = [
     "total_amount",
 ]
 
-# The eight money columns summed per borough, with their output names.
+# The eight money columns summed per borough, with their output names.
 MONEY_TOTALS = [
     ("fare_amount", "Total_Fare"),
     ("tip_amount", "Total_Tips"),
@@ -66,4 +66,5 @@ MONEY_TOTALS = [
     ("total_amount", "Total_Revenue"),
 ]
 
+# Zone lookup columns.
 ZONE_COLUMNS = ["LocationID", "Borough", "Zone"]

@@ -16,10 +16,21 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+def app_id(spark: SparkSession) -> str:
+    """Application id (works for classic and Connect sessions)."""
+    return spark.conf.get("spark.app.id", None) or "app"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, setting one only if unset."""
-    sc = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the server's setting rules
+        if not root:
+            raise RuntimeError(f"{CHECKPOINT_KEY} is not set") from None
+        return root.rstrip("/")
+    root = root or sc.getCheckpointDir()
     if not root:
         # Local runs only: nothing configured, so take a private folder.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="farebox-ckpt-"))
@@ -35,8 +46,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     The application id plus a random suffix keeps concurrent or repeated runs
     from colliding (the reference suffixes outputs with the application id).
     """
-    app = spark.sparkContext.applicationId
-    return f"{checkpoint_root(spark)}/farebox/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/farebox/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 # Settings for a large cluster, applied by the application at submit time

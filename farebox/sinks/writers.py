@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farebox.session import app_id
+
 # Fixed value: timestamp layout of the raw trip files.
 TRIP_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def run_scoped_path(spark: SparkSession, base: str, name: str) -> str:
     """``<base>/<name>_<applicationId>`` -- one output folder per run."""
-    return f"{base.rstrip('/')}/{name}_{spark.sparkContext.applicationId}"
+    return f"{base.rstrip('/')}/{name}_{app_id(spark)}"
 
 
 def _csv_writer(df: DataFrame, mode: str, header: bool):

@@ -78,3 +78,18 @@ def test_check_header_rejects_renamed_columns(spark, tmp_path):
     with pytest.raises(Exception):
         read_csv_with_schema(spark, str(p), check_header=True).collect()
     assert read_csv_with_schema(spark, str(p)).count() == 1  # default binds by position
+
+
+def test_headers_of_every_part_file_are_dropped(spark, scratch):
+    from farebox.sinks.writers import write_csv
+    from farebox.sources import tables
+    from tests.conftest import SF_SMALL
+
+    geo = tables.geo_trips(spark, SF_SMALL).select(*[n for n, _ in TRIP_COLUMNS_19])
+    path = write_csv(geo.repartition(3), scratch("geo3"))
+    lines = text.read_lines(spark, path)
+    assert lines.where(lines.value == HEADER).count() == 3
+    assert text.strip_header(lines).count() == geo.count()
+    got = sorted((r.hour, round(r.avg_latitude, 9)) for r in q1.hourly_avg_text(lines).collect())
+    want = sorted((r.hour, round(r.avg_latitude, 9)) for r in q1.hourly_avg(geo).collect())
+    assert got == want
