@@ -22,7 +22,7 @@ def minutes_between(start: str | Column, end: str | Column) -> Column:
 
 def add_seconds(ts: str | Column, seconds: str | Column) -> Column:
     """``ts`` shifted by an integral number of seconds (keeps the timestamp flavour)."""
-    return _col(ts) + F.make_dt_interval(secs=_col(seconds).cast("decimal(18,6)"))
+    return F.timestamp_add("SECOND", _col(seconds), _col(ts))
 
 
 def pickup_before_dropoff(pickup: str | Column, dropoff: str | Column) -> Column:
