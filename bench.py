@@ -6,7 +6,7 @@ Prints one JSON line.  Steps:
   write them as Parquet (the CSV -> Parquet conversion step of the original
   workflow); later steps read these files.
 * ``q1`` ... ``q6`` -- each whole query on the Parquet trip tables, timed
-  around a full action (collect of the small result), median of 3 runs
+  around a full action (collect of the small result), median of 5 runs
   after one warm-up.
 * ``q3_csv`` / ``q4_csv`` -- the same queries reading CSV with inferred
   schemas (inference scan included); ``q1_text`` / ``q2_text`` -- from raw
@@ -35,7 +35,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
 
     from farebox.session import local_session, scratch_path
 
