@@ -8,14 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _spread_sort(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Global sort with a row id as the last key.
+
+    A range partitioner cannot split one key value, so a value holding a third
+    of all rows would land in one sort task.  The row id (partition index and
+    position, stable for file scans) makes every sort key distinct, so equal
+    values spread over the range partitions; among equal values the output
+    follows input order.
+    """
+    return (df.withColumn("_row", F.monotonically_increasing_id())
+            .orderBy(*order, F.col("_row").asc())
+            .drop("_row"))
+
+
 def sort_asc(df: DataFrame, *keys: str) -> DataFrame:
     """Ascending, nulls first (Spark's default)."""
-    return df.orderBy(*[F.col(k).asc() for k in keys])
+    return _spread_sort(df, [F.col(k).asc() for k in keys])
 
 
 def sort_desc(df: DataFrame, measure: str, *tie_break: str) -> DataFrame:
     """Descending by ``measure`` (nulls last), then ascending tie-break keys."""
-    return df.orderBy(F.col(measure).desc(), *[F.col(k).asc() for k in tie_break])
+    return _spread_sort(df, [F.col(measure).desc(), *[F.col(k).asc() for k in tie_break]])
 
 
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:

@@ -27,3 +27,19 @@ def test_sorted_outputs_are_sorted(spark):
     assert q6 == sorted(q6, reverse=True)
     top = QUERIES["topk_display"](spark, SF_SMALL).collect()
     assert len(top) == 5 and [r.Total_Revenue for r in top] == sorted((r.Total_Revenue for r in top), reverse=True)
+
+
+def test_sort_spreads_a_hot_key(spark):
+    from farebox.operators.ordering import sort_desc
+
+    # one value holds a third of the rows
+    df = spark.range(30_000).select((F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 97)).alias("v"),
+                                    F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep the 8 range partitions
+    try:
+        rows = sort_desc(df, "v").select("v", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r.p for r in rows if r.v == 5}) > 1
+    vals = [r.v for r in rows]
+    assert vals == sorted(vals, reverse=True) and len(vals) == 30_000
