@@ -26,7 +26,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,9 +38,9 @@ def main() -> None:
 
     from farebox.session import local_session, scratch_path
 
-    ckpt = tempfile.mkdtemp(prefix="farebox-bench-")
-    spark = local_session("farebox-bench", cores=cpus, shuffle_partitions=int(cpus),
-                          extra={"spark.checkpoint.dir": ckpt})
+    # Scratch files go below the session's spark.checkpoint.dir (a private
+    # folder only if none is configured; see farebox.session.checkpoint_root).
+    spark = local_session("farebox-bench", cores=cpus, shuffle_partitions=int(cpus))
 
     from farebox.plans import q1, q2
     from farebox.plans import zones as zq
