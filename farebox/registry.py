@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from farebox.functions.format import csv_record, hourly_line
+from farebox.functions.format import csv_record
 from farebox.functions.geo import haversine_km_asin, haversine_km_atan2, nonzero_points
 from farebox.functions.parse import fields, to_double, to_int, to_wall_clock
 from farebox.functions.temporal import hour_in_wrapped_range, hour_of, minutes_between, pickup_before_dropoff
