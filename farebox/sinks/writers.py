@@ -8,6 +8,7 @@ natural parallelism (one file per task) unless a file count is asked for.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+
 from farebox.session import app_id
 
 # Fixed value: timestamp layout of the raw trip files.
