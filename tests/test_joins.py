@@ -37,3 +37,22 @@ def test_lookup_join_same_rows_either_way(spark):
     plan = explain_text(unhinted, "simple")
     assert "SortMergeJoin [PULocationID" in plan and "BroadcastHashJoin [PULocationID" not in plan
     assert hinted.count() == unhinted.count() > 0
+
+
+def test_trip_view_without_broadcasts_is_identical(spark):
+    from farebox.plans import zones as zq
+    from tests.conftest import explain_text
+
+    def q6():
+        rows = zq.revenue_by_borough(tables.loc_trips(spark, SF_SMALL), tables.zones(spark, SF_SMALL)).collect()
+        return [tuple(round(x, 2) if isinstance(x, float) else x for x in r) for r in rows]
+
+    expected = q6()
+    spark.conf.set("farebox.broadcast.maxRows", "5")  # region (5 rows) still fits, nothing else does
+    try:
+        plan = explain_text(tables.loc_trips(spark, SF_SMALL), "simple")
+        assert "BroadcastHashJoin [l_suppkey" not in plan and "SortMergeJoin [l_suppkey" in plan
+        assert "SortMergeJoin [o_custkey" in plan
+        assert q6() == expected
+    finally:
+        spark.conf.unset("farebox.broadcast.maxRows")
