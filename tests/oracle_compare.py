@@ -7,6 +7,7 @@ Row count, column names, column type families and the multiset of rows
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -74,7 +75,7 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from farebox.session import local_session
 
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     names = argv or sorted(entry.queries())
     spark = local_session()
     con = duck(sf_dir)
