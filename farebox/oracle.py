@@ -134,7 +134,8 @@ FROM loc t
 JOIN zones pu ON t.PULocationID = pu.LocationID
 JOIN zones dz ON t.DOLocationID = dz.LocationID
 WHERE pu.Zone != dz.Zone
-GROUP BY 1, 2 ORDER BY Total_Trips DESC, Pickup_Zone, Dropoff_Zone LIMIT 10""", "loc", "zones")
+GROUP BY 1, 2
+ORDER BY Total_Trips DESC NULLS LAST, Pickup_Zone ASC NULLS FIRST, Dropoff_Zone ASC NULLS FIRST LIMIT 10""", "loc", "zones")
 
 MONEY = [("fare_amount", "Total_Fare"), ("tip_amount", "Total_Tips"), ("tolls_amount", "Total_Tolls"),
          ("extra", "Total_Extras"), ("mta_tax", "Total_MTA_Tax"), ("congestion_surcharge", "Total_Congestion"),
@@ -190,7 +191,8 @@ UNION ALL SELECT 'loc_trips', count(*), NULL FROM loc
 UNION ALL SELECT 'zones', count(*), NULL FROM zones""", "geo", "loc", "zones"),
     "preview_take": with_fixtures(f"""
 SELECT {GEO_TEXT_ROW} FROM geo WHERE VendorID IS NOT NULL
-ORDER BY pickup, dropoff, VendorID, pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude
+ORDER BY pickup NULLS FIRST, dropoff NULLS FIRST, VendorID NULLS FIRST, pickup_longitude NULLS FIRST,
+         pickup_latitude NULLS FIRST, dropoff_longitude NULLS FIRST, dropoff_latitude NULLS FIRST
 LIMIT 5""", "geo"),
     # projections and expressions
     "proj_hour": with_fixtures(f"SELECT VendorID, {HOUR} AS hour FROM geo", "geo"),
@@ -271,7 +273,7 @@ FROM geo ORDER BY tpep_pickup_datetime""", "geo"),
     "topk_display": with_fixtures("""
 SELECT z.Borough AS Borough, round(sum(total_amount), 2) AS Total_Revenue
 FROM loc t JOIN zones z ON t.PULocationID = z.LocationID
-GROUP BY z.Borough ORDER BY Total_Revenue DESC, Borough LIMIT 5""", "loc", "zones"),
+GROUP BY z.Borough ORDER BY Total_Revenue DESC NULLS LAST, Borough ASC NULLS FIRST LIMIT 5""", "loc", "zones"),
     # whole queries
     "q1_hourly_avg": Q1,
     "q1_udf": Q1,
