@@ -27,6 +27,15 @@ GEO = """geo AS (
            CASE WHEN event_id % 53 = 0 THEN CAST(0 AS DOUBLE)
                 ELSE CAST(40.5 AS DOUBLE) + CAST((event_id * 3571) % 10039 AS DOUBLE) / CAST(25000 AS DOUBLE) END
                AS dropoff_latitude,
+           CAST(1 AS INTEGER) AS RateCodeID,
+           'N' AS store_and_fwd_flag,
+           CAST(1 + event_id % 2 AS INTEGER) AS payment_type,
+           value AS fare_amount,
+           CAST(0.5 AS DOUBLE) AS extra,
+           CAST(0.5 AS DOUBLE) AS mta_tax,
+           CAST(0 AS DOUBLE) AS tip_amount,
+           CAST(0 AS DOUBLE) AS tolls_amount,
+           CAST(0.3 AS DOUBLE) AS improvement_surcharge,
            value + CAST(1.3 AS DOUBLE) AS total_amount
     FROM events
 )"""
@@ -176,8 +185,10 @@ SELECT event_id, VendorID, strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S.%f'
 FROM geo""", "geo"),
     "src_text_lenient": with_fixtures(f"SELECT {GEO_TEXT_ROW} FROM geo WHERE VendorID IS NOT NULL", "geo"),
     "src_text_strip_header": with_fixtures(f"""
-SELECT coalesce(CAST(VendorID AS VARCHAR), '') || ',' || strftime(tpep_pickup_datetime, {TS_SEC})
-       || ',' || strftime(tpep_dropoff_datetime, {TS_SEC}) AS head
+SELECT VendorID, strftime(tpep_pickup_datetime, {TS_SEC}) AS tpep_pickup_datetime,
+       strftime(tpep_dropoff_datetime, {TS_SEC}) AS tpep_dropoff_datetime, passenger_count, trip_distance,
+       pickup_longitude, pickup_latitude, RateCodeID, store_and_fwd_flag, dropoff_longitude, dropoff_latitude,
+       payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount
 FROM geo""", "geo"),
     "view_sql": with_fixtures(f"SELECT VendorID, {HOUR} AS pickup_hour, {MINUTES} AS duration_min FROM geo", "geo"),
     # sinks

@@ -20,7 +20,7 @@ from farebox.operators import aggregates as agg
 from farebox.operators import argmax, joins, ordering
 from farebox.plans import q1, q2
 from farebox.plans import zones as zq
-from farebox.schemas import FIELD, MONEY_TOTALS, TRIP_SCHEMA
+from farebox.schemas import FIELD, MONEY_TOTALS, TRIP_COLUMNS_19, TRIP_SCHEMA
 from farebox.session import checkpoint_root, scratch_path
 from farebox.sinks import writers
 from farebox.sinks.etl import csv_to_parquet
@@ -130,8 +130,19 @@ def src_text_lenient(spark, sf):
 
 @register("src_text_strip_header")
 def src_text_strip_header(spark, sf):
+    """Every remaining line, split whole into its 19 typed fields."""
     lines = text.strip_header(_geo_lines(spark, sf))
-    return lines.select(F.substring_index("value", ",", 3).alias("head"))
+    parts = fields("value")
+    typed = []
+    for idx, (name, dtype) in enumerate(TRIP_COLUMNS_19):
+        raw = F.get(parts, idx)
+        if dtype.typeName() == "timestamp":
+            typed.append(F.date_format(to_wall_clock(raw), TS_SEC).alias(name))
+        elif dtype.typeName() == "string":
+            typed.append(raw.alias(name))
+        else:
+            typed.append(raw.try_cast(dtype).alias(name))
+    return lines.select(*typed)
 
 
 @register("view_sql")
