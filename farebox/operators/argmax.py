@@ -39,8 +39,15 @@ def argmax_max_by(df: DataFrame, keys, value: str, payload: list[str]) -> DataFr
     return df.groupBy(*_keys(keys)).agg(*aggs).where(F.col(value).isNotNull())
 
 
-def argmax_ties(df: DataFrame, keys, value: str, columns: list[str]) -> DataFrame:
-    """All rows whose ``value`` equals the per-key maximum; null keys dropped."""
+def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str = "rank") -> DataFrame:
+    """All rows whose ``value`` equals the per-key maximum; null keys dropped.
+
+    ``method="rank"`` scans once; rows tied at a key's maximum meet in that
+    key's task.  ``method="join"`` joins back to the per-key maxima instead:
+    two scans, but tied rows stay where they are (see ``argmax_ties_join``).
+    """
+    if method == "join":
+        return argmax_ties_join(df, keys, value, columns)
     ks = _keys(keys)
     keyed = None
     for k in ks:
@@ -50,3 +57,31 @@ def argmax_ties(df: DataFrame, keys, value: str, columns: list[str]) -> DataFram
     w = Window.partitionBy(*ks).orderBy(F.col(value).desc_nulls_last())
     ranked = df.where(keyed).withColumn("_rk", F.rank().over(w))
     return ranked.where((F.col("_rk") == 1) & F.col(value).isNotNull()).select(*columns)
+
+
+def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str]) -> DataFrame:
+    """Join back to the per-key maxima, without moving the rows.
+
+    The maxima (one row per key, from a hash aggregate) are materialised with
+    a reliable checkpoint in the session's shared folder, size-checked and --
+    when small -- broadcast, so every task filters its own rows against them:
+    no shuffle of the input and no task ever holds all rows tied at a maximum.
+    Above the broadcast bound it is a sort-merge join (AQE splits a hot key).
+    """
+    from farebox.operators.joins import lookup_join
+    from farebox.session import checkpoint_root
+
+    ks = _keys(keys)
+    renamed = {k: f"_max_key_{i}" for i, k in enumerate(ks)}
+    keyed = None
+    for k in ks:
+        keyed = F.col(k).isNotNull() if keyed is None else keyed & F.col(k).isNotNull()
+    maxima = (df.where(keyed).groupBy(*ks).agg(F.max(value).alias("_max_value"))
+              .where(F.col("_max_value").isNotNull())
+              .select(*[F.col(k).alias(renamed[k]) for k in ks], "_max_value"))
+    checkpoint_root(df.sparkSession)
+    maxima = maxima.checkpoint(eager=True)
+    cond = F.col(value) == F.col("_max_value")
+    for k in ks:
+        cond = cond & (F.col(k) == F.col(renamed[k]))
+    return lookup_join(df, maxima, cond).select(*columns)

@@ -327,7 +327,8 @@ def join_theta_residual(spark, sf):
 
 @register("join_argmax_back")
 def join_argmax_back(spark, sf):
-    return _r_q2(argmax.argmax_ties(q2.with_distance(_geo(spark, sf)), "VendorID", "haversine_km", q2.OUTPUT))
+    return _r_q2(argmax.argmax_ties(q2.with_distance(_geo(spark, sf)), "VendorID", "haversine_km", q2.OUTPUT,
+                                    method="join"))
 
 
 # ---------------------------------------------------------------- aggregates

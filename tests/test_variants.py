@@ -69,3 +69,18 @@ def test_q5_tie_break_is_total(spark):
     assert len(rows) == 10
     assert rows == sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
     assert all(a != b for a, b, _ in rows)
+
+
+def test_argmax_ties_rank_and_join_agree(spark):
+    from farebox.operators.argmax import argmax_ties
+
+    d = q2.with_distance(tables.geo_trips(spark, SF_MID))
+    a = argmax_ties(d, "VendorID", "haversine_km", q2.OUTPUT)
+    b = argmax_ties(d, "VendorID", "haversine_km", q2.OUTPUT, method="join")
+    assert _rounded(a) == _rounded(b) and len(_rounded(a)) == 2
+    # a key whose maximum is shared by many rows, one all-null key, a null key
+    rows = [(1, 5.0, i) for i in range(300)] + [(1, 4.0, 0), (2, None, 0), (None, 9.0, 0), (3, 1.0, 0)]
+    df = spark.createDataFrame(rows, "k int, v double, i int")
+    for method in ("rank", "join"):
+        got = argmax_ties(df, "k", "v", ["k", "v", "i"], method=method).collect()
+        assert sorted((r.k, r.v) for r in got) == [(1, 5.0)] * 300 + [(3, 1.0)]
