@@ -68,3 +68,18 @@ def test_report_formats(spark):
     row = df.select(hourly_line("h", "lat", "lon").alias("a"), vendor_line("v", "km", "m").alias("b")).first()
     assert row.a == "Hour: 07 | Avg Latitude: 40.123456 | Avg Longitude: -73.500000"
     assert row.b == "VendorID: 1 | Distance: 12.35 km | Duration: 5.00 min"
+
+
+def test_udf_hour_follows_session_zone_like_hour(spark):
+    from farebox.functions.udfs import hour_udf
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2015-01-15 19:05:39",), ("2015-07-01 00:30:00",)], "v string")
+        ltz = df.select(F.to_timestamp("v").alias("t"))          # session-zone timestamp
+        ntz = df.select(to_wall_clock(F.col("v")).alias("t"))    # zone-free timestamp
+        for frame in (ltz, ntz):
+            rows = frame.select(F.hour("t").alias("a"), hour_udf("t").alias("b")).collect()
+            assert [r.a for r in rows] == [r.b for r in rows] == [19, 0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
