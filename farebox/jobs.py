@@ -18,7 +18,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.functions.format import csv_record, fixed_record
+from farebox.functions.format import VENDOR_RECORD, csv_record, fixed_record
 from farebox.plans import q1, q2
 from farebox.plans import zones as zq
 from farebox.schemas import TRIP_SCHEMA
@@ -64,7 +64,7 @@ def _write(result: DataFrame, kind: str, out: str) -> None:
     elif kind == "text-full":
         write_text(result, out, csv_record(*result.columns))
     else:
-        write_text(result, out, fixed_record("%d,%.3f,%.1f", *result.columns))
+        write_text(result, out, fixed_record(VENDOR_RECORD, *result.columns))
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
