@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from farebox.functions.format import fixed_record, vendor_line
+from farebox.functions.format import VENDOR_RECORD, fixed_record, vendor_line
 from farebox.plans import q1, q2
 from farebox.sinks import csv_to_parquet, run_scoped_path, write_csv_single, write_parquet, write_text
 from farebox.sources import rawfiles, tables
@@ -38,7 +38,7 @@ def test_parquet_file_count_parameter(spark, scratch):
 
 def test_fixed_format_text(spark, scratch):
     result = q2.longest_window(tables.geo_trips(spark, SF_SMALL)).where(F.col("VendorID").isNotNull())
-    path = write_text(result.orderBy("VendorID"), scratch("q2txt"), fixed_record("%d,%.3f,%.1f", "VendorID",
+    path = write_text(result.orderBy("VendorID"), scratch("q2txt"), fixed_record(VENDOR_RECORD, "VendorID",
                                                                                   "haversine_km", "duration_min"))
     lines = [r.value for r in spark.read.text(path).collect()]
     assert len(lines) == 2 and all(len(l.split(",")) == 3 for l in lines)
