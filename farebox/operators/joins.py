@@ -79,11 +79,6 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     return _VERDICTS[key]
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Column | str | list[str], how: str = "inner",
                 max_rows: int | None = None, small: bool | None = None) -> DataFrame:
     """Fact-dimension equi join; the fact side is never broadcast.
