@@ -1,12 +1,14 @@
 """CSV -> Parquet conversion job over several (name, source, destination) files.
 
-Each file is converted on its own: a failure is recorded and the next file
-still runs.  The returned status frame counts the rows of every written
+Each file is converted on its own: a failure is recorded and the other files
+still run.  The returned status frame counts the rows of every written
 table (read back from Parquet, so it reflects what landed on storage).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -21,24 +23,31 @@ STATUS_SCHEMA = StructType([
 ])
 
 
+def _convert(spark: SparkSession, name: str, src: str, dst: str, files: int | None, schema) -> DataFrame:
+    frame = spark.read.csv(src, header=True, schema=schema) if schema is not None else read_csv_inferred(spark, src)
+    write_parquet(frame, dst, files=files)
+    return (spark.read.parquet(dst).groupBy().count()
+            .select(F.lit(name).alias("name"), F.col("count").alias("rows"), F.lit(None).cast("string").alias("error")))
+
+
 def csv_to_parquet(spark: SparkSession, jobs: list[tuple[str, str, str]], files: int | None = None,
-                   schemas: dict | None = None) -> DataFrame:
-    """Convert each CSV (header; schema inferred unless given) to Parquet."""
+                   schemas: dict | None = None, parallel: int = 4) -> DataFrame:
+    """Convert each CSV (header; schema inferred unless given) to Parquet.
+
+    Up to ``parallel`` files are converted at once (one Spark job each,
+    submitted from separate driver threads), so many modest files keep the
+    cluster busy; each file succeeds or fails on its own.
+    """
     parts: list[DataFrame] = []
     failures: list[tuple[str, None, str]] = []
-    for name, src, dst in jobs:
-        try:
-            schema = (schemas or {}).get(name)
-            if schema is not None:
-                frame = spark.read.csv(src, header=True, schema=schema)
-            else:
-                frame = read_csv_inferred(spark, src)
-            write_parquet(frame, dst, files=files)
-            parts.append(spark.read.parquet(dst).groupBy().count()
-                         .select(F.lit(name).alias("name"), F.col("count").alias("rows"),
-                                 F.lit(None).cast("string").alias("error")))
-        except Exception as exc:  # one bad file must not stop the others
-            failures.append((name, None, f"{type(exc).__name__}: {str(exc)[:200]}"))
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(jobs) or 1))) as pool:
+        futures = [(name, pool.submit(_convert, spark, name, src, dst, files, (schemas or {}).get(name)))
+                   for name, src, dst in jobs]
+        for name, future in futures:
+            try:
+                parts.append(future.result())
+            except Exception as exc:  # one bad file must not stop the others
+                failures.append((name, None, f"{type(exc).__name__}: {str(exc)[:200]}"))
     status = spark.createDataFrame(failures, STATUS_SCHEMA)
     for part in parts:
         status = status.unionByName(part)
