@@ -1,6 +1,7 @@
 """Print the physical plans of the headline queries over Parquet trip files.
 
-    python scripts/explain_plans.py [sf_dir]
+    python scripts/explain_plans.py [sf_dir]              # raw plans
+    python scripts/explain_plans.py [sf_dir] --markdown   # PLANS.md
 
 The trip views are first written to Parquet below the session's checkpoint
 folder (as the conversion job would), so the plans show what a query over
@@ -10,14 +11,69 @@ broadcasts and limits.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
+import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+NOTES = {
+    "Q1 hourly means": "Three pruned columns; the zero-coordinate test is pushed into the Parquet reader. Partial "
+    "average per task, so the shuffle carries at most 25 rows per task (24 hours + null); the final sort is over "
+    "those groups.",
+    "Q2 longest trip, window": "Each task sorts its own rows and keeps one per vendor (partial `WindowGroupLimit`) "
+    "before the shuffle, so a vendor holding a third of all trips still sends one row per task. Ties broken by "
+    "minutes.",
+    "Q2 longest trip, max_by": "Same answer from one hash aggregate: no sort at all, one partial row per vendor per "
+    "task. The scale default when ties do not matter.",
+    "Q2 longest trip, SQL": "`rank() = 1` instead of a join back to the per-vendor maximum: one scan, partial group "
+    "limit before the shuffle, ties kept; the coordinate tests are pushed into the Parquet reader, the "
+    "pickup-before-drop-off comparison (two columns) runs right after the scan.",
+    "Join back to the per-vendor maxima": "The other tie-keeping method: the per-vendor maxima (a hash aggregate, "
+    "checkpointed and size-checked before this plan is built) are broadcast and every task filters its own trips "
+    "against them. No exchange of trips, and rows tied at a maximum never meet in one task.",
+    "Q3 same borough": "Zone lookup proven small, so both roles are broadcast; the cross-role borough equality "
+    "became a second join key. Trips are never shuffled; only per-task partial counts are.",
+    "Q3 same borough, lookup above the broadcast bound": "Eager aggregation: trips are counted per (pickup id, "
+    "drop-off id) first (partial + final aggregate), then those aggregated rows are sort-merge joined with the "
+    "lookup for both roles and summed per borough. The large input crosses the network only as per-task partials.",
+    "Q4 night trips": "Two pruned columns; the hour test cannot be pushed into Parquet (a function of the column), "
+    "so it runs right after the scan. Partial count per vendor.",
+    "Q5 top zone pairs": "Broadcast probes for both roles, zone inequality as a join residual, partial count per "
+    "pair, then `TakeOrderedAndProject(10)`: a per-task top 10 and a 10-row merge, no global sort.",
+    "Q6 revenue by borough": "Nine pruned columns, broadcast probe of the checked lookup, eight partial sums per "
+    "task; one small shuffle.",
+    "Trip view (line items x orders x customers x suppliers)": "The only large shuffle in the project: line items "
+    "and (order, customer nation) pairs are hash-partitioned by order key and sort-merge joined (`merge` hint: both "
+    "sides grow with the data). Customers and suppliers are broadcast only because the bounded size check proved "
+    "them small; above the bound they become sort-merge joins too.",
+}
+
+
+def _trim(line: str) -> str:
+    line = re.sub(r"#\d+L?", "", line.rstrip())
+    line = re.sub(r", \[plan_id=\d+\]", "", line)
+    line = re.sub(r"Location: InMemoryFileIndex\(1 paths\)\[[^\]]*\]?,? ?", "", line)
+    line = re.sub(r"DataFilters: \[[^\]]*\]?,? ?", "", line)
+    line = re.sub(r"\(6371\.0 \* \(ATAN2.*?\)\) AS haversine_km", "<haversine km> AS haversine_km", line)
+    line = re.sub(r"\(6371 \* 2\) \* ASIN.*? AS haversine_distance_km", "<haversine km> AS haversine_distance_km", line)
+    return line if len(line) <= 170 else line[:167] + "..."
+
+
+def _explain(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("simple")
+    return buf.getvalue()
+
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    markdown = "--markdown" in sys.argv
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    from farebox.operators.argmax import argmax_ties
     from farebox.plans import q1, q2
     from farebox.plans import zones as zq
     from farebox.session import local_session, scratch_path
@@ -25,24 +81,48 @@ def main() -> None:
     from farebox.sources import tables
 
     spark = local_session("farebox-plans")
+    spark.sparkContext.setLogLevel("ERROR")
     geo = spark.read.parquet(write_parquet(tables.geo_trips(spark, sf_dir), scratch_path(spark, "geo")))
     loc = spark.read.parquet(write_parquet(tables.loc_trips(spark, sf_dir), scratch_path(spark, "loc")))
     zones = spark.read.parquet(write_parquet(tables.zones(spark, sf_dir), scratch_path(spark, "zones"), files=1))
+
+    def big_lookup_q3():
+        spark.conf.set("farebox.broadcast.maxRows", "1")
+        try:
+            return zq.same_borough(loc, zones)
+        finally:
+            spark.conf.unset("farebox.broadcast.maxRows")
+
     cases = {
-        "Q1 hourly means": q1.hourly_avg(geo),
-        "Q2 longest trip, window": q2.longest_window(geo),
-        "Q2 longest trip, max_by": q2.longest_max_by(geo),
-        "Q2 longest trip, SQL": q2.longest_sql(spark, geo),
-        "Q3 same borough": zq.same_borough(loc, zones),
-        "Q4 night trips": zq.night_trips_sql(spark, geo),
-        "Q5 top zone pairs": zq.top_zone_pairs(loc, zones),
-        "Q6 revenue by borough": zq.revenue_by_borough(loc, zones),
-        "Trip view (line items x orders x customers x suppliers)": tables.loc_trips(spark, sf_dir),
+        "Q1 hourly means": lambda: q1.hourly_avg(geo),
+        "Q2 longest trip, window": lambda: q2.longest_window(geo),
+        "Q2 longest trip, max_by": lambda: q2.longest_max_by(geo),
+        "Q2 longest trip, SQL": lambda: q2.longest_sql(spark, geo),
+        "Join back to the per-vendor maxima": lambda: argmax_ties(q2.with_distance(geo), "VendorID", "haversine_km",
+                                                                  q2.OUTPUT, method="join"),
+        "Q3 same borough": lambda: zq.same_borough(loc, zones),
+        "Q3 same borough, lookup above the broadcast bound": big_lookup_q3,
+        "Q4 night trips": lambda: zq.night_trips_sql(spark, geo),
+        "Q5 top zone pairs": lambda: zq.top_zone_pairs(loc, zones),
+        "Q6 revenue by borough": lambda: zq.revenue_by_borough(loc, zones),
+        "Trip view (line items x orders x customers x suppliers)": lambda: tables.loc_trips(spark, sf_dir),
     }
-    for title, df in cases.items():
-        print(f"===== {title}")
-        df.explain("simple")
+    if not markdown:
+        for title, build in cases.items():
+            print(f"===== {title}")
+            print(_explain(build()))
+        spark.stop()
+        return
+    out = ["# Physical plans of the headline queries", "",
+           f"Printed by `python scripts/explain_plans.py {sf_dir} --markdown` (trip views first written to Parquet, "
+           "8 shuffle", "partitions). Expression ids, file locations and long expressions are trimmed. Read "
+           "bottom-up.", ""]
+    for title, build in cases.items():
+        plan = [_trim(line) for line in _explain(build()).splitlines()
+                if line.strip() and not line.startswith("== Physical")]
+        out += [f"## {title}", "", NOTES[title], "", "```", *plan, "```", ""]
     spark.stop()
+    print("\n".join(out))
 
 
 if __name__ == "__main__":
