@@ -1,10 +1,10 @@
 """Joins of a fact relation with small lookup relations.
 
 Only a relation whose size is *measured* small is broadcast.  The check is
-one bounded scan, ``limit(max_rows + 1)``, that counts the rows it sees and
-sums their bytes (fixed-width sizes plus the actual byte length of every
-string); the lookup is broadcast when it has at most ``max_rows`` rows and
-at most ``max_bytes`` bytes.  Above either bound the join is a sort-merge
+one aggregate pass over the lookup that counts its rows and sums their bytes
+(fixed-width sizes plus the actual byte length of every string), combined
+map-side so each task ships one partial row; the lookup is broadcast when it
+has at most ``max_rows`` rows and at most ``max_bytes`` bytes.  Above either bound the join is a sort-merge
 join (shuffle both sides; spills; AQE splits skewed partitions).
 """
 
@@ -59,11 +59,13 @@ _VERDICTS: dict[tuple, bool] = {}
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    Meant for lookups that are scans (or joins of small scans): the limit
-    stops each scan task after ``max_rows + 1`` rows, so the check never
-    counts a large relation.  A lookup that is itself a shuffle join or an
-    aggregate of large inputs would have to be computed to be checked; such
-    relations are joined by sort-merge without a check.
+    Meant for lookups (dimension scans, joins of small scans, checkpointed
+    results): one narrow scan of the lookup with a map-side-combined count,
+    so its cost follows the lookup's size, never the fact's, and no task
+    receives more than one partial row per scan task.  (A ``limit`` before
+    the count would not stop early on a cluster: every scan task would still
+    run and send up to ``max_rows`` rows into the single task of the global
+    limit.)  The verdict is memoised per session.
     """
     max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
@@ -73,7 +75,7 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
         if width is None:
             _VERDICTS[key] = False
         else:
-            seen = df.limit(max_rows + 1).select(width.alias("_b")).agg(
+            seen = df.select(width.alias("_b")).agg(
                 F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes")).first()
             _VERDICTS[key] = seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
     return _VERDICTS[key]

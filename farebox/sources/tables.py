@@ -81,7 +81,7 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
 
     ``orders`` is first narrowed to (order key, customer nation) so the one
     big shuffle join (line items by order key) moves two columns per order.
-    Customer and supplier are broadcast only when a bounded count proves them
+    Customer and supplier are broadcast only when the size check proves them
     small; at large scale they fall back to shuffle joins.
     """
     order_nation = lookup_join(

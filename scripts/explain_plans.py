@@ -47,7 +47,7 @@ NOTES = {
     "task; one small shuffle.",
     "Trip view (line items x orders x customers x suppliers)": "The only large shuffle in the project: line items "
     "and (order, customer nation) pairs are hash-partitioned by order key and sort-merge joined (`merge` hint: both "
-    "sides grow with the data). Customers and suppliers are broadcast only because the bounded size check proved "
+    "sides grow with the data). Customers and suppliers are broadcast only because the size check proved "
     "them small; above the bound they become sort-merge joins too.",
 }
 
