@@ -7,7 +7,7 @@ Prints one JSON line.  Steps:
   workflow); later steps read these files.
 * ``q1`` ... ``q6`` -- each whole query on the Parquet trip tables, timed
   around a full action (collect of the small result), median of 5 runs
-  after one warm-up.
+  after two warm-up runs.
 * ``q3_csv`` / ``q4_csv`` -- the same queries reading CSV with inferred
   schemas (inference scan included); ``q1_text`` / ``q2_text`` -- from raw
   text lines (header removal + lenient parsing).
@@ -85,7 +85,8 @@ def main() -> None:
     }
     rows = {}
     for name, build in cases.items():
-        build().collect()  # warm-up (codegen, file listing)
+        for _ in range(2):  # warm-up: codegen, file listing, JIT
+            build().collect()
         samples = []
         for _ in range(runs):
             t = time.perf_counter()
