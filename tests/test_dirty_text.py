@@ -93,3 +93,20 @@ def test_headers_of_every_part_file_are_dropped(spark, scratch):
     got = sorted((r.hour, round(r.avg_latitude, 9)) for r in q1.hourly_avg_text(lines).collect())
     want = sorted((r.hour, round(r.avg_latitude, 9)) for r in q1.hourly_avg(geo).collect())
     assert got == want
+
+
+def test_header_found_when_files_are_split(spark):
+    from farebox.sources import rawfiles
+    from tests.conftest import SF_MID
+
+    path = rawfiles.write_geo_csv(spark, SF_MID)  # ~1 MB of lines
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = text.read_lines(spark, path)
+        assert lines.rdd.getNumPartitions() > 4
+        assert text.first_line(lines) == HEADER
+        assert text.strip_header(lines).count() == 10_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
