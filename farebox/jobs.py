@@ -30,7 +30,7 @@ def _trips(spark: SparkSession, args, fixed_schema: bool) -> DataFrame:
     if args.format == "parquet":
         return read_parquet(spark, args.trips)
     if fixed_schema:
-        return read_csv_with_schema(spark, args.trips, TRIP_SCHEMA)
+        return read_csv_with_schema(spark, args.trips, TRIP_SCHEMA, check_header=args.check_header)
     return read_csv_inferred(spark, args.trips)
 
 
@@ -79,6 +79,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--run-scoped", action="store_true", help="append _<application id> to --out")
     parser.add_argument("--show", type=int, default=20, help="rows to print (0: none)")
     parser.add_argument("--shuffle-partitions", type=int, default=None)
+    parser.add_argument("--check-header", action="store_true",
+                        help="fixed-schema CSV: fail when the header names differ instead of binding by position")
     return parser.parse_args(argv)
 
 

@@ -66,3 +66,16 @@ def test_main_reports_failure(spark, scratch):
     code = jobs.main(["q3", "--trips", scratch("missing"), "--zones", scratch("missing2"), "--out", scratch("x"),
                       "--show", "0"])
     assert code == 1
+
+
+def test_check_header_option(spark, scratch, tmp_path):
+    from farebox.schemas import TRIP_COLUMNS_19
+
+    header = ",".join(n for n, _ in TRIP_COLUMNS_19).replace("pickup_latitude", "pickup_lat")
+    row = "1,2015-01-15 19:05:39,2015-01-15 19:23:42,1,1.59,-73.99,40.75,1,N,-73.97,40.76,1,12,1,0.5,3.25,0,0.3,17.05"
+    p = tmp_path / "renamed.csv"
+    p.write_text(header + "\n" + row + "\n")
+    out = _run(spark, "q1", "--trips", str(p), "--out", scratch("ok"))  # binds by position
+    assert spark.read.csv(out, header=True).count() == 1
+    with pytest.raises(Exception):
+        _run(spark, "q1", "--trips", str(p), "--out", scratch("strict"), "--check-header")
