@@ -196,6 +196,17 @@ FROM geo""", "geo"),
     "sink_csv_overwrite": Q3,
     "sink_parquet": with_fixtures("SELECT * FROM loc", "loc"),
     "sink_text": Q1,
+    "sink_text_fixed": with_fixtures(f"""
+SELECT VendorID, round(max(km), 3) AS haversine_km, round(arg_max(duration_min, km), 1) AS duration_min
+FROM (SELECT VendorID, {KM_ATAN2} AS km, {MINUTES} AS duration_min FROM geo
+      WHERE VendorID IS NOT NULL AND {NONZERO_ALL})
+GROUP BY VendorID""", "geo"),
+    "fn_format_vendor": with_fixtures(f"""
+SELECT VendorID, printf('VendorID: %d | Distance: %.2f km | Duration: %.2f min', VendorID, max(km),
+                        arg_max(duration_min, km)) AS line
+FROM (SELECT VendorID, {KM_ATAN2} AS km, {MINUTES} AS duration_min FROM geo
+      WHERE VendorID IS NOT NULL AND {NONZERO_ALL})
+GROUP BY VendorID""", "geo"),
     "etl_csv_to_parquet": with_fixtures("""
 SELECT 'geo_trips' AS name, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM geo
 UNION ALL SELECT 'loc_trips', count(*), NULL FROM loc

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from farebox.functions.format import csv_record
+from farebox.functions.format import VENDOR_RECORD, csv_record, fixed_record, vendor_line
 from farebox.functions.geo import haversine_km_asin, haversine_km_atan2, nonzero_points
 from farebox.functions.parse import fields, to_double, to_int, to_wall_clock
 from farebox.functions.temporal import hour_in_wrapped_range, hour_of, minutes_between, pickup_before_dropoff
@@ -186,6 +186,18 @@ def sink_text(spark, sf):
     return _r_q1(back)
 
 
+@register("sink_text_fixed")
+def sink_text_fixed(spark, sf):
+    """Longest trips as fixed-format text records, read back as numbers."""
+    result = q2.longest_text(_geo_lines(spark, sf))
+    path = writers.write_text(result, scratch_path(spark, "q2_text"),
+                              fixed_record(VENDOR_RECORD, "VendorID", "haversine_km", "duration_min"))
+    parts = fields("value")
+    return spark.read.text(path).select(to_int(F.get(parts, 0)).alias("VendorID"),
+                                        to_double(F.get(parts, 1)).alias("haversine_km"),
+                                        to_double(F.get(parts, 2)).alias("duration_min"))
+
+
 @register("etl_csv_to_parquet")
 def etl_csv_to_parquet(spark, sf):
     jobs = [(name, writer(spark, sf), scratch_path(spark, f"{name}_parquet"))
@@ -251,6 +263,12 @@ def fn_format(spark, sf):
     return q1.report_lines(q1.hourly_avg(_geo(spark, sf)))
 
 
+@register("fn_format_vendor")
+def fn_format_vendor(spark, sf):
+    result = q2.longest_text(_geo_lines(spark, sf))
+    return result.select("VendorID", vendor_line("VendorID", "haversine_km", "duration_min").alias("line"))
+
+
 @register("udf_hour")
 def udf_hour(spark, sf):
     return _geo(spark, sf).select("VendorID", hour_udf("tpep_pickup_datetime").alias("hour"))
