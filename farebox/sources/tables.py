@@ -91,12 +91,15 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     ).select("o_orderkey", "c_nationkey")
     items = lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                             "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    # The supplier lookup is joined before the big shuffle (map-side when it
+    # is broadcast), so each shuffled line item carries a 4-byte nation
+    # instead of its 8-byte supplier key.
+    with_supp = lookup_join(items, supplier.select("s_suppkey", "s_nationkey"),
+                            F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
     # Both sides grow with the data: always a shuffle (sort-merge) join, never
     # a broadcast picked from a low file-size estimate of the line items.
-    with_cust = items.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    with_supp = lookup_join(with_cust, supplier.select("s_suppkey", "s_nationkey"),
-                            F.col("l_suppkey") == F.col("s_suppkey"))
-    return with_supp.select(
+    joined = with_supp.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
         F.when(F.col("l_linenumber") == 7, F.lit(99)).otherwise(F.col("s_nationkey")).alias("PULocationID"),
         F.when(F.col("l_quantity") == 50, F.lit(None).cast("int")).otherwise(F.col("c_nationkey")).alias("DOLocationID"),
         F.col("l_extendedprice").alias("fare_amount"),
