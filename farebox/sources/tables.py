@@ -91,25 +91,36 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     ).select("o_orderkey", "c_nationkey")
     items = lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                             "l_discount", "l_tax", "l_returnflag", "l_linestatus")
-    # The supplier lookup is joined before the big shuffle (map-side when it
-    # is broadcast), so each shuffled line item carries a 4-byte nation
-    # instead of its 8-byte supplier key.
-    with_supp = lookup_join(items, supplier.select("s_suppkey", "s_nationkey"),
-                            F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
-    # Both sides grow with the data: always a shuffle (sort-merge) join, never
-    # a broadcast picked from a low file-size estimate of the line items.
-    joined = with_supp.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.select(
+    # Everything a line item decides on its own is derived before the big
+    # shuffle: the supplier's nation (25 values, compresses well) replaces the
+    # supplier key, and the two one-letter flags become the money columns they
+    # set (fixed 8-byte slots instead of variable-length strings).
+    lines = lookup_join(items, supplier.select("s_suppkey", "s_nationkey"),
+                        F.col("l_suppkey") == F.col("s_suppkey")).select(
+        "l_orderkey",
         F.when(F.col("l_linenumber") == 7, F.lit(99)).otherwise(F.col("s_nationkey")).alias("PULocationID"),
-        F.when(F.col("l_quantity") == 50, F.lit(None).cast("int")).otherwise(F.col("c_nationkey")).alias("DOLocationID"),
+        "l_quantity",
         F.col("l_extendedprice").alias("fare_amount"),
         F.col("l_discount").alias("tip_amount"),
         F.col("l_tax").alias("tolls_amount"),
-        F.col("l_quantity").alias("extra"),
         (F.col("l_linenumber") / F.lit(2.0)).alias("mta_tax"),
         F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double")).otherwise(F.lit(2.5)).alias("congestion_surcharge"),
         F.when(F.col("l_linestatus") == "O", F.lit(1.75)).otherwise(F.lit(0.0)).alias("airport_fee"),
-        (F.col("l_extendedprice") + F.col("l_discount") + F.col("l_tax") + F.col("l_quantity")).alias("total_amount"),
+    )
+    # Both sides grow with the data: always a shuffle (sort-merge) join, never
+    # a broadcast picked from a low file-size estimate of the line items.
+    joined = lines.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(
+        "PULocationID",
+        F.when(F.col("l_quantity") == 50, F.lit(None).cast("int")).otherwise(F.col("c_nationkey")).alias("DOLocationID"),
+        "fare_amount",
+        "tip_amount",
+        "tolls_amount",
+        F.col("l_quantity").alias("extra"),
+        "mta_tax",
+        "congestion_surcharge",
+        "airport_fee",
+        (F.col("fare_amount") + F.col("tip_amount") + F.col("tolls_amount") + F.col("l_quantity")).alias("total_amount"),
     )
 
 
