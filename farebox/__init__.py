@@ -5,4 +5,6 @@ path); nothing creates a session, collects unaggregated data or caches by
 default.  The caller owns the ``SparkSession``.
 """
 
+__version__ = "0.1.0"
+
 __all__ = ["functions", "operators", "plans", "sinks", "sources", "streaming"]
