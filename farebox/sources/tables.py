@@ -80,9 +80,11 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     nation, drop-off zone from the customer's nation.
 
     ``orders`` is first narrowed to (order key, customer nation) so the one
-    big shuffle join (line items by order key) moves two columns per order.
-    Customer and supplier are broadcast only when the size check proves them
-    small; at large scale they fall back to shuffle joins.
+    big shuffle join (line items by order key) moves two columns per order,
+    and each line item enters that shuffle with its supplier's nation and
+    flag-derived columns already computed.  Customer and supplier are
+    broadcast only when the size check proves them small; at large scale
+    they fall back to sort-merge joins.
     """
     order_nation = lookup_join(
         orders.select("o_orderkey", "o_custkey"),
