@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from farebox.session import checkpoint_root
+from farebox.session import scratch_path
 
 # Rows turned into Python objects at a time; bounds the memory of a text pass.
 ROWS_AT_ONCE = 128
@@ -38,11 +38,12 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's shared checkpoint folder and read back:
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the session's shared checkpoint folder:
     computed once, lineage cut, safe when an executor is lost."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, f"llm-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import compression_bands
+from farebox.llm import compression_bands, minhash_dedup
 from farebox.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,9 @@ def register(name: str):
 @register("op1_compression_bands")
 def op1_compression_bands(spark, sf_dir):
     return compression_bands.quality_report(read_table(spark, sf_dir, "documents"))
+
+
+@register("op7_minhash_dedup")
+def op7_minhash_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return minhash_dedup.near_duplicates(docs, words_per_shingle=4, threshold_percent=80)
