@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farebox.llm import compression_bands, minhash_dedup
+from farebox.llm import compression_bands, compression_classifier, counterfactual_toxicity, minhash_dedup
 from farebox.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,11 @@ def register(name: str):
     return wrap
 
 
+def fold(modulus: int) -> Column:
+    """crc32 of the document id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
 @register("op1_compression_bands")
 def op1_compression_bands(spark, sf_dir):
     return compression_bands.quality_report(read_table(spark, sf_dir, "documents"))
@@ -34,3 +40,19 @@ def op1_compression_bands(spark, sf_dir):
 def op7_minhash_dedup(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return minhash_dedup.near_duplicates(docs, words_per_shingle=4, threshold_percent=80)
+
+
+@register("op4_compression_classifier")
+def op4_compression_classifier(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = compression_classifier.fit(docs, labels.where(fold(5) != 0))
+    scored = compression_classifier.score_documents(docs, model, threshold=0.3)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@register("op5_counterfactual_toxicity")
+def op5_counterfactual_toxicity(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = counterfactual_toxicity.fit(docs, labels.where(fold(3) != 1))
+    scored = counterfactual_toxicity.score_documents(docs, model, threshold=0.7)
+    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
