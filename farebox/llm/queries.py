@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import compression_bands, compression_classifier, counterfactual_toxicity, minhash_dedup
+from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, minhash_dedup,
+                         overlap_token_counts, pair_index_bpe)
 from farebox.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +58,15 @@ def op5_counterfactual_toxicity(spark, sf_dir):
     model = counterfactual_toxicity.fit(docs, labels.where(fold(3) != 1))
     scored = counterfactual_toxicity.score_documents(docs, model, threshold=0.7)
     return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@register("op9_pair_index_bpe")
+def op9_pair_index_bpe(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return pair_index_bpe.round_trip_digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op10_overlap_token_counts")
+def op10_overlap_token_counts(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return overlap_token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
