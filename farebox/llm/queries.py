@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, minhash_dedup,
-                         overlap_token_counts, pair_index_bpe)
+from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
+                         minhash_dedup, overlap_token_counts, pair_index_bpe)
 from farebox.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,12 @@ def op5_counterfactual_toxicity(spark, sf_dir):
     return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
 
 
+@register("op8_genetic_packing")
+def op8_genetic_packing(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return genetic_packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 @register("op9_pair_index_bpe")
 def op9_pair_index_bpe(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
