@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
-                         minhash_dedup, overlap_token_counts, pair_index_bpe)
+                         minhash_dedup, overlap_token_counts, pair_index_bpe, warc)
 from farebox.llm.common import read_table
+from farebox.session import scratch_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -60,6 +61,12 @@ def op5_counterfactual_toxicity(spark, sf_dir):
     return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
 
 
+@register("op6_warc")
+def op6_warc(spark, sf_dir):
+    path = warc.write_pages(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.page_digests(warc.read_warc(spark, path))
+
+
 @register("op8_genetic_packing")
 def op8_genetic_packing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
@@ -76,3 +83,21 @@ def op9_pair_index_bpe(spark, sf_dir):
 def op10_overlap_token_counts(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return overlap_token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+LLM_ORACLE["op6_warc"] = """
+WITH base AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+),
+digests AS (
+    SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM base
+),
+firsts AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id
+    FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NULL OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
