@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
-                         minhash_dedup, overlap_token_counts, pair_index_bpe, warc)
+                         license_sentences, minhash_dedup, overlap_token_counts, pair_index_bpe, warc)
 from farebox.llm.common import read_table
 from farebox.session import scratch_path
 
@@ -45,6 +45,14 @@ def op7_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(docs, words_per_shingle=4, threshold_percent=80)
 
 
+@register("op3_license_sentences")
+def op3_license_sentences(spark, sf_dir):
+    return license_sentences.scan(read_table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLE["op3_license_sentences"] = license_sentences.oracle_sql()
+
+
 @register("op4_compression_classifier")
 def op4_compression_classifier(spark, sf_dir):
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
