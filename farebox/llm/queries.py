@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
-                         license_sentences, minhash_dedup, overlap_token_counts, pair_index_bpe, warc)
+                         license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, warc)
 from farebox.llm.common import read_table
 from farebox.session import scratch_path
 
@@ -45,6 +45,37 @@ def op7_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(docs, words_per_shingle=4, threshold_percent=80)
 
 
+@register("op2_nn_descent")
+def op2_nn_descent(spark, sf_dir):
+    return nn_descent.near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+LLM_ORACLE["op2_nn_descent"] = """
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+usable AS (
+    SELECT n, vec_id, e, sqrt(list_sum([x * x FOR x IN e])) AS norm FROM rows
+    WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN e IF x <> 0]) > 0
+),
+links AS (
+    SELECT a.n AS a, b.n AS b, a.vec_id AS a_id, b.vec_id AS b_id FROM usable a JOIN usable b
+    ON a.n <> b.n AND list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+),
+reach(n, id) AS (
+    SELECT n, vec_id FROM usable
+    UNION
+    SELECT l.a, r.id FROM reach r JOIN links l ON l.b = r.n
+),
+smallest AS (SELECT n, min(id) AS component_id FROM reach GROUP BY n),
+degree AS (SELECT a AS n, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(vec_id = coalesce(component_id, vec_id), true) AS kept
+FROM rows LEFT JOIN degree USING (n) LEFT JOIN smallest USING (n)
+"""
+
+
 @register("op3_license_sentences")
 def op3_license_sentences(spark, sf_dir):
     return license_sentences.scan(read_table(spark, sf_dir, "documents"))

@@ -1,0 +1,77 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from farebox.llm import nn_descent as nn
+from farebox.llm import queries
+from tests.conftest import SF_MID
+from tests.llm.test_minhash_dedup import components_of
+from tests.oracle_compare import compare, duck
+
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
+                       T.StructField("uid", T.StringType()), T.StructField("node", T.StringType())])
+
+
+def brute(rows, threshold):
+    ok = [k for k, (_, v) in enumerate(rows)
+          if v and len(v) == 16 and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    m = np.array([np.float32(rows[k][1]) for k in ok], dtype=np.float64)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    sims = m @ m.T
+    np.fill_diagonal(sims, -1)
+    links = [(ok[a], ok[b]) for a, b in zip(*np.nonzero(sims >= threshold))]
+    comp = components_of(range(len(rows)), links)
+    out = []
+    for k, (i, _) in enumerate(rows):
+        group = [rows[j][0] for j in range(len(rows)) if comp[j] == comp[k] and rows[j][0] is not None]
+        smallest = min(group, default=None)
+        out.append((i is None, i or 0, sum(a == k for a, _ in links), smallest, i is None or smallest is None or i == smallest))
+    return sorted(out, key=str)
+
+
+def result(spark, rows, threshold=0.95):
+    frame = spark.createDataFrame([(i, v, "clash", "clash") for i, v in rows], SCHEMA)
+    out = nn.near_vectors(frame, threshold)
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
+    return sorted(((r[0] is None, r[0] or 0, *r[1:]) for r in out.collect()), key=str)
+
+
+def around(rng, centre, n, spread):
+    return [(centre + spread * rng.standard_normal(16)).astype(np.float32).tolist() for _ in range(n)]
+
+
+def test_matches_brute_force(spark):
+    rng = np.random.default_rng(1)
+    vecs = [rng.standard_normal(16).astype(np.float32).tolist() for _ in range(250)]
+    for size, spread in ((260, 0.06), (90, 0.1), (30, 0.05), (40, 0.13)):  # tight, at the threshold, small, loose
+        vecs += around(rng, rng.standard_normal(16), size, spread)
+    vecs += [vecs[3]] * 70 + [[x * 1e-30 for x in vecs[4]], [x * 1e30 for x in vecs[4]]]
+    rows = [(i * 7 % 1009, v) for i, v in enumerate(vecs)]
+    rows += [(2000, None), (2001, []), (2002, [0.0] * 16), (2003, [math.nan] * 16), (2004, [math.inf] + [1.0] * 15),
+             (2005, [None] + [1.0] * 15), (2006, [1.0] * 5), (None, vecs[3]), (None, None), (rows[5][0], vecs[3])]
+    random.Random(2).shuffle(rows)
+    assert result(spark, rows) == brute(rows, 0.95)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [1.0] * 16)], [(1, None)], [(1, [1.0] * 16), (0, [2.0] * 16), (5, [-1.0] * 16)]])
+def test_small_tables(spark, rows):
+    want = brute(rows, 0.95) if any(v for _, v in rows) else [(False, i, 0, i, True) for i, _ in rows]
+    assert result(spark, rows) == sorted(want, key=str)
+
+
+def test_audit_measures_recall(spark):
+    rng = np.random.default_rng(3)
+    vecs = around(rng, rng.standard_normal(16), 20, 0.05)
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "uid long, vec array<double>")
+    none = spark.createDataFrame([(i, 0) for i in range(20)], "uid long, n_links long")
+    half = spark.createDataFrame([(i, 19 if i % 2 else 0) for i in range(20)], "uid long, n_links long")
+    assert nn.audit(frame, none, 0.95) == 0.0 and nn.audit(frame, half, 0.95) == 0.5
+
+
+def test_query_matches_sql(spark):
+    name = "op2_nn_descent"
+    ok, msg = compare(spark, duck(SF_MID), name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], SF_MID)
+    assert ok, msg
