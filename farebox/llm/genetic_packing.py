@@ -28,7 +28,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.llm.common import materialise
-from farebox.llm.segment_encoding import SegmentEncoder, drops_white_space, library_segments
+from farebox.llm.pair_index_bpe import encoder_of
+from farebox.llm.segment_encoding import encode_column
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -59,20 +59,13 @@ ISLAND_SCHEMA = T.StructType([
 
 
 # ---------------------------------------------------------------- pieces
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> SegmentEncoder:
-    if not drops_white_space(path):
-        raise ValueError(f"{path}: packing takes tokenizers that drop white space")
-    return SegmentEncoder(library_segments(path))
-
-
 def pieces_column(text, path: str, capacity: int):
     """The pieces of each document: number, start, length, CRC-32 of the ids."""
 
     @F.arrow_udf(PIECE_TYPE)
     def pieces(texts: pa.Array) -> pa.Array:
         begin, number, starts, lengths, prints = [0], [], [], [], []
-        for ids in _encoder(path).encode_column(texts):
+        for ids in encode_column(texts, encoder_of(path).encode_segments):
             ids = np.append(ids, np.uint32(CLOSING_ID)).astype("<u4")
             for k, start in enumerate(range(0, len(ids), capacity)):
                 part = ids[start : start + capacity]
@@ -256,7 +249,8 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col:
                    **sizes: int) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     rows = docs.select(F.col(id_col).alias("doc"), pieces_column(F.col(text_col), path, capacity).alias("pieces"))
-    pieces = rows.select("doc", F.explode("pieces").alias("p")).select("doc", "p.*")
+    # explode() would filter on the array first and so tokenize twice; there is always a piece.
+    pieces = rows.select("doc", F.explode_outer("pieces").alias("p")).select("doc", "p.*")
     pieces = materialise(pieces.withColumn("item", F.monotonically_increasing_id()), "packing-pieces")
     full = F.col("length") == capacity
     bins = pack_items(pieces.where(~full).select("item", "length"), capacity, **sizes)

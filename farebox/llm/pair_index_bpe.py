@@ -26,14 +26,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.llm.common import struct_array
-from farebox.llm.segment_encoding import SegmentEncoder, drops_white_space, load_tokenizer, take_runs
+from farebox.llm.segment_encoding import drops_white_space, encode_column, load_tokenizer, take_runs
 
-NO_RANK = np.int64(1 << 62)
+NO_RANK = np.int32((1 << 31) - 1)
 
 RESULT_TYPE = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                             T.StructField("decoded_sha256", T.StringType())])
@@ -65,11 +66,15 @@ class PairIndexBpe:
             raise ValueError(f"{path}: a merge needs a symbol that only a later merge makes")
         left = np.array([self.vocab[a] for a, _ in merges], dtype=np.int64)
         right = np.array([self.vocab[b] for _, b in merges], dtype=np.int64)
-        self.merged = np.array([self.vocab[a + b] for a, b in merges], dtype=np.int64)
+        self.merged = np.array([self.vocab[a + b] for a, b in merges], dtype=np.int32)
         self.twins = left == right
         keys = left * self.size + right
-        self.rank_order = np.argsort(keys)
+        self.rank_order = np.argsort(keys).astype(np.int32)
         self.pair_keys = keys[self.rank_order]
+        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]
+        lower = self._lower_only(spec["normalizer"])
+        self.ascii_normal = str.lower if lower else str
+        self.ascii_words = regex.compile(split["Regex"]) if list(split) == ["Regex"] and self._bytes_only(spec) and lower is not None else None
         # Symbols of a word's characters, and of its last character.
         self.symbol_of = self._by_character({c: i for c, i in self.vocab.items() if len(c) == 1})
         self.last_symbol_of = self._by_character(
@@ -78,36 +83,54 @@ class PairIndexBpe:
         for token, i in [*self.vocab.items(), *self.special.items()]:
             self.token_of[i] = token.encode()
 
+    @staticmethod
+    def _bytes_only(spec: dict) -> bool:
+        """True when all that follows the pre-tokenizer's split is the mapping
+        of bytes to characters (which leaves printable ASCII as it is)."""
+        rest = spec["pre_tokenizer"]["pretokenizers"][1:]
+        return len(rest) == 1 and rest[0]["type"] == "ByteLevel" and not rest[0]["add_prefix_space"] and not rest[0]["use_regex"]
+
+    @staticmethod
+    def _lower_only(normalizer: dict | None) -> bool | None:
+        """Whether printable ASCII is lower-cased; None when other things may happen to it."""
+        steps = [] if normalizer is None else normalizer.get("normalizers", [normalizer])
+        harmless = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
+        if all(n["type"] in harmless or n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"} for n in steps):
+            return any(n["type"] == "Lowercase" for n in steps)
+        return None
+
     @staticmethod
     def _by_character(ids: dict[str, int]) -> np.ndarray:
-        table = np.full(1 + max(map(ord, ids)), -1, dtype=np.int64)
+        table = np.full(1 + max(map(ord, ids)), -1, dtype=np.int32)
         for c, i in ids.items():
             table[ord(c)] = i
         return table
 
     # ------------------------------------------------------------ encoding
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left * self.size + right
+        keys = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.rank_order[at], NO_RANK)
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words (non-empty, as the pre-tokenizer gives them), one
+        """Ids of all words (as the pre-tokenizer gives them), one
         after the other, and the number of ids of each word."""
-        if not words:
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        counts = np.zeros(len(words), dtype=np.int64)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         total = int(sizes.sum())
+        if not total:
+            return np.empty(0, dtype=np.int32), counts
+        some, sizes = sizes > 0, sizes[sizes > 0]
         characters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
         symbol = self.symbol_of[characters]
         symbol[np.cumsum(sizes) - 1] = self.last_symbol_of[characters[np.cumsum(sizes) - 1]]
         ends = np.cumsum(sizes)
-        after = np.arange(1, total + 1, dtype=np.int64)
+        after = np.arange(1, total + 1, dtype=np.int32)
         after[ends - 1] = -1
-        before = np.arange(-1, total - 1, dtype=np.int64)
+        before = np.arange(-1, total - 1, dtype=np.int32)
         before[ends - sizes] = -1
-        rank = np.full(total, NO_RANK)
-        inner = np.flatnonzero(after >= 0)
+        rank = np.full(total, NO_RANK, dtype=np.int32)
+        inner = np.flatnonzero(after >= 0).astype(np.int32)
         rank[inner] = self._ranks(symbol[inner], symbol[after[inner]])
         lists: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
@@ -129,6 +152,7 @@ class PairIndexBpe:
                     heapq.heappush(active, r)
                 lists[r].append(positions[start:stop])
 
+        just_merged = np.zeros(total, dtype=bool)
         enlist(inner)
         while active:
             r = heapq.heappop(active)
@@ -143,7 +167,7 @@ class PairIndexBpe:
                     if p != taken:
                         chosen.append(p)
                         taken = int(after[p])
-                at = np.array(chosen, dtype=np.int64)
+                at = np.array(chosen, dtype=np.int32)
             if not len(at):
                 continue
             gone = after[at]
@@ -157,12 +181,15 @@ class PairIndexBpe:
             rank[at] = NO_RANK
             with_next = at[inside]
             rank[with_next] = self._ranks(symbol[with_next], symbol[after[with_next]])
+            just_merged[at] = True
             previous = before[at]
-            with_previous = previous[previous >= 0]
+            with_previous = previous[(previous >= 0) & ~just_merged[previous]]
+            just_merged[at] = False
             rank[with_previous] = self._ranks(symbol[with_previous], symbol[after[with_previous]])
-            enlist(np.unique(np.concatenate([with_next, with_previous])))
+            enlist(np.concatenate([with_next, with_previous]))
         alive = symbol >= 0
-        return symbol[alive], np.add.reduceat(alive.astype(np.int64), ends - sizes)
+        counts[some] = np.add.reduceat(alive.astype(np.int64), ends - sizes)
+        return symbol[alive], counts
 
     def _words(self, segment: str) -> list[str | int]:
         """Words of a segment as the library cuts it; special strings as ids."""
@@ -180,43 +207,60 @@ class PairIndexBpe:
     def _words_of_all(self, segments: list[str]) -> tuple[list[str | int], np.ndarray]:
         """The words of all segments, and the segment of each word.
 
-        Segments that are plain (no special string, no white space of any
-        kind) go through the library in one call.
+        Segments without special strings and white space of any kind go
+        through the library in one call; the printable ASCII ones are cut by the
+        pre-tokenizer's own pattern.
         """
-        plain, words, owners = [], [], []
+        special = self.special_split if self.special_split and self.special_split.search(" ".join(segments)) else None
+        ascii_, plain, words, owners = [], [], [], []
         for i, s in enumerate(segments):
-            if len(s.split()) == 1 and not (self.special_split and self.special_split.search(s)):
+            if special and special.search(s):
+                words += (own := self._words(s))
+                owners += [i] * len(own)
+            elif s.isascii() and s.isprintable() and self.ascii_words:
+                ascii_.append(i)
+            elif len(s.split()) == 1:
                 plain.append(i)
             else:
                 words += (own := self._words(s))
                 owners += [i] * len(own)
+        owner = [np.array(owners, dtype=np.int64)]
+        text = "".join(segments[i] for i in ascii_)
+        lengths = np.fromiter((len(segments[i]) for i in ascii_), dtype=np.int64, count=len(ascii_))
+        found = self.ascii_words.findall(self.ascii_normal(" ".join(segments[i] for i in ascii_))) if ascii_ else []
+        if sum(map(len, found)) == len(text):  # the pattern leaves out nothing, so words follow one another
+            starts = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+            words += found
+            owner.append(np.array(ascii_, dtype=np.int64)[np.searchsorted(np.cumsum(lengths), starts, side="left")])
+        else:
+            plain = sorted(plain + ascii_)
         normal = self._normal(" ".join(segments[i] for i in plain))
         pieces = normal.split(" ")
-        if len(pieces) != len(plain):  # normalising has made or lost a blank: one by one
+        if len(pieces) == len(plain):
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+            ends = np.cumsum(np.fromiter((len(x) + 1 for x in pieces), dtype=np.int64, count=len(pieces)))
+            starts = np.fromiter((at[0] for _, at in cut), dtype=np.int64, count=len(cut))
+            words += [w for w, _ in cut]
+            owner.append(np.array(plain, dtype=np.int64)[np.searchsorted(ends, starts, side="right")])
+        else:  # normalising has made or lost a blank: one by one
             for i in plain:
                 words += (own := self._words(segments[i]))
-                owners += [i] * len(own)
-            return words, np.array(owners, dtype=np.int64)
-        found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-        ends = np.cumsum(np.fromiter((len(x) + 1 for x in pieces), dtype=np.int64, count=len(pieces)))
-        starts = np.fromiter((at[0] for _, at in found), dtype=np.int64, count=len(found))
-        owner = np.array(plain, dtype=np.int64)[np.searchsorted(ends, starts, side="right")]
-        return words + [w for w, _ in found], np.concatenate([np.array(owners, dtype=np.int64), owner])
+                owner.append(np.full(len(own), i, dtype=np.int64))
+        return words, np.concatenate(owner)
 
     def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all segments (text without ASCII white space), one after the
         other, and the number of ids of each segment."""
         words, owner = self._words_of_all(segments)
-        place: dict[str | int, int] = {}
-        at = np.fromiter((place.setdefault(w, len(place)) for w in words), dtype=np.int64, count=len(words))
-        texts = [w for w in place if isinstance(w, str)]
-        special = [w for w in place if not isinstance(w, str)]
+        coded = pa.array(["" if isinstance(w, int) else w for w in words], pa.string()).dictionary_encode()
+        at, texts = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
         ids, counts = self.encode_words(texts)
-        ids, counts = np.append(ids, np.array(special, dtype=np.int64)), np.append(counts, np.ones(len(special), np.int64))
-        number = np.empty(len(place), dtype=np.int64)  # of each distinct word in ``ids``
-        number[[place[w] for w in texts + special]] = np.arange(len(place))
+        special = [k for k, w in enumerate(words) if isinstance(w, int)] if "" in texts else []
+        at[special] = len(counts) + np.arange(len(special))
+        ids = np.append(ids, np.array([words[k] for k in special], dtype=ids.dtype))
+        counts = np.append(counts, np.ones(len(special), dtype=np.int64))
         order = np.argsort(owner, kind="stable")
-        at = number[at[order]]
+        at = at[order]
         begin = np.cumsum(counts) - counts
         sizes = np.bincount(owner[order], weights=counts[at], minlength=len(segments)).astype(np.int64)
         return take_runs(ids, begin[at], counts[at]), sizes
@@ -229,10 +273,9 @@ class PairIndexBpe:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(path: str) -> tuple[PairIndexBpe, SegmentEncoder]:
-    """One encoder per Python worker; what it has learnt serves later tasks."""
-    bpe = PairIndexBpe(path)
-    return bpe, SegmentEncoder(bpe.encode_segments)
+def encoder_of(path: str) -> PairIndexBpe:
+    """One encoder per Python worker."""
+    return PairIndexBpe(path)
 
 
 def ids_column(text, path: str):
@@ -240,7 +283,7 @@ def ids_column(text, path: str):
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
-        return pa.array([x.view(np.int32) for x in encoder_of(path)[1].encode_column(texts)], pa.list_(pa.int32()))
+        return pa.array([x.view(np.int32) for x in encode_column(texts, encoder_of(path).encode_segments)], pa.list_(pa.int32()))
 
     return ids(text)
 
@@ -250,7 +293,7 @@ def decoded_column(ids, path: str):
 
     @F.arrow_udf(T.StringType())
     def decoded(column: pa.Array) -> pa.Array:
-        bpe = encoder_of(path)[0]
+        bpe = encoder_of(path)
         return pa.array([None if x is None else bpe.decode(np.array(x, dtype=np.int64)).decode() for x in column.to_pylist()],
                         pa.string())
 
@@ -263,9 +306,9 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
 
     @F.arrow_udf(RESULT_TYPE)
     def digests(texts: pa.Array) -> pa.Array:
-        bpe, encoder = encoder_of(path)
+        bpe = encoder_of(path)
         rows = [(len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                 hashlib.sha256(bpe.decode(ids)).hexdigest()) for ids in encoder.encode_column(texts)]
+                 hashlib.sha256(bpe.decode(ids)).hexdigest()) for ids in encode_column(texts, bpe.encode_segments)]
         return struct_array(rows, RESULT_TYPE)
 
     return docs.select(F.col(id_col), digests(F.col(text_col)).alias("_digests")).select(id_col, "_digests.*")

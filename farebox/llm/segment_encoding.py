@@ -1,24 +1,25 @@
 """Encode texts by their distinct words.
 
 A tokenizer whose pre-tokenizer drops white space never forms a token across
-it, so a text's ids are the ids of its white-space separated segments in a
-row.  Each distinct segment is encoded once and looked up from then on.
+it, so a text's ids are the ids of its white-space separated segments in a row.  Each distinct segment is encoded once and looked up from then on.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from farebox.llm.common import ROWS_AT_ONCE, utf8_values
-
-MAX_SEGMENTS = 300_000
-TEXT_BYTES_AT_ONCE = 8 << 20
+# Bounds of a Python worker's memory: text held at a time, segments whose ids
+# are gathered at a time, segments the library encodes at a time.
+TEXT_BYTES_AT_ONCE = 12 << 20
+WORDS_AT_ONCE = 1 << 18
+SEGMENTS_AT_ONCE = 4096
 
 
 def load_tokenizer(path: str) -> Tokenizer:
@@ -57,58 +58,42 @@ def library_segments(path: str) -> EncodeSegments:
     tokenizer = load_tokenizer(path)
 
     def encode(segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(sizes.sum())), sizes
+        flat, sizes = [], []
+        for k in range(0, len(segments), SEGMENTS_AT_ONCE):
+            ids = [e.ids for e in tokenizer.encode_batch_fast(segments[k : k + SEGMENTS_AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)))
+            flat.append(np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(sizes[-1].sum())))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     return encode
 
 
-class SegmentEncoder:
-    """Ids of whole texts; ``encode_new`` gives the ids of unseen segments."""
-
-    def __init__(self, encode_new: EncodeSegments) -> None:
-        self.encode_new = encode_new
-        self._reset()
-
-    def _reset(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.flat = np.empty(0, dtype=np.uint32)
-        self.begin = np.zeros(1, dtype=np.int64)  # of each segment in ``flat``, then the end
-
-    def _learn(self, fresh: list[bytes]) -> None:
-        ids, sizes = self.encode_new([s.decode("utf-8", "replace") for s in fresh])
-        self.flat = np.append(self.flat, ids.astype(np.uint32))
-        self.begin = np.append(self.begin, self.begin[-1] + np.cumsum(sizes))
-
-    def encode(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
-        """The ids (uint32) of each text."""
-        if len(self.place) > MAX_SEGMENTS:
-            self._reset()
-        split = [t.split() if t else [] for t in texts]
-        known, place = len(self.place), self.place
-        rows = [np.fromiter((place.setdefault(s, len(place)) for s in segments), dtype=np.int64, count=len(segments))
-                for segments in split]
-        if len(place) > known:
-            self._learn(list(place)[known:])
-        for at in rows:
-            yield take_runs(self.flat, self.begin[at], self.begin[at + 1] - self.begin[at])
-
-    def encode_column(self, column: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text of an Arrow column, a bounded part at a time."""
-        for texts in parts(utf8_values(column)):
-            yield from self.encode(texts)
-
-
-def parts(texts: Iterable[bytes | None]) -> Iterator[list[bytes | None]]:
-    """Runs of texts of some ``TEXT_BYTES_AT_ONCE`` bytes together."""
-    out: list[bytes | None] = []
-    held = 0
-    for t in texts:
-        out.append(t)
-        held += len(t or b"")
-        if held >= TEXT_BYTES_AT_ONCE or len(out) >= 100 * ROWS_AT_ONCE:
-            yield out
-            out, held = [], 0
-    if out:
-        yield out
+def encode_column(column: pa.Array, encode: EncodeSegments) -> Iterator[np.ndarray]:
+    """The ids (uint32) of each text of a string column (null: none), a
+    bounded part of the column at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // TEXT_BYTES_AT_ONCE
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(column)]):
+        if stop > start:
+            yield from _encode_part(column.slice(start, stop - start), encode)
+
+
+def _encode_part(texts: pa.Array, encode: EncodeSegments) -> Iterator[np.ndarray]:
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = split.flatten().dictionary_encode()
+    segments = [s.decode("utf-8", "replace") for s in coded.dictionary.cast(pa.binary()).to_pylist()]
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    ids, sizes = encode(segments)
+    ids, begin = ids.astype(np.uint32), np.cumsum(sizes) - sizes
+    bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+    row = 0
+    while row < len(texts):  # as many rows as hold WORDS_AT_ONCE segments
+        end = max(row + 1, int(np.searchsorted(bounds, bounds[row] + WORDS_AT_ONCE, side="right")) - 1)
+        words = at[bounds[row] : bounds[end]]
+        held = sizes[words]
+        found = take_runs(ids, begin[words], held)
+        ends = np.append(0, np.cumsum(held))[bounds[row : end + 1] - bounds[row]]
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            yield found[a:b]
+        row = end

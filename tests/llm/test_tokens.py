@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -36,10 +37,10 @@ def texts_of(seed, n=300):
 @given(st.lists(st.one_of(st.sampled_from(PIECES), st.text(max_size=12)), max_size=12))
 def test_pair_index_equals_the_library(pieces):
     text = "".join(pieces).encode("utf-8", "replace").decode()
-    bpe, encoder = pib.encoder_of(WORD)
+    bpe = pib.encoder_of(WORD)
     library = Tokenizer.from_file(WORD)
     want = library.encode(text, add_special_tokens=False).ids
-    got = next(encoder.encode([text.encode()]))
+    got = next(segment_encoding.encode_column(pa.array([text]), bpe.encode_segments))
     assert got.tolist() == want
     assert bpe.decode(got).decode() == library.decode(want, skip_special_tokens=False)
 
@@ -58,7 +59,7 @@ def brute_bpe(bpe, word):
 
 def test_pair_index_equals_word_by_word_merging():
     rng = random.Random(4)
-    bpe, _ = pib.encoder_of(WORD)
+    bpe = pib.encoder_of(WORD)
     words = ["".join(rng.choices("aabenorst", k=rng.randint(1, 14))) for _ in range(400)] + ["a" * n for n in range(1, 20)]
     ids, counts = bpe.encode_words(words)
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [brute_bpe(bpe, w) for w in words]
@@ -86,11 +87,12 @@ def test_ids_and_decoded_columns(spark):
     assert back == {1: "hello</w> <|endoftext|> world</w>", 2: ""}
 
 
-def test_segments_with_the_library_and_files_it_cannot_take():
+def test_segments_with_the_library_and_files_it_cannot_take(monkeypatch):
     library = Tokenizer.from_file(WORD)
     texts = texts_of(2)
-    encoder = segment_encoding.SegmentEncoder(segment_encoding.library_segments(WORD))
-    got = list(encoder.encode([None if t is None else t.encode() for t in texts]))
+    monkeypatch.setattr(segment_encoding, "TEXT_BYTES_AT_ONCE", 2000)
+    monkeypatch.setattr(segment_encoding, "WORDS_AT_ONCE", 50)
+    got = list(segment_encoding.encode_column(pa.array(["x", *texts]).slice(1), segment_encoding.library_segments(WORD)))
     assert [x.tolist() for x in got] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert segment_encoding.drops_white_space(WORD) and not segment_encoding.drops_white_space(BYTE)
     with pytest.raises(ValueError):
