@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farebox.llm import compression_bands
+from farebox.llm import compression_bands, compression_classifier, genetic_packing, minhash_dedup
+from farebox.llm.common import fold, read_table
 from farebox.session import scratch_path
 
 
@@ -20,8 +22,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return compression_bands.keep_good(docs)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier takes for good; it is fitted
+    on labelled rows of the tables, a fifth of which it never sees."""
+    labels = read_table(spark, sf_dir, "labels").where(fold(5) != 0)
+    model = compression_classifier.fit(read_table(spark, sf_dir, "documents"), labels)
+    return compression_classifier.keep_predicted(docs, model, threshold=0.3)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: shingles of five words, similarity 0.8 or more."""
+    return minhash_dedup.drop_near_duplicates(docs, words_per_shingle=5, threshold_percent=80)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 2048 tokens."""
+    return genetic_packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("near_dedup", near_dedup),
+    ("packing", packing),
 ]
 
 # zstandard, a fitted classifier and tokenization are beyond SQL; the stages
@@ -31,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; every stage's result is a table in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)

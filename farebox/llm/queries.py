@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
                          license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, warc)
-from farebox.llm.common import read_table
+from farebox.llm.common import fold, read_table
 from farebox.session import scratch_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +28,6 @@ def register(name: str):
     return wrap
 
 
-def fold(modulus: int) -> Column:
-    """crc32 of the document id as text, modulo ``modulus``."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
-
-
 @register("op1_compression_bands")
 def op1_compression_bands(spark, sf_dir):
     return compression_bands.quality_report(read_table(spark, sf_dir, "documents"))
