@@ -15,8 +15,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _finite(c: Column) -> Column:
+    """False for NaN and infinities (NaN ranks above every number)."""
+    return F.abs(c) < F.lit(float("inf"))
+
+
 def _haversine_term(lat1: Column, lon1: Column, lat2: Column, lon2: Column, clamp: bool) -> Column:
-    """The haversine ``a`` term: sin^2(dlat/2) + cos(lat1) cos(lat2) sin^2(dlon/2)."""
+    """The haversine ``a`` term: sin^2(dlat/2) + cos(lat1) cos(lat2) sin^2(dlon/2);
+    null when a coordinate is null or not finite."""
     dlat = F.radians(lat2 - lat1)
     dlon = F.radians(lon2 - lon1)
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2), 2)
@@ -24,7 +30,7 @@ def _haversine_term(lat1: Column, lon1: Column, lat2: Column, lon2: Column, clam
         # Rounding can push ``a`` a hair above 1 for antipodal points; sqrt(1 - a)
         # and asin(sqrt(a)) would then give NaN, which sorts above every distance.
         a = F.least(F.greatest(a, F.lit(0.0)), F.lit(1.0))
-    return a
+    return F.when(reduce(lambda x, y: x & y, map(_finite, (lat1, lon1, lat2, lon2))), a)
 
 
 def haversine_km_atan2(lat1, lon1, lat2, lon2, clamp: bool = True) -> Column:

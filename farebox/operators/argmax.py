@@ -1,12 +1,12 @@
-"""Row with the largest value per key, three ways.
-
-* ``argmax_window`` -- ``row_number() == 1`` over a fully tie-broken order.
-  Spark inserts a partial ``WindowGroupLimit`` before the shuffle, so each
-  task ships at most one row per key.
-* ``argmax_max_by`` -- one hash aggregate with ``max_by``; no sort at all.
-* ``argmax_ties`` -- every row that reaches the per-key maximum (what a join
-  back to the per-key ``MAX`` returns), as ``rank() == 1``: one scan, no join,
-  null keys dropped; the partial group limit again runs before the shuffle.
+"""Row with the largest value per key.
+
+* ``argmax_first`` -- one row per key, ties on the value broken by the largest
+  ``tie``: per-key maxima by hash aggregate, the rows that reach them by a join
+  that leaves the input in place, then the largest tie.  No sort.
+* ``argmax_ties`` -- every row that reaches the per-key maximum, by the same
+  join (or, ``method="rank"``, as ``rank() == 1``); null keys dropped.
+* ``argmax_window`` -- ``row_number() == 1`` over a fully tie-broken order: one
+  scan, but every task sorts its input.  Kept as a variant.
 """
 
 from __future__ import annotations
@@ -25,26 +25,21 @@ def argmax_window(df: DataFrame, keys, order: list[Column], columns: list[str])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*columns)
 
 
-def argmax_max_by(df: DataFrame, keys, value: str, payload: list[str]) -> DataFrame:
-    """One row per key with the max ``value`` and the payload of that row.
-
-    Payload columns come from a single row (each ``max_by`` on the same
-    ordering picks the same row only when the maximum is unique; ties take
-    any tied row, as a pairwise reduce would).
-    """
-    aggs = [F.max(value).alias(value)] + [F.max_by(p, value).alias(p) for p in payload]
-    # Null values are skipped by both aggregates; a key with no value at all is
-    # dropped after the aggregate (a filter before it would be pushed below the
-    # projection and compute ``value`` twice per row).
-    return df.groupBy(*_keys(keys)).agg(*aggs).where(F.col(value).isNotNull())
+def argmax_first(df: DataFrame, keys, value: str, tie: str) -> DataFrame:
+    """(keys, value, tie) of the row with the largest ``value`` of each key
+    (null key included), the largest ``tie`` among equals; a key without any
+    value has no row."""
+    ks = _keys(keys)
+    rows = argmax_ties_join(df, ks, value, [*ks, value, tie], null_keys=True)
+    return rows.groupBy(*ks).agg(F.max(value).alias(value), F.max(tie).alias(tie))
 
 
-def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str = "rank") -> DataFrame:
+def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str = "join") -> DataFrame:
     """All rows whose ``value`` equals the per-key maximum; null keys dropped.
 
-    ``method="rank"`` scans once; rows tied at a key's maximum meet in that
-    key's task.  ``method="join"`` joins back to the per-key maxima instead:
-    two scans, but tied rows stay where they are (see ``argmax_ties_join``).
+    ``method="join"`` joins back to the per-key maxima: two scans, but tied
+    rows stay where they are (see ``argmax_ties_join``).  ``method="rank"``
+    scans once, but sorts, and rows tied at a maximum meet in one task.
     """
     if method == "join":
         return argmax_ties_join(df, keys, value, columns)
@@ -59,7 +54,7 @@ def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str
     return ranked.where((F.col("_rk") == 1) & F.col(value).isNotNull()).select(*columns)
 
 
-def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str]) -> DataFrame:
+def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str], null_keys: bool = False) -> DataFrame:
     """Join back to the per-key maxima, without moving the rows.
 
     The maxima (one row per key, from a hash aggregate) are materialised with
@@ -67,15 +62,16 @@ def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str]) -> Dat
     when small -- broadcast, so every task filters its own rows against them:
     no shuffle of the input and no task ever holds all rows tied at a maximum.
     Above the broadcast bound it is a sort-merge join (AQE splits a hot key).
+    With ``null_keys`` a null key is a key like any other.
     """
     from farebox.operators.joins import lookup_join
     from farebox.session import checkpoint_root
 
     ks = _keys(keys)
     renamed = {k: f"_max_key_{i}" for i, k in enumerate(ks)}
-    keyed = None
-    for k in ks:
-        keyed = F.col(k).isNotNull() if keyed is None else keyed & F.col(k).isNotNull()
+    keyed = F.lit(True)
+    for k in ks if not null_keys else []:
+        keyed = keyed & F.col(k).isNotNull()
     maxima = (df.where(keyed).groupBy(*ks).agg(F.max(value).alias("_max_value"))
               .where(F.col("_max_value").isNotNull())
               .select(*[F.col(k).alias(renamed[k]) for k in ks], "_max_value"))
@@ -83,5 +79,5 @@ def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str]) -> Dat
     maxima = maxima.checkpoint(eager=True)
     cond = F.col(value) == F.col("_max_value")
     for k in ks:
-        cond = cond & (F.col(k) == F.col(renamed[k]))
+        cond = cond & F.col(k).eqNullSafe(F.col(renamed[k]))
     return lookup_join(df, maxima, cond).select(*columns)
