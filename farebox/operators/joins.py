@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.session import app_id
-
 # Session settings that override the bounds below.
 MAX_ROWS_CONF = "farebox.broadcast.maxRows"
 MAX_BYTES_CONF = "farebox.broadcast.maxBytes"
@@ -50,12 +48,6 @@ def _row_bytes(df: DataFrame) -> Column | None:
     return total
 
 
-# Verdicts of earlier checks in this process, keyed by application, the
-# relation's semantic plan hash, its input files and the bounds.  Spark
-# writes new file names on every (over)write, so a changed input gives a new key.
-_VERDICTS: dict[tuple, bool] = {}
-
-
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
@@ -65,20 +57,17 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     receives more than one partial row per scan task.  (A ``limit`` before
     the count would not stop early on a cluster: every scan task would still
     run and send up to ``max_rows`` rows into the single task of the global
-    limit.)  The verdict is memoised per session.
+    limit.)  Measured at every call: a file overwritten in place keeps its name,
+    so a remembered answer could let a grown lookup through.
     """
     max_rows = max_broadcast_rows(df) if max_rows is None else max_rows
     max_bytes = max_broadcast_bytes(df) if max_bytes is None else max_bytes
-    key = (app_id(df.sparkSession), df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows, max_bytes)
-    if key not in _VERDICTS:
-        width = _row_bytes(df)
-        if width is None:
-            _VERDICTS[key] = False
-        else:
-            seen = df.select(width.alias("_b")).agg(
-                F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes")).first()
-            _VERDICTS[key] = seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
-    return _VERDICTS[key]
+    width = _row_bytes(df)
+    if width is None:
+        return False
+    seen = df.select(width.alias("_b")).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_b"), F.lit(0)).alias("bytes")).first()
+    return seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: Column | str | list[str], how: str = "inner",

@@ -56,3 +56,16 @@ def test_trip_view_without_broadcasts_is_identical(spark):
         assert q6() == expected
     finally:
         spark.conf.unset("farebox.broadcast.maxRows")
+
+
+def test_size_check_measures_a_lookup_overwritten_in_place(spark, tmp_path):
+    import shutil
+
+    lookup, file = tmp_path / "lookup", tmp_path / "lookup" / "part-0.csv"
+    lookup.mkdir()
+    file.write_text("".join(f"{i},a\n" for i in range(3)))
+    read = lambda: spark.read.csv(str(lookup), schema="k int, s string")
+    assert joins.fits_broadcast(read(), max_rows=10)
+    (tmp_path / "new.csv").write_text("".join(f"{i},a\n" for i in range(1000)))
+    shutil.copy(tmp_path / "new.csv", file)
+    assert not joins.fits_broadcast(read(), max_rows=10)
