@@ -1,18 +1,11 @@
 """Q3, Q5, Q6 (trip aggregates by zone attributes) and Q4 (night trips).
 
-Two plan shapes, chosen by the size check of the zone lookup:
-
-* lookup proven small -> it is broadcast and every trip probes it map-side;
-  the aggregate then combines per task (partial HashAggregate), so only
-  per-task partials are shuffled.  One shuffle, no fact movement.
-* lookup too big to broadcast -> the trips are aggregated first per
-  (pickup id[, drop-off id]) (eager aggregation: partial aggregate, shuffle of
-  partials only), and the lookup joins those aggregated rows -- a sort-merge
-  join of two relations whose size is bounded by the number of zone ids, not
-  by the number of trips.
-
-Either way the fact table is never shuffled whole and never broadcast, and a
-hot zone costs one partial row per task.
+Trips are aggregated by their zone ids first (partial aggregate per task,
+shuffle of partials only), and the zone lookup joins those few rows: their
+number is bounded by the zone ids, not by the trips.  The lookup is broadcast
+behind its size check, else the join is a sort-merge join of two small
+relations; the plan is the same either way.  The trips are never shuffled
+whole and a hot zone costs one partial row per task.
 """
 
 from __future__ import annotations
@@ -22,7 +15,7 @@ from pyspark.sql import functions as F
 
 from farebox.functions.temporal import hour_in_wrapped_range
 from farebox.operators.aggregates import count_by, sum_by
-from farebox.operators.joins import fits_broadcast, lookup_join, lookup_side, role_playing_join
+from farebox.operators.joins import lookup_join, role_playing_join
 from farebox.operators.ordering import top_k
 from farebox.schemas import MONEY_TOTALS
 
@@ -34,24 +27,19 @@ def pair_counts(trips: DataFrame) -> DataFrame:
     return count_by(trips, ["PULocationID", "DOLocationID"], "n")
 
 
-def _trips_by_pair_roles(trips: DataFrame, zones: DataFrame, columns: list[str], extra=None):
-    """Trips (or pre-aggregated pairs) joined to the zone lookup as pickup
-    ``pu`` and drop-off ``dz``; returns (joined frame, trip-count column)."""
-    lookup = zones.select("LocationID", *columns)
-    small = fits_broadcast(lookup)
-    if small:
-        rows = role_playing_join(trips, lookup, "LocationID", ROLES, extra=extra, small=True)
-        return rows, F.count(F.lit(1))
-    rows = role_playing_join(pair_counts(trips), lookup, "LocationID", ROLES, extra=extra, small=False)
-    return rows, F.sum("n")
+def _pairs_with_roles(trips: DataFrame, zones: DataFrame, columns: list[str], extra=None) -> DataFrame:
+    """Counted id pairs joined to the zone lookup as pickup ``pu`` and drop-off ``dz``."""
+    return role_playing_join(pair_counts(trips), zones.select("LocationID", *columns), "LocationID", ROLES, extra=extra)
+
+
+def _same_borough_pairs(trips: DataFrame, zones: DataFrame) -> DataFrame:
+    pairs = _pairs_with_roles(trips, zones, ["Borough"], extra=F.col("pu.Borough") == F.col("dz.Borough"))
+    return pairs.select(F.col("pu.Borough").alias("Borough"), "n")
 
 
 def same_borough(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Q3: trips that start and end in the same borough, per borough, most first."""
-    rows, trips_n = _trips_by_pair_roles(trips, zones, ["Borough"], extra=F.col("pu.Borough") == F.col("dz.Borough"))
-    return (rows.groupBy(F.col("pu.Borough").alias("Borough"))
-            .agg(trips_n.alias("TotalTrips"))
-            .orderBy(F.col("TotalTrips").desc()))
+    return sum_by(_same_borough_pairs(trips, zones), "Borough", [("n", "TotalTrips")]).orderBy(F.col("TotalTrips").desc())
 
 
 def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame:
@@ -60,70 +48,31 @@ def top_zone_pairs(trips: DataFrame, zones: DataFrame, k: int = 10) -> DataFrame
     Ties on the count are broken by (Pickup_Zone, Dropoff_Zone) so row k is
     stable.  ``orderBy + limit`` runs as a per-task top-k plus a k-row merge.
     """
-    rows, trips_n = _trips_by_pair_roles(trips, zones, ["Zone"], extra=F.col("pu.Zone") != F.col("dz.Zone"))
-    counted = (rows.groupBy(F.col("pu.Zone").alias("Pickup_Zone"), F.col("dz.Zone").alias("Dropoff_Zone"))
-               .agg(trips_n.alias("Total_Trips")))
+    pairs = _pairs_with_roles(trips, zones, ["Zone"], extra=F.col("pu.Zone") != F.col("dz.Zone"))
+    named = pairs.select(F.col("pu.Zone").alias("Pickup_Zone"), F.col("dz.Zone").alias("Dropoff_Zone"), "n")
+    counted = sum_by(named, ["Pickup_Zone", "Dropoff_Zone"], [("n", "Total_Trips")])
     return top_k(counted, k, [F.col("Total_Trips").desc(), F.col("Pickup_Zone").asc(), F.col("Dropoff_Zone").asc()])
 
 
 def revenue_by_borough(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Q6: eight money totals per pickup borough, largest revenue first."""
-    lookup = zones.select("LocationID", "Borough")
-    small = fits_broadcast(lookup)
-    if small:
-        rows = trips
-    else:
-        rows = sum_by(trips, "PULocationID", [(c, c) for c, _ in MONEY_TOTALS])
-    joined = lookup_join(rows, lookup, F.col("PULocationID") == F.col("LocationID"), small=small)
+    per_zone = sum_by(trips, "PULocationID", [(c, c) for c, _ in MONEY_TOTALS])
+    joined = lookup_join(per_zone, zones.select("LocationID", "Borough"), F.col("PULocationID") == F.col("LocationID"))
     return sum_by(joined, "Borough", MONEY_TOTALS).orderBy(F.col("Total_Revenue").desc())
 
 
-# SQL forms of Q3 (``dz`` because ``do`` is a keyword in other dialects).
-SAME_BOROUGH_SQL = """
-SELECT pu.Borough, COUNT(*) AS TotalTrips
-FROM {trips} t
-JOIN {zones} pu ON t.PULocationID = pu.LocationID
-JOIN {zones} dz ON t.DOLocationID = dz.LocationID
-WHERE pu.Borough = dz.Borough
-GROUP BY pu.Borough
-ORDER BY TotalTrips DESC
-"""
-
-SAME_BOROUGH_PREAGG_SQL = """
-WITH pairs AS (
-    SELECT PULocationID, DOLocationID, COUNT(*) AS n
-    FROM {trips}
-    GROUP BY PULocationID, DOLocationID
-)
-SELECT pu.Borough, SUM(p.n) AS TotalTrips
-FROM pairs p
-JOIN {zones} pu ON p.PULocationID = pu.LocationID
-JOIN {zones} dz ON p.DOLocationID = dz.LocationID
-WHERE pu.Borough = dz.Borough
-GROUP BY pu.Borough
-ORDER BY TotalTrips DESC
-"""
-
-NIGHT_SQL = """
-SELECT VendorID, COUNT(*) AS NightTrips
-FROM {trips}
-WHERE HOUR(tpep_pickup_datetime) >= 23 OR HOUR(tpep_pickup_datetime) < 7
-GROUP BY VendorID
-ORDER BY NightTrips DESC
-"""
-
-
 def same_borough_sql(spark: SparkSession, trips: DataFrame, zones: DataFrame) -> DataFrame:
-    """Q3 in SQL; the lookup enters the SQL with a broadcast hint only after its size check."""
-    lookup = zones.select("LocationID", "Borough")
-    if fits_broadcast(lookup):
-        return spark.sql(SAME_BOROUGH_SQL, trips=trips, zones=F.broadcast(lookup))
-    return spark.sql(SAME_BOROUGH_PREAGG_SQL, trips=trips, zones=lookup_side(lookup, False))
+    """Q3 with its last aggregation in SQL."""
+    return spark.sql("""
+        SELECT Borough, SUM(n) AS TotalTrips FROM {counted} GROUP BY Borough ORDER BY TotalTrips DESC
+        """, counted=_same_borough_pairs(trips, zones))
 
 
-def night_trips_sql(spark: SparkSession, trips: DataFrame) -> DataFrame:
-    """Q4: trips picked up 23:00-06:59 per vendor, most first (null vendor kept)."""
-    return spark.sql(NIGHT_SQL, trips=trips)
+def night_trips_sql(spark: SparkSession, trips: DataFrame, start_hour: int = 23, end_hour: int = 7) -> DataFrame:
+    """Q4: trips picked up 23:00-06:59 per vendor, most first (null vendor kept), counted in SQL."""
+    night = trips.where(hour_in_wrapped_range("tpep_pickup_datetime", start_hour, end_hour)).select("VendorID")
+    return spark.sql("SELECT VendorID, COUNT(*) AS NightTrips FROM {night} GROUP BY VendorID ORDER BY NightTrips DESC",
+                     night=night)
 
 
 def night_trips(trips: DataFrame) -> DataFrame:

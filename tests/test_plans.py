@@ -1,10 +1,13 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
+from farebox import jobs
 from farebox.functions.geo import nonzero_points
 from farebox.plans import q1, q2
 from farebox.plans import zones as zq
 from farebox.sinks.writers import write_parquet
-from farebox.sources import tables
+from farebox.sources import rawfiles, tables, text
 from tests.conftest import SF_SMALL, explain_text
 
 
@@ -21,6 +24,16 @@ def test_window_top1_limits_before_shuffle(spark):
     assert plan.index("Exchange hashpartitioning") < plan.rindex("Partial") and partial >= 0
 
 
+def test_longest_trip_forms_do_not_sort_trips(spark):
+    geo = tables.geo_trips(spark, SF_SMALL)
+    lines = text.read_lines(spark, rawfiles.write_geo_csv(spark, SF_SMALL))
+    for form, sorts in ((q2.longest(geo), 0), (q2.longest_text(lines), 0), (q2.longest_sql(spark, geo), 1)):
+        plan = explain_text(form, "simple")
+        # the SQL form's only sort is the final order of the few winners
+        assert len(re.findall(r"[ +:-]Sort \[", plan)) == sorts and "Window" not in plan and "SortMergeJoin" not in plan
+    assert "longest" in jobs.JOBS["q2"][0].__code__.co_names
+
+
 def test_only_lookups_are_broadcast(spark):
     plan = explain_text(zq.revenue_by_borough(tables.loc_trips(spark, SF_SMALL), tables.zones(spark, SF_SMALL)),
                         "simple")
@@ -40,7 +53,7 @@ def test_aggregates_combine_map_side(spark):
 
 def test_no_python_outside_udf(spark):
     geo = tables.geo_trips(spark, SF_SMALL)
-    for df in (q1.hourly_avg(geo), q2.longest_window(geo), q2.longest_max_by(geo), zq.night_trips_sql(spark, geo)):
+    for df in (q1.hourly_avg(geo), q2.longest_window(geo), q2.longest(geo), zq.night_trips_sql(spark, geo)):
         plan = explain_text(df, "simple")
         assert "EvalPython" not in plan and "PythonUDF" not in plan
     assert "ArrowEvalPython" in explain_text(q1.hourly_avg_udf(geo), "simple")
@@ -56,26 +69,19 @@ def test_filter_and_columns_reach_parquet_scan(spark, scratch):
     assert "ReadSchema: struct<VendorID:int,pickup_latitude:double>" in plan2
 
 
-def test_large_lookup_switches_to_eager_aggregation(spark):
+def test_trips_are_aggregated_before_the_lookup_joins(spark):
     loc, zones = tables.loc_trips(spark, SF_SMALL), tables.zones(spark, SF_SMALL)
-    expected = {
-        "q3": [tuple(r) for r in zq.same_borough(loc, zones).collect()],
-        "q5": [tuple(r) for r in zq.top_zone_pairs(loc, zones).collect()],
-        "q6": [tuple(round(x, 2) if isinstance(x, float) else x for x in r)
-               for r in zq.revenue_by_borough(loc, zones).collect()],
-        "q3sql": [tuple(r) for r in zq.same_borough_sql(spark, loc, zones).collect()],
-    }
-    spark.conf.set("farebox.broadcast.maxRows", "1")
-    try:
-        q3 = zq.same_borough(loc, zones)
-        plan = explain_text(q3, "simple")
-        assert "BroadcastHashJoin [PULocationID" not in plan and "SortMergeJoin [PULocationID" in plan
-        assert plan.index("SortMergeJoin [PULocationID") < plan.index("partial_count")  # aggregated below
-        assert [tuple(r) for r in q3.collect()] == expected["q3"]
-        assert [tuple(r) for r in zq.top_zone_pairs(loc, zones).collect()] == expected["q5"]
-        got6 = [tuple(round(x, 2) if isinstance(x, float) else x for x in r)
-                for r in zq.revenue_by_borough(loc, zones).collect()]
-        assert got6 == expected["q6"]
-        assert [tuple(r) for r in zq.same_borough_sql(spark, loc, zones).collect()] == expected["q3sql"]
-    finally:
-        spark.conf.unset("farebox.broadcast.maxRows")
+    rounded = lambda df: [tuple(round(x, 2) if isinstance(x, float) else x for x in r) for r in df.collect()]
+    build = {"q3": lambda: zq.same_borough(loc, zones), "q3_sql": lambda: zq.same_borough_sql(spark, loc, zones),
+             "q5": lambda: zq.top_zone_pairs(loc, zones), "q6": lambda: zq.revenue_by_borough(loc, zones)}
+    expected = {k: rounded(b()) for k, b in build.items()}
+    for max_rows, join in (("1", "SortMergeJoin [PULocationID"), ("1000000", "BroadcastHashJoin [PULocationID")):
+        spark.conf.set("farebox.broadcast.maxRows", max_rows)
+        try:
+            for k, b in build.items():
+                plan = explain_text(b(), "simple")
+                partial = "partial_sum" if k == "q6" else "partial_count"
+                assert plan.index(join) < plan.rindex(partial), k  # the aggregate is below the join
+                assert rounded(b()) == expected[k]
+        finally:
+            spark.conf.unset("farebox.broadcast.maxRows")
