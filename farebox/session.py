@@ -2,8 +2,9 @@
 
 Scratch data (source/sink round trips, materialised intermediate tables) lives
 below ``spark.checkpoint.dir`` -- the shared folder the cluster names.  A
-machine-local temporary folder is only used when that setting is unset, which
-is the local-test situation.
+machine-local temporary folder is only used when that setting is unset and the
+master is local; on a cluster an unset folder is an error, because executors
+would each write to their own disk.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     root = root or sc.getCheckpointDir()
     if not root:
-        # Local runs only: nothing configured, so take a private folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"{CHECKPOINT_KEY} is not set: on a cluster it must name a shared folder")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="farebox-ckpt-"))
         root = sc.getCheckpointDir()
     elif not sc.getCheckpointDir():
@@ -46,7 +48,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     The application id plus a random suffix keeps concurrent or repeated runs
     from colliding (the reference suffixes outputs with the application id).
     """
-    return f"{checkpoint_root(spark)}/farebox/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder below which this application's scratch data lie."""
+    return f"{checkpoint_root(spark)}/farebox/{app_id(spark)}"
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch data; for the end of an application,
+    when no result that reads them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Settings for a large cluster, applied by the application at submit time
@@ -61,8 +75,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
-    # sized for the largest shuffle (line items by order key); AQE coalesces the rest
-    "spark.sql.shuffle.partitions": "20000",
+    # The largest shuffle (line items by order key) asks for its own number of
+    # partitions; all others carry aggregates and are small.
+    "spark.sql.shuffle.partitions": "2000",
+    "farebox.lineItemPartitions": "100000",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

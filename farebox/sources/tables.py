@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from farebox.functions.temporal import add_seconds
 from farebox.operators.joins import lookup_join
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem", "events"]
+# Session setting: partitions of the one large shuffle (line items by order key).
+PARTITIONS_CONF = "farebox.lineItemPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,19 @@ def geo_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo_trips_from_events(table(spark, sf_dir, "events"))
 
 
+def geo_edge_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coordinate trips with fixes that are no numbers or infinite, and
+    with many trips of one and the same longest distance."""
+    geo = geo_trips(spark, sf_dir)
+    eid = F.col("event_id")
+    odd = {"pickup_latitude": (eid % 11 == 3, "NaN"), "dropoff_longitude": (eid % 13 == 4, "Infinity"),
+           "dropoff_latitude": (eid % 17 == 5, "-Infinity")}
+    tied = {"pickup_latitude": 40.0, "pickup_longitude": -74.5, "dropoff_latitude": 41.5, "dropoff_longitude": -73.0}
+    return geo.withColumns({
+        c: F.when(odd[c][0] if c in odd else F.lit(False), F.lit(float(odd[c][1] if c in odd else 0)))
+        .when(eid % 19 == 6, F.lit(v)).otherwise(F.col(c)) for c, v in tied.items()})
+
+
 def zones_from(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Zone lookup: LocationID, Borough (null for key 24), Zone (null for key 23)."""
     joined = lookup_join(nation.select("n_nationkey", "n_name", "n_regionkey"),
@@ -110,7 +124,13 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
         F.when(F.col("l_linestatus") == "O", F.lit(1.75)).otherwise(F.lit(0.0)).alias("airport_fee"),
     )
     # Both sides grow with the data: always a shuffle (sort-merge) join, never
-    # a broadcast picked from a low file-size estimate of the line items.
+    # a broadcast picked from a low file-size estimate of the line items.  Where
+    # the session names a number of partitions for it, both sides are dealt by
+    # the order key into that many, whatever the default for small shuffles.
+    partitions = lineitem.sparkSession.conf.get(PARTITIONS_CONF, None)
+    if partitions:
+        lines = lines.repartition(int(partitions), "l_orderkey")
+        order_nation = order_nation.repartition(int(partitions), "o_orderkey")
     joined = lines.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         "PULocationID",
