@@ -4,11 +4,13 @@
     python -m farebox.jobs q1 --trips /data/trips_2015.csv --format csv --out /out/q1 --run-scoped
     python -m farebox.jobs convert --input trips=/data/trips.csv --input zones=/data/zones.csv --out /data/parquet
 
-Each job reads its inputs, prints the first rows of the result and writes it:
+Each job reads its inputs, writes its result and prints the first rows of what
+it wrote (with ``--explain`` also the plan):
 single-file CSV (fails if the folder exists) for the hourly means and the
 window form of the longest trip, CSV in overwrite mode for the others, text
 lines for the raw-text forms.  This module is an application entry point, so
-it (and only it) gets or creates the session.
+it (and only it) gets or creates the session, and stops it at the end.  The exit
+code is 1 when a job, or any file of a conversion, failed.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ JOBS = {
     "q1": (lambda s, a: q1.hourly_avg(_trips(s, a, True)), "csv-single"),
     "q1-udf": (lambda s, a: q1.hourly_avg_udf(_trips(s, a, True)), "csv-single"),
     "q1-text": (lambda s, a: q1.hourly_avg_text(read_lines(s, a.trips)), "text-full"),
-    "q2": (lambda s, a: q2.longest_window(_trips(s, a, True)), "csv-single"),
+    "q2": (lambda s, a: q2.longest(_trips(s, a, True)), "csv-single"),
     "q2-sql": (lambda s, a: q2.longest_sql(s, _trips(s, a, False)), "csv"),
     "q2-text": (lambda s, a: q2.longest_text(read_lines(s, a.trips)), "text-fixed"),
     "q3": (lambda s, a: zq.same_borough(_trips(s, a, False), _zones(s, a)), "csv"),
@@ -56,15 +58,18 @@ JOBS = {
 }
 
 
-def _write(result: DataFrame, kind: str, out: str) -> None:
+def _write(result: DataFrame, kind: str, out: str) -> DataFrame:
+    """Write the result; returns what was written, read back."""
+    spark = result.sparkSession
     if kind == "csv-single":
-        write_csv_single(result, out)
+        write_csv_single(result, out, order=result.columns[:1])
     elif kind == "csv":
         write_csv(result, out, mode="overwrite")
-    elif kind == "text-full":
-        write_text(result, out, csv_record(*result.columns))
     else:
-        write_text(result, out, fixed_record(VENDOR_RECORD, *result.columns))
+        record = csv_record(*result.columns) if kind == "text-full" else fixed_record(VENDOR_RECORD, *result.columns)
+        write_text(result, out, record, single=True, order=result.columns[:1])  # a result of few rows
+        return spark.read.text(out)
+    return spark.read.csv(out, header=True, schema=result.schema)
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -79,6 +84,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--run-scoped", action="store_true", help="append _<application id> to --out")
     parser.add_argument("--show", type=int, default=20, help="rows to print (0: none)")
     parser.add_argument("--shuffle-partitions", type=int, default=None)
+    parser.add_argument("--explain", action="store_true", help="print the physical plan of the job")
     parser.add_argument("--check-header", action="store_true",
                         help="fixed-schema CSV: fail when the header names differ instead of binding by position")
     return parser.parse_args(argv)
@@ -97,17 +103,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         for item in args.input:
             name, _, src = item.partition("=")
             jobs.append((name, src, f"{out}/{name}"))
-        status = csv_to_parquet(spark, jobs, files=args.files)
-        if args.show:
-            status.show(truncate=False)
+        status = csv_to_parquet(spark, jobs, files=args.files).collect()  # a row per file
+        for row in status if args.show else []:
+            print(f"{row['name']}: {row['rows']} rows")
+        failed = [row for row in status if row["error"] is not None]
+        if failed:
+            raise RuntimeError("not converted: " + "; ".join(f"{row['name']}: {row['error']}" for row in failed))
         return out
     if not args.trips:
         raise SystemExit("--trips is required for this job")
     build, kind = JOBS[args.job]
     result = build(spark, args)
+    if args.explain:
+        result.explain("formatted")
+    written = _write(result, kind, out)
     if args.show:
-        result.show(args.show, truncate=False)
-    _write(result, kind, out)
+        written.show(args.show, truncate=False)
     return out
 
 
@@ -116,11 +127,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"farebox {args.job}").getOrCreate()
     try:
         out = run(spark, args)
+        print(f"{args.job}: written to {out}")
+        return 0
     except Exception as exc:  # report and fail the application
         print(f"{args.job} failed: {type(exc).__name__}: {exc}", file=sys.stderr)
         return 1
-    print(f"{args.job}: written to {out}")
-    return 0
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -47,7 +47,7 @@ def csv_to_parquet(spark: SparkSession, jobs: list[tuple[str, str, str]], files:
             try:
                 parts.append(future.result())
             except Exception as exc:  # one bad file must not stop the others
-                failures.append((name, None, f"{type(exc).__name__}: {str(exc)[:200]}"))
+                failures.append((name, None, f"{type(exc).__name__}: {exc}"))
     status = spark.createDataFrame(failures, STATUS_SCHEMA)
     for part in parts:
         status = status.unionByName(part)

@@ -1,8 +1,8 @@
 """Writers for results and converted tables.
 
-Single-file outputs (``coalesce(1)``) put the last stage on one task, so they
-are meant for aggregated results only; table-sized outputs keep Spark's
-natural parallelism (one file per task) unless a file count is asked for.
+Outputs keep Spark's natural parallelism (one file per task) unless a file
+count is asked for.  A single file is written after ``repartition(1)``: only
+the writing is one task, the stages before it keep theirs.
 """
 
 from __future__ import annotations
@@ -25,12 +25,17 @@ def _csv_writer(df: DataFrame, mode: str, header: bool):
             .option("timestampFormat", TRIP_TS_FORMAT).option("timestampNTZFormat", TRIP_TS_FORMAT))
 
 
-def write_csv_single(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> str:
-    """One CSV part file with a header; fails if ``path`` exists (default mode).
+def _one_file(df: DataFrame, order: list[str] | None) -> DataFrame:
+    """All rows in one partition, in the given order."""
+    one = df.repartition(1)
+    return one.sortWithinPartitions(*order) if order else one
 
-    ``coalesce(1)`` after a global sort keeps the sorted order in the file.
-    """
-    _csv_writer(df.coalesce(1), mode, header).csv(path)
+
+def write_csv_single(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
+                     order: list[str] | None = None) -> str:
+    """One CSV part file with a header, rows by ``order``; fails if ``path``
+    exists (default mode).  For results, not for tables."""
+    _csv_writer(_one_file(df, order), mode, header).csv(path)
     return path
 
 
@@ -43,11 +48,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
                   max_records_per_file: int | None = None) -> str:
     """Parquet.  ``files=None`` keeps one file per task (parallel writers);
-    ``files=n`` repartitions to n writers (``coalesce(1)`` for n == 1, which
-    only suits small tables)."""
-    if files == 1:
-        df = df.coalesce(1)
-    elif files:
+    ``files=n`` repartitions to n writers."""
+    if files:
         df = df.repartition(files)
     writer = df.write.mode(mode)
     if max_records_per_file:
@@ -56,10 +58,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int
     return path
 
 
-def write_text(df: DataFrame, path: str, record: Column, single: bool = True, mode: str = "errorifexists") -> str:
-    """One text line per row, built by ``record`` (see ``functions.format``)."""
-    out = df.select(record.alias("value"))
-    if single:
-        out = out.coalesce(1)
-    out.write.mode(mode).text(path)
+def write_text(df: DataFrame, path: str, record: Column, single: bool = False, mode: str = "errorifexists",
+               order: list[str] | None = None) -> str:
+    """One text line per row, built by ``record`` (see ``functions.format``);
+    ``single`` writes one file, rows by ``order``."""
+    out = _one_file(df, order) if single else df
+    out.select(record.alias("value")).write.mode(mode).text(path)
     return path

@@ -18,7 +18,7 @@ def test_single_csv_keeps_sort_order_and_refuses_existing(spark, scratch):
     result = q1.hourly_avg(tables.geo_trips(spark, SF_SMALL))
     path = run_scoped_path(spark, scratch("out"), "q1")
     assert path.endswith("q1_" + spark.sparkContext.applicationId)
-    write_csv_single(result, path)
+    write_csv_single(result, path, order=["hour"])
     parts = glob.glob(os.path.join(path, "part-*.csv"))
     assert len(parts) == 1
     hours = [int(line.split(",")[0]) for line in open(parts[0]).read().splitlines()[1:]]
@@ -62,3 +62,45 @@ def test_conversion_job_survives_a_bad_file(spark, scratch):
     status = {r.name: r for r in csv_to_parquet(spark, jobs).collect()}
     assert status["zones"].rows == 25 and status["zones"].error is None
     assert status["missing"].rows is None and status["missing"].error
+
+
+def test_writers_leave_the_scan_its_tasks(spark, scratch):
+    from farebox.functions.format import csv_record
+
+    rows = spark.range(0, 1000, 1, 6)
+    path = write_text(rows, scratch("text"), csv_record("id"))
+    assert len(glob.glob(os.path.join(path, "part-*"))) == 6
+    marked = rows.select("id", F.spark_partition_id().alias("task"))
+    for write in (lambda p: write_text(marked, p, csv_record("task"), single=True, order=["id"]),
+                  lambda p: write_csv_single(marked.select("task"), p, header=False)):
+        out = write(scratch("one"))
+        assert len(glob.glob(os.path.join(out, "part-*"))) == 1
+        assert {r.value for r in spark.read.text(out).collect()} == set("012345")
+    one = spark.read.parquet(write_parquet(marked, scratch("pq"), files=1))
+    assert one.select("task").distinct().count() == 6
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from farebox.session import checkpoint_root
+
+    def session(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(session(master))
+
+
+def test_raw_files_are_written_once_and_scratch_can_be_deleted(spark):
+    from farebox.session import delete_scratch, scratch_root
+
+    path = rawfiles.write_zones_csv(spark, SF_SMALL)
+    assert rawfiles.write_zones_csv(spark, SF_SMALL + "/") == path
+    delete_scratch(spark)
+    rawfiles.forget(spark)
+    assert not os.path.exists(scratch_root(spark).removeprefix("file:"))
+    again = rawfiles.write_zones_csv(spark, SF_SMALL)
+    assert again != path and spark.read.csv(again, header=True).count() == 25

@@ -62,10 +62,44 @@ def test_convert_job(spark, scratch):
     assert spark.read.parquet(f"{out}/zones").where(F.col("Borough").isNull()).count() == 1
 
 
-def test_main_reports_failure(spark, scratch):
-    code = jobs.main(["q3", "--trips", scratch("missing"), "--zones", scratch("missing2"), "--out", scratch("x"),
-                      "--show", "0"])
-    assert code == 1
+@pytest.fixture()
+def main(spark, monkeypatch):
+    """``jobs.main`` on the test session, which it must stop exactly once."""
+    stops = []
+    monkeypatch.setattr(type(spark), "stop", lambda self: stops.append(1))
+
+    def call(*argv):
+        stops.clear()
+        code = jobs.main(list(argv))
+        assert stops == [1]
+        return code
+
+    return call
+
+
+def test_main_reports_failure_and_stops(main, scratch, capsys):
+    assert main("q3", "--trips", scratch("missing"), "--zones", scratch("missing2"), "--out", scratch("x")) == 1
+    assert "q3 failed" in capsys.readouterr().err
+
+
+def test_convert_fails_after_trying_every_file(main, spark, scratch, capsys):
+    zones, out = rawfiles.write_zones_csv(spark, SF_SMALL), scratch("pq")
+    missing = scratch("a" * 150)
+    assert main("convert", "--input", f"gone={missing}", "--input", f"zones={zones}", "--out", out) == 1
+    assert spark.read.parquet(f"{out}/zones").count() == 25
+    said = capsys.readouterr()
+    assert "gone" in said.err and missing in said.err and "zones: 25 rows" in said.out
+    assert main("convert", "--input", f"zones={zones}", "--out", scratch("pq2"), "--show", "0") == 0
+
+
+def test_explain_and_show_what_was_written(main, spark, scratch, capfd):
+    trips = rawfiles.write_geo_csv(spark, SF_SMALL)
+    out = scratch("q1")
+    assert main("q1", "--trips", trips, "--out", out, "--explain", "--show", "3") == 0
+    said = capfd.readouterr().out
+    assert "== Physical Plan ==" in said and "avg_latitude" in said
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert [x.split(",")[0] for x in lines[1:]] == [str(h) for h in range(24)]
 
 
 def test_check_header_option(spark, scratch, tmp_path):
