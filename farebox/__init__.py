@@ -7,4 +7,4 @@ default.  The caller owns the ``SparkSession``.
 
 __version__ = "0.1.0"
 
-__all__ = ["functions", "operators", "plans", "sinks", "sources", "streaming"]
+__all__ = ["functions", "operators", "plans", "sinks", "sources"]

@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: timestamp layout of the raw trip files.
-TRIP_TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
-
 # A plain decimal number (optional sign, digits, fraction, exponent) or a
 # NaN/Infinity word.  It rejects Java-style type suffixes such as "1d"/"2f"
 # that a string-to-double cast would otherwise accept.
@@ -24,14 +21,9 @@ def fields(line: str | Column = "value", sep: str = ",") -> Column:
     return F.split(F.col(line) if isinstance(line, str) else line, sep, -1)
 
 
-def field(arr: Column, index: int) -> Column:
-    """Field ``index`` (0-based) or null when the line is too short."""
-    return F.get(arr, index)
-
-
 def to_int(text: Column) -> Column:
-    """Integer or null; "1.0" and "" are not integers."""
-    return text.try_cast("int")
+    """64-bit integer or null; "1.0" and "" are not integers."""
+    return text.try_cast("bigint")
 
 
 def to_double(text: Column) -> Column:
@@ -39,11 +31,6 @@ def to_double(text: Column) -> Column:
     return F.when(text.rlike(_DOUBLE_TEXT), text.try_cast("double"))
 
 
-def to_timestamp(text: Column, pattern: str = TRIP_TS_PATTERN) -> Column:
-    """Session-zone timestamp in the given layout or null."""
-    return F.try_to_timestamp(text, F.lit(pattern))
-
-
 # ``yyyy-MM-dd HH:mm:ss`` with two-digit fields and seconds below 60.
 _WALL_CLOCK_TEXT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:[0-5]\d$"
 

@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 
 
 def _spread_sort(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Global sort with a row id as the last key.
+    """Global sort with a hash of the row as the last key.
 
     A range partitioner cannot split one key value, so a value holding a third
-    of all rows would land in one sort task.  The row id (partition index and
-    position, stable for file scans) makes every sort key distinct, so equal
-    values spread over the range partitions; among equal values the output
-    follows input order.
+    of all rows would land in one sort task.  The hash makes the sort keys of
+    different rows distinct, so equal values spread over the range partitions.
+    It depends on the row alone: a retried task sorts its rows alike.
     """
-    return (df.withColumn("_row", F.monotonically_increasing_id())
-            .orderBy(*order, F.col("_row").asc())
-            .drop("_row"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.withColumn("_row", row).orderBy(*order, F.col("_row").asc()).drop("_row")
 
 
 def sort_asc(df: DataFrame, *keys: str) -> DataFrame:

@@ -40,20 +40,6 @@ TRIP_SCHEMA = StructType([StructField(name, dtype) for name, dtype in TRIP_COLUM
 # Positions of the fields the text parsers read (0-based, file order above).
 FIELD = {name: idx for idx, (name, _) in enumerate(TRIP_COLUMNS_19)}
 
-# Columns of a location-id trip file that the queries use.
-LOC_TRIP_COLUMNS = [
-    "PULocationID",
-    "DOLocationID",
-    "fare_amount",
-    "tip_amount",
-    "tolls_amount",
-    "extra",
-    "mta_tax",
-    "congestion_surcharge",
-    "airport_fee",
-    "total_amount",
-]
-
 # The eight money columns summed per borough, with their output names.
 MONEY_TOTALS = [
     ("fare_amount", "Total_Fare"),
@@ -65,6 +51,3 @@ MONEY_TOTALS = [
     ("airport_fee", "Total_Airport_Fee"),
     ("total_amount", "Total_Revenue"),
 ]
-
-# Zone lookup columns.
-ZONE_COLUMNS = ["LocationID", "Borough", "Zone"]

@@ -22,8 +22,8 @@ def read_csv_with_schema(spark: SparkSession, path: str, schema: StructType = TR
     return reader.load(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
-    """Header names + inferred types.  Inference is an extra pass over the
-    data (``sampling_ratio`` < 1 reads a sample of it); prefer an explicit
-    schema or Parquet for large inputs."""
-    return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=sampling_ratio)
+def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """Header names + inferred types.  Inference is an extra pass over all of
+    the data (types from a sample would turn cells that do not fit into nulls);
+    prefer an explicit schema or Parquet for large inputs."""
+    return spark.read.csv(path, header=True, inferSchema=True, samplingRatio=1.0)
