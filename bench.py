@@ -69,7 +69,8 @@ def main() -> None:
 
     cases = {
         "q1": lambda: q1.hourly_avg(geo),
-        "q2": lambda: q2.longest_window(geo),
+        "q2": lambda: q2.longest(geo),
+        "q2_window": lambda: q2.longest_window(geo),
         "q2_sql": lambda: q2.longest_sql(spark, geo),
         "q3": lambda: zq.same_borough(loc, zones),
         "q4": lambda: zq.night_trips_sql(spark, geo),

@@ -119,11 +119,56 @@ valid AS (
 mx AS (SELECT VendorID, max(km) AS max_km FROM valid GROUP BY VendorID)""")
 
 Q2_TEXT = with_fixtures(f"""
-SELECT VendorID, round(max(km), 6) AS haversine_km, round(arg_max(duration_min, km), 4) AS duration_min
+SELECT CAST(VendorID AS BIGINT) AS VendorID, round(max(km), 6) AS haversine_km, round(arg_max(duration_min, km), 4) AS duration_min
 FROM (SELECT VendorID, {KM_ATAN2} AS km, {MINUTES} AS duration_min FROM geo
       WHERE VendorID IS NOT NULL AND {NONZERO_ALL})
 GROUP BY VendorID""", "geo")
 
+# Trips with odd fixes; the oracle turns every non-finite coordinate into NULL
+# before any arithmetic.
+ODD_FIXES = {
+    "pickup_latitude": ("event_id % 11 = 3", "'NaN'", "40.0"), "pickup_longitude": ("false", "'NaN'", "-74.5"),
+    "dropoff_latitude": ("event_id % 17 = 5", "'-Infinity'", "41.5"),
+    "dropoff_longitude": ("event_id % 13 = 4", "'Infinity'", "-73.0"),
+}
+EDGE_COORDS = ",\n           ".join(
+    f"CASE WHEN {when} THEN CAST({odd} AS DOUBLE) WHEN event_id % 19 = 6 THEN CAST({tied} AS DOUBLE) ELSE {c} END AS {c}"
+    for c, (when, odd, tied) in ODD_FIXES.items())
+FINITE_COORDS = ",\n           ".join(f"CASE WHEN isfinite({c}) THEN {c} END AS {c}" for c in ODD_FIXES)
+EDGE_REST = "event_id, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime"
+EDGE = f"""odd AS (SELECT {EDGE_REST}, {EDGE_COORDS} FROM geo),
+edge AS (
+    SELECT {EDGE_REST}, {FINITE_COORDS},
+           NOT ({NONZERO_ALL}) AS has_zero
+    FROM odd
+)"""
+# least() and greatest() pass over NULLs in DuckDB, so the distance asks for all four.
+ALL_FINITE = " AND ".join(f"{c} IS NOT NULL" for c in ODD_FIXES)
+KM_ATAN2_IF_FINITE = f"CASE WHEN {ALL_FINITE} THEN {KM_ATAN2} END"
+KM_ASIN_IF_FINITE = f"CASE WHEN {ALL_FINITE} THEN {KM_ASIN} END"
+EDGE_KM = f"""edge_km AS (
+    SELECT event_id, VendorID, {MINUTES} AS duration_min, {KM_ATAN2_IF_FINITE} AS km, {KM_ASIN_IF_FINITE} AS km_asin,
+           tpep_pickup_datetime < tpep_dropoff_datetime AS forward
+    FROM edge WHERE NOT has_zero
+)"""
+Q2_EDGE = with_fixtures("""
+SELECT VendorID, round(km, 6) AS haversine_km, round(max(duration_min), 4) AS duration_min
+FROM edge_km JOIN (SELECT VendorID AS v, max(km) AS m FROM edge_km GROUP BY VendorID)
+     ON VendorID IS NOT DISTINCT FROM v AND km = m
+GROUP BY VendorID, km""", "geo", ctes=EDGE + ",\n" + EDGE_KM)
+Q2_EDGE_TEXT = with_fixtures("""
+SELECT CAST(VendorID AS BIGINT) AS VendorID, round(km, 6) AS haversine_km, round(max(duration_min), 4) AS duration_min
+FROM edge_km JOIN (SELECT VendorID AS v, max(km) AS m FROM edge_km GROUP BY VendorID) ON VendorID = v AND km = m
+GROUP BY VendorID, km""", "geo", ctes=EDGE + ",\n" + EDGE_KM)
+Q2_EDGE_SQL = with_fixtures("""
+SELECT VendorID, CAST(round(km_asin, 2) AS DOUBLE) AS "Max Haversine Distance (km)",
+       CAST(round(duration_min, 1) AS DOUBLE) AS "Duration (min)"
+FROM edge_km JOIN (SELECT VendorID AS v, max(km_asin) AS m FROM edge_km WHERE forward GROUP BY VendorID)
+     ON VendorID = v AND km_asin = m
+WHERE forward""", "geo", ctes=EDGE + ",\n" + EDGE_KM)
+HAVERSINE_EDGE = with_fixtures(f"""
+SELECT event_id, round({KM_ATAN2_IF_FINITE}, 6) AS km_atan2, round({KM_ASIN_IF_FINITE}, 6) AS km_asin FROM edge""", "geo", ctes=EDGE)
+
 Q3 = with_fixtures("""
 SELECT pu.Borough AS Borough, CAST(count(*) AS BIGINT) AS TotalTrips
 FROM loc t
@@ -162,7 +207,7 @@ Q6_INVARIANT = with_fixtures("""
 SELECT v.shuffle_partitions, q6.* FROM q6
 CROSS JOIN (VALUES (8), (32), (64), (128)) AS v(shuffle_partitions)""", "loc", "zones", ctes=f"q6 AS ({Q6_BODY})")
 
-GEO_TEXT_ROW = f"""VendorID,
+GEO_TEXT_ROW = f"""CAST(VendorID AS BIGINT) AS VendorID,
        strftime(tpep_pickup_datetime, {TS_SEC}) AS pickup,
        strftime(tpep_dropoff_datetime, {TS_SEC}) AS dropoff,
        pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude"""
@@ -172,6 +217,11 @@ JOIN zones pu ON t.PULocationID = pu.LocationID
 JOIN zones dz ON t.DOLocationID = dz.LocationID"""
 
 ORACLE: dict[str, str] = {
+    "q2_edge": Q2_EDGE,
+    "q2_edge_window": Q2_EDGE,
+    "q2_edge_sql": Q2_EDGE_SQL,
+    "q2_edge_text": Q2_EDGE_TEXT,
+    "proj_haversine_edge": HAVERSINE_EDGE,
     # sources
     "src_csv_schema": with_fixtures(f"""
 SELECT VendorID, strftime(tpep_pickup_datetime, {TS_SEC}) AS pickup,
@@ -195,14 +245,14 @@ FROM geo""", "geo"),
     "sink_csv_single": Q1,
     "sink_csv_overwrite": Q3,
     "sink_parquet": with_fixtures("SELECT * FROM loc", "loc"),
-    "sink_text": Q1,
+    "sink_text": Q1.replace(f"{HOUR} AS hour", "CAST(hour(tpep_pickup_datetime) AS BIGINT) AS hour"),
     "sink_text_fixed": with_fixtures(f"""
-SELECT VendorID, round(max(km), 3) AS haversine_km, round(arg_max(duration_min, km), 1) AS duration_min
+SELECT CAST(VendorID AS BIGINT) AS VendorID, round(max(km), 3) AS haversine_km, round(arg_max(duration_min, km), 1) AS duration_min
 FROM (SELECT VendorID, {KM_ATAN2} AS km, {MINUTES} AS duration_min FROM geo
       WHERE VendorID IS NOT NULL AND {NONZERO_ALL})
 GROUP BY VendorID""", "geo"),
     "fn_format_vendor": with_fixtures(f"""
-SELECT VendorID, printf('VendorID: %d | Distance: %.2f km | Duration: %.2f min', VendorID, max(km),
+SELECT CAST(VendorID AS BIGINT) AS VendorID, printf('VendorID: %d | Distance: %.2f km | Duration: %.2f min', VendorID, max(km),
                         arg_max(duration_min, km)) AS line
 FROM (SELECT VendorID, {KM_ATAN2} AS km, {MINUTES} AS duration_min FROM geo
       WHERE VendorID IS NOT NULL AND {NONZERO_ALL})
@@ -225,7 +275,7 @@ LIMIT 5""", "geo"),
 SELECT VendorID, round({KM_ASIN}, 2) AS "Haversine Distance (km)", round({MINUTES}, 1) AS "Duration (min)"
 FROM geo""", "geo"),
     "fn_parse": with_fixtures(f"""
-SELECT VendorID, strftime(tpep_pickup_datetime, {TS_SEC}) AS pickup, pickup_latitude, pickup_longitude
+SELECT CAST(VendorID AS BIGINT) AS VendorID, strftime(tpep_pickup_datetime, {TS_SEC}) AS pickup, pickup_latitude, pickup_longitude
 FROM geo""", "geo"),
     "fn_format": with_fixtures(f"""
 SELECT {HOUR} AS hour,
@@ -319,3 +369,5 @@ GROUP BY z.Borough ORDER BY Total_Revenue DESC NULLS LAST, Borough ASC NULLS FIR
     "q6_revenue": Q6,
     "q6_partitions_invariant": Q6_INVARIANT,
 }
+
+ORACLE["join_argmax_back_rank"] = ORACLE["join_argmax_back"]

@@ -348,6 +348,12 @@ def join_argmax_back(spark, sf):
                                     method="join"))
 
 
+@register("join_argmax_back_rank")
+def join_argmax_back_rank(spark, sf):
+    return _r_q2(argmax.argmax_ties(q2.with_distance(_geo(spark, sf)), "VendorID", "haversine_km", q2.OUTPUT,
+                                    method="rank"))
+
+
 # ---------------------------------------------------------------- aggregates
 @register("agg_avg_by_hour")
 def agg_avg_by_hour(spark, sf):
@@ -389,7 +395,7 @@ def argmax_window(spark, sf):
 
 @register("argmax_max_by")
 def argmax_max_by(spark, sf):
-    return _r_q2(q2.longest_max_by(_geo(spark, sf)))
+    return _r_q2(q2.longest(_geo(spark, sf)))
 
 
 # ---------------------------------------------------------------- ordering
@@ -469,6 +475,35 @@ def q2_text(spark, sf):
     return _r_q2(q2.longest_text(_geo_lines(spark, sf)))
 
 
+@register("q2_edge")
+def q2_edge(spark, sf):
+    """Q2 where fixes are not finite and many trips tie at the maximum."""
+    return _r_q2(q2.longest(tables.geo_edge_trips(spark, sf)))
+
+
+@register("q2_edge_window")
+def q2_edge_window(spark, sf):
+    return _r_q2(q2.longest_window(tables.geo_edge_trips(spark, sf)))
+
+
+@register("q2_edge_sql")
+def q2_edge_sql(spark, sf):
+    return q2.longest_sql(spark, tables.geo_edge_trips(spark, sf))
+
+
+@register("q2_edge_text")
+def q2_edge_text(spark, sf):
+    return _r_q2(q2.longest_text(text.read_lines(spark, rawfiles.write_geo_edge_csv(spark, sf))))
+
+
+@register("proj_haversine_edge")
+def proj_haversine_edge(spark, sf):
+    """Both distance forms; null where a coordinate is not finite."""
+    return tables.geo_edge_trips(spark, sf).select(
+        "event_id", F.round(haversine_km_atan2(*POINT_ARGS), 6).alias("km_atan2"),
+        F.round(haversine_km_asin(*POINT_ARGS), 6).alias("km_asin"))
+
+
 @register("q3_df")
 def q3_df(spark, sf):
     return zq.same_borough(_loc(spark, sf), _zones(spark, sf))

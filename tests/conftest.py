@@ -16,7 +16,10 @@ def spark():
     from farebox.session import local_session
 
     ckpt = tempfile.mkdtemp(prefix="farebox-test-ckpt-")
-    session = local_session("farebox-tests", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt})
+    session = local_session("farebox-tests", shuffle_partitions=8, extra={
+        "spark.checkpoint.dir": ckpt,
+        "spark.sql.maxMetadataStringLength": "10000",  # plan text with whole file locations
+    })
     yield session
     session.stop()
 

@@ -29,9 +29,21 @@ def test_q1_csv_fixed_schema_agrees(spark):
     assert _rounded(from_csv) == _rounded(q1.hourly_avg(tables.geo_trips(spark, SF_SMALL)))
 
 
-def test_q2_window_and_max_by_agree(spark):
-    geo = tables.geo_trips(spark, SF_MID)
-    assert _rounded(q2.longest_window(geo)) == _rounded(q2.longest_max_by(geo))
+def test_q2_forms_agree_on_ties_and_odd_fixes(spark):
+    for geo in (tables.geo_trips(spark, SF_MID), tables.geo_edge_trips(spark, SF_MID)):
+        assert _rounded(q2.longest_window(geo)) == _rounded(q2.longest(geo))
+    trips = [(1, "2024-01-01 00:00:00", end, 40.0, -74.0, lat, -73.0) for end, lat in
+             (("2024-01-01 00:05:00", 41.0), ("2024-01-01 00:09:00", 41.0), ("2024-01-01 00:07:00", 41.0),
+              ("2024-01-01 01:00:00", float("nan")), ("2024-01-01 01:00:00", float("inf")))]
+    names = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "pickup_latitude", "pickup_longitude",
+             "dropoff_latitude", "dropoff_longitude"]
+    for rows in (trips, trips[::-1]):  # the input order plays no part
+        df = spark.createDataFrame(rows, names)
+        df = df.withColumns({c: F.col(c).cast("timestamp") for c in names[1:3]})
+        for form in (q2.longest, q2.longest_window):
+            got = form(df).collect()
+            assert len(got) == 1 and got[0].duration_min == 9.0 and got[0].haversine_km < 200
+        assert [r["Duration (min)"] for r in q2.longest_sql(spark, df).collect()] == [5.0, 7.0, 9.0]
 
 
 def test_q2_text_drops_null_vendor_only(spark):
