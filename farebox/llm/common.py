@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,20 @@ from farebox.session import scratch_path
 # Rows turned into Python objects at a time; bounds the memory of a text pass.
 ROWS_AT_ONCE = 128
 
+# Bytes of a batch that goes to a Python worker.  Spark's own bound is 64 MB,
+# several times of which a worker and its task hold at once.
+BATCH_BYTES = 8 << 20
+BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends texts to Python in batches of
+    BATCH_BYTES (the one setting this package changes; a smaller one stays)."""
+    conf = df.sparkSession.conf
+    if int(re.sub(r"\D", "", conf.get(BATCH_BYTES_KEY, None) or str(1 << 40))) > BATCH_BYTES:
+        conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))
+    return df
+
 
 def utf8_values(column: pa.Array) -> Iterator[bytes | None]:
     """The UTF-8 bytes of a string column, a few rows at a time."""

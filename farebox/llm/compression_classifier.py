@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import fresh_name, utf8_values
+from farebox.llm.common import bounded, fresh_name, utf8_values
 
 FIT_ROWS = 1500
 FIT_BYTES = 32768
@@ -178,11 +178,11 @@ def score_column(text: str | Column, model: CompressionModel) -> Column:
 def score_documents(docs: DataFrame, model: CompressionModel, threshold: float, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: id, score, predicted (1 from ``threshold`` on)."""
-    scored = docs.select(F.col(id_col), score_column(F.col(text_col), model).alias("score"))
+    scored = bounded(docs).select(F.col(id_col), score_column(F.col(text_col), model).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
 def keep_predicted(docs: DataFrame, model: CompressionModel, threshold: float, text_col: str = "text") -> DataFrame:
     """The documents scored ``threshold`` or more, with the columns they came with."""
     name = fresh_name(docs, "quality_score")
-    return docs.withColumn(name, score_column(F.col(text_col), model)).where(F.col(name) >= threshold).drop(name)
+    return bounded(docs).withColumn(name, score_column(F.col(text_col), model)).where(F.col(name) >= threshold).drop(name)

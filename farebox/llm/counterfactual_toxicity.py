@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import fresh_name, materialise, utf8_values
+from farebox.llm.common import bounded, fresh_name, materialise, utf8_values
 
 FIT_ROWS = 4000
 VOCABULARY = 3000
@@ -121,7 +121,7 @@ def _fit_table(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     for label in (0, 1):
         part = known.where(F.col("label") == label).orderBy(F.xxhash64("_fit_id"), "_fit_id").limit(rows)
         chosen = part if chosen is None else chosen.union(part)
-    found = (docs.select(F.col(id_col).alias("_doc_id"), F.col(text_col).alias("_text"))
+    found = (bounded(docs).select(F.col(id_col).alias("_doc_id"), F.col(text_col).alias("_text"))
              .join(F.broadcast(chosen), F.col("_doc_id") == F.col("_fit_id"))  # at most 2 * rows ids
              .select("label", "_text"))
     schema = T.StructType([T.StructField("label", T.IntegerType()),
@@ -231,11 +231,11 @@ def score_column(text: str | Column, model: ToxicityModel) -> Column:
 def score_documents(docs: DataFrame, model: ToxicityModel, threshold: float, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: id, score, predicted (1 from ``threshold`` on)."""
-    scored = docs.select(F.col(id_col), score_column(F.col(text_col), model).alias("score"))
+    scored = bounded(docs).select(F.col(id_col), score_column(F.col(text_col), model).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float, text_col: str = "text") -> DataFrame:
     """The documents scored below ``threshold``, with the columns they came with."""
     name = fresh_name(docs, "toxicity_score")
-    return docs.withColumn(name, score_column(F.col(text_col), model)).where(F.col(name) < threshold).drop(name)
+    return bounded(docs).withColumn(name, score_column(F.col(text_col), model)).where(F.col(name) < threshold).drop(name)

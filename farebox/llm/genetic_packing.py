@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import materialise
+from farebox.llm.common import bounded, materialise
 from farebox.llm.pair_index_bpe import encoder_of
 from farebox.llm.segment_encoding import encode_column
 
@@ -248,7 +248,7 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, block_items: int = BL
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
                    **sizes: int) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    rows = docs.select(F.col(id_col).alias("doc"), pieces_column(F.col(text_col), path, capacity).alias("pieces"))
+    rows = bounded(docs).select(F.col(id_col).alias("doc"), pieces_column(F.col(text_col), path, capacity).alias("pieces"))
     # explode() would filter on the array first and so tokenize twice; there is always a piece.
     pieces = rows.select("doc", F.explode_outer("pieces").alias("p")).select("doc", "p.*")
     pieces = materialise(pieces.withColumn("item", F.monotonically_increasing_id()), "packing-pieces")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import materialise, utf8_values
+from farebox.llm.common import bounded, materialise, utf8_values
 from farebox.llm.segment_encoding import load_tokenizer
 
 CHUNK_CHARS = 16384
@@ -162,7 +162,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
                  chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
     """One row per document: id, n_bytes, n_tokens, over_limit."""
     size = F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), size.alias("n_bytes"))
+    rows = bounded(docs).select(F.col(id_col), F.col(text_col).alias("_text"), size.alias("n_bytes"))
     is_long = F.coalesce(F.length("_text") > chunk_chars, F.lit(False))
     short = rows.where(~is_long).select(id_col, "n_bytes", count_column(F.col("_text"), path).alias("n_tokens"))
     long = rows.where(is_long).withColumn("key", F.sha2(F.col("_text").cast("binary"), 256).cast("binary"))

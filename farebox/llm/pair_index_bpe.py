@@ -31,15 +31,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import struct_array
+from farebox.llm.common import bounded, struct_array
 from farebox.llm.segment_encoding import drops_white_space, encode_column, load_tokenizer, take_runs
 
+# Printable ASCII and precomposed Latin letters whose lower case is one letter.
+PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u0148\u014a-\u017e]+")
+FEW = 8
 NO_RANK = np.int32((1 << 31) - 1)
 
 RESULT_TYPE = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                             T.StructField("decoded_sha256", T.StringType())])
 
 
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in the files: itself where it
+    is printable Latin-1, else the next one from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
 class PairIndexBpe:
     """Encoder and decoder for one vocabulary file."""
 
@@ -69,42 +80,37 @@ class PairIndexBpe:
         self.merged = np.array([self.vocab[a + b] for a, b in merges], dtype=np.int32)
         self.twins = left == right
         keys = left * self.size + right
+        self.rank_of = {k: r for r, k in enumerate(keys.tolist())}
         self.rank_order = np.argsort(keys).astype(np.int32)
         self.pair_keys = keys[self.rank_order]
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]
-        lower = self._lower_only(spec["normalizer"])
-        self.ascii_normal = str.lower if lower else str
-        self.ascii_words = regex.compile(split["Regex"]) if list(split) == ["Regex"] and self._bytes_only(spec) and lower is not None else None
-        # Symbols of a word's characters, and of its last character.
-        self.symbol_of = self._by_character({c: i for c, i in self.vocab.items() if len(c) == 1})
-        self.last_symbol_of = self._by_character(
-            {t[:1]: i for t, i in self.vocab.items() if len(t) == 1 + len(self.suffix) and t.endswith(self.suffix)})
+        self.plain_normal = self._plain_normal(spec["normalizer"])
+        self.pattern = self._pattern(spec["pre_tokenizer"])
+        # Symbols of a word's bytes, and of its last byte.
+        characters = byte_characters()
+        self.symbol_of = np.array([self.vocab[c] for c in characters], dtype=np.int32)
+        self.last_symbol_of = np.array([self.vocab[c + self.suffix] for c in characters], dtype=np.int32)
         self.token_of: list[bytes] = [b""] * self.size
         for token, i in [*self.vocab.items(), *self.special.items()]:
             self.token_of[i] = token.encode()
 
     @staticmethod
-    def _bytes_only(spec: dict) -> bool:
-        """True when all that follows the pre-tokenizer's split is the mapping
-        of bytes to characters (which leaves printable ASCII as it is)."""
-        rest = spec["pre_tokenizer"]["pretokenizers"][1:]
-        return len(rest) == 1 and rest[0]["type"] == "ByteLevel" and not rest[0]["add_prefix_space"] and not rest[0]["use_regex"]
+    def _pattern(pre_tokenizer: dict) -> regex.Pattern | None:
+        """The pattern whose matches are the words, when the file has nothing
+        else but the mapping of bytes to characters."""
+        split, *rest = pre_tokenizer["pretokenizers"]
+        if list(split["pattern"]) != ["Regex"] or len(rest) != 1 or rest[0]["type"] != "ByteLevel":
+            return None
+        return None if rest[0]["add_prefix_space"] or rest[0]["use_regex"] else regex.compile(split["pattern"]["Regex"])
 
     @staticmethod
-    def _lower_only(normalizer: dict | None) -> bool | None:
-        """Whether printable ASCII is lower-cased; None when other things may happen to it."""
+    def _plain_normal(normalizer: dict | None):
+        """What the normaliser does to ``PLAIN`` text between blanks; None when
+        it has steps this class does not know."""
         steps = [] if normalizer is None else normalizer.get("normalizers", [normalizer])
-        harmless = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
-        if all(n["type"] in harmless or n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"} for n in steps):
-            return any(n["type"] == "Lowercase" for n in steps)
-        return None
-
-    @staticmethod
-    def _by_character(ids: dict[str, int]) -> np.ndarray:
-        table = np.full(1 + max(map(ord, ids)), -1, dtype=np.int32)
-        for c, i in ids.items():
-            table[ord(c)] = i
-        return table
+        if any(n["type"] not in ("NFC", "Lowercase") and (n["type"] != "Replace" or n["pattern"] != {"Regex": "\\s+"})
+               for n in steps):
+            return None
+        return str.lower if any(n["type"] == "Lowercase" for n in steps) else str
 
     # ------------------------------------------------------------ encoding
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -112,19 +118,19 @@ class PairIndexBpe:
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.rank_order[at], NO_RANK)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words (as the pre-tokenizer gives them), one
-        after the other, and the number of ids of each word."""
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words (UTF-8), one after the other, and the number of
+        ids of each word."""
         counts = np.zeros(len(words), dtype=np.int64)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         total = int(sizes.sum())
         if not total:
             return np.empty(0, dtype=np.int32), counts
         some, sizes = sizes > 0, sizes[sizes > 0]
-        characters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
-        symbol = self.symbol_of[characters]
-        symbol[np.cumsum(sizes) - 1] = self.last_symbol_of[characters[np.cumsum(sizes) - 1]]
         ends = np.cumsum(sizes)
+        values = np.frombuffer(b"".join(words), dtype=np.uint8)
+        symbol = self.symbol_of[values]
+        symbol[ends - 1] = self.last_symbol_of[values[ends - 1]]
         after = np.arange(1, total + 1, dtype=np.int32)
         after[ends - 1] = -1
         before = np.arange(-1, total - 1, dtype=np.int32)
@@ -132,8 +138,9 @@ class PairIndexBpe:
         rank = np.full(total, NO_RANK, dtype=np.int32)
         inner = np.flatnonzero(after >= 0).astype(np.int32)
         rank[inner] = self._ranks(symbol[inner], symbol[after[inner]])
-        lists: dict[int, list[np.ndarray]] = {}
+        lists: dict[int, list[np.ndarray | int]] = {}
         active: list[int] = []
+        rank_of, size = self.rank_of, self.size
 
         def enlist(positions: np.ndarray) -> None:
             """Add positions to the lists of their pairs' ranks."""
@@ -152,18 +159,49 @@ class PairIndexBpe:
                     heapq.heappush(active, r)
                 lists[r].append(positions[start:stop])
 
+        def enlist_one(position: int, pair: int) -> None:
+            """Set the rank of the pair at a position and add it to its list."""
+            r = rank_of.get(pair)
+            rank[position] = NO_RANK if r is None else r
+            if r is not None:
+                if r not in lists:
+                    lists[r] = []
+                    heapq.heappush(active, r)
+                lists[r].append(position)
+
+        def merge_one(p: int, r: int, new: int) -> None:
+            """Merge the pair at one position."""
+            gone = int(after[p])
+            following = int(after[gone])
+            symbol[p], symbol[gone], rank[gone], after[p], rank[p] = new, -1, NO_RANK, following, NO_RANK
+            if following >= 0:
+                before[following] = p
+                enlist_one(p, new * size + int(symbol[following]))
+            previous = int(before[p])
+            if previous >= 0:
+                enlist_one(previous, int(symbol[previous]) * size + new)
+
         just_merged = np.zeros(total, dtype=bool)
         enlist(inner)
         while active:
             r = heapq.heappop(active)
             found = lists.pop(r)
-            at = found[0] if len(found) == 1 else np.concatenate(found)
+            if sum(1 if x.__class__ is int else len(x) for x in found) <= FEW:  # not worth array operations
+                new = int(self.merged[r])
+                for p in sorted(p for x in found for p in ([x] if x.__class__ is int else x.tolist())):
+                    if rank[p] == r:
+                        merge_one(p, r, new)
+                continue
+            if len(found) == 1:
+                at = found[0]
+            else:
+                arrays = [x for x in found if x.__class__ is not int]
+                ones = np.array([x for x in found if x.__class__ is int], dtype=np.int32)
+                at = np.unique(np.concatenate([*arrays, ones]))
             at = at[rank[at] == r]
-            if self.twins[r] or len(found) > 1:
-                at = np.unique(at)
             if self.twins[r]:  # a a a: leftmost first, without overlap
                 taken, chosen = -1, []
-                for p in at.tolist():
+                for p in sorted(at.tolist()):
                     if p != taken:
                         chosen.append(p)
                         taken = int(after[p])
@@ -198,52 +236,59 @@ class PairIndexBpe:
             if k % 2:
                 out.append(self.special[piece])
             elif piece:
-                out += [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self._normal(piece))]
+                out += self._cut(self._normal(piece))[0]
         return out
 
     def _normal(self, text: str) -> str:
         return self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
 
+    def _cut(self, normal: str) -> tuple[list[str], list[int]]:
+        """Words of a normalised text as the library cuts it, and their starts."""
+        spans = [at for _, at in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        return [normal[a:b] for a, b in spans], [a for a, _ in spans]
+
     def _words_of_all(self, segments: list[str]) -> tuple[list[str | int], np.ndarray]:
         """The words of all segments, and the segment of each word.
 
-        Segments without special strings and white space of any kind go
-        through the library in one call; the printable ASCII ones are cut by the
-        pre-tokenizer's own pattern.
+        Segments of ``PLAIN`` text are cut by the pre-tokenizer's own pattern,
+        those with special strings or white space one by one by the library,
+        the others by the library in one call.
         """
         special = self.special_split if self.special_split and self.special_split.search(" ".join(segments)) else None
-        ascii_, plain, words, owners = [], [], [], []
+        is_plain = PLAIN.fullmatch if self.pattern and self.plain_normal else lambda s: None
+        plain, others, words, owners = [], [], [], []
         for i, s in enumerate(segments):
             if special and special.search(s):
                 words += (own := self._words(s))
                 owners += [i] * len(own)
-            elif s.isascii() and s.isprintable() and self.ascii_words:
-                ascii_.append(i)
-            elif len(s.split()) == 1:
+            elif is_plain(s):
                 plain.append(i)
+            elif len(s.split()) == 1:
+                others.append(i)
             else:
                 words += (own := self._words(s))
                 owners += [i] * len(own)
         owner = [np.array(owners, dtype=np.int64)]
-        text = "".join(segments[i] for i in ascii_)
-        lengths = np.fromiter((len(segments[i]) for i in ascii_), dtype=np.int64, count=len(ascii_))
-        found = self.ascii_words.findall(self.ascii_normal(" ".join(segments[i] for i in ascii_))) if ascii_ else []
-        if sum(map(len, found)) == len(text):  # the pattern leaves out nothing, so words follow one another
-            starts = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
-            words += found
-            owner.append(np.array(ascii_, dtype=np.int64)[np.searchsorted(np.cumsum(lengths), starts, side="left")])
-        else:
-            plain = sorted(plain + ascii_)
-        normal = self._normal(" ".join(segments[i] for i in plain))
+        if plain:
+            texts = [segments[i] for i in plain]
+            found = self.pattern.findall(self.plain_normal(" ".join(texts)))
+            sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            if lengths.sum() == sizes.sum():  # the pattern leaves out nothing, so words follow one another
+                words += found
+                of = np.repeat(np.array(plain, dtype=np.int64), sizes)
+                owner.append(of[np.cumsum(lengths) - lengths])
+            else:
+                others = sorted(others + plain)
+        normal = self._normal(" ".join(segments[i] for i in others))
         pieces = normal.split(" ")
-        if len(pieces) == len(plain):
-            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
-            ends = np.cumsum(np.fromiter((len(x) + 1 for x in pieces), dtype=np.int64, count=len(pieces)))
-            starts = np.fromiter((at[0] for _, at in cut), dtype=np.int64, count=len(cut))
-            words += [w for w, _ in cut]
-            owner.append(np.array(plain, dtype=np.int64)[np.searchsorted(ends, starts, side="right")])
+        if len(pieces) == len(others):
+            found, starts = self._cut(normal)
+            sizes = np.fromiter((len(x) + 1 for x in pieces), dtype=np.int64, count=len(pieces))
+            words += found
+            owner.append(np.repeat(np.array(others, dtype=np.int64), sizes)[np.array(starts, dtype=np.int64)])
         else:  # normalising has made or lost a blank: one by one
-            for i in plain:
+            for i in others:
                 words += (own := self._words(segments[i]))
                 owner.append(np.full(len(own), i, dtype=np.int64))
         return words, np.concatenate(owner)
@@ -252,12 +297,15 @@ class PairIndexBpe:
         """Ids of all segments (text without ASCII white space), one after the
         other, and the number of ids of each segment."""
         words, owner = self._words_of_all(segments)
-        coded = pa.array(["" if isinstance(w, int) else w for w in words], pa.string()).dictionary_encode()
-        at, texts = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
-        ids, counts = self.encode_words(texts)
-        special = [k for k, w in enumerate(words) if isinstance(w, int)] if "" in texts else []
+        special = [k for k, w in enumerate(words) if w.__class__ is int]
+        special_ids = [words[k] for k in special]
+        for k in special:
+            words[k] = ""
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, counts = self.encode_words(coded.dictionary.cast(pa.binary()).to_pylist())
         at[special] = len(counts) + np.arange(len(special))
-        ids = np.append(ids, np.array([words[k] for k in special], dtype=ids.dtype))
+        ids = np.append(ids, np.array(special_ids, dtype=ids.dtype))
         counts = np.append(counts, np.ones(len(special), dtype=np.int64))
         order = np.argsort(owner, kind="stable")
         at = at[order]
@@ -311,4 +359,4 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
                  hashlib.sha256(bpe.decode(ids)).hexdigest()) for ids in encode_column(texts, bpe.encode_segments)]
         return struct_array(rows, RESULT_TYPE)
 
-    return docs.select(F.col(id_col), digests(F.col(text_col)).alias("_digests")).select(id_col, "_digests.*")
+    return bounded(docs).select(F.col(id_col), digests(F.col(text_col)).alias("_digests")).select(id_col, "_digests.*")

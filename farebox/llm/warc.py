@@ -43,7 +43,7 @@ from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import materialise
+from farebox.llm.common import bounded, materialise
 from farebox.operators.joins import lookup_join
 
 MIN_REVISIT_BYTES = 100
@@ -429,7 +429,7 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                  min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """Rows for the writer: a response or a revisit per page."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    base = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("target_uri"),
+    base = bounded(pages).select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("target_uri"),
                         payload.alias("payload"))
     base = base.withColumns({"payload_bytes": F.octet_length("payload").cast("long"),
                              "payload_digest": F.sha2(F.col("payload"), 256)})
