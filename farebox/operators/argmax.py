@@ -15,6 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Most per-key maxima that the driver reads; above it they stay on the cluster.
+DRIVER_ROWS = 10_000
+
+
 def _keys(keys) -> list:
     return list(keys) if isinstance(keys, (list, tuple)) else [keys]
 
@@ -57,11 +61,13 @@ def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str
 def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str], null_keys: bool = False) -> DataFrame:
     """Join back to the per-key maxima, without moving the rows.
 
-    The maxima (one row per key, from a hash aggregate) are materialised with
-    a reliable checkpoint in the session's shared folder, size-checked and --
-    when small -- broadcast, so every task filters its own rows against them:
-    no shuffle of the input and no task ever holds all rows tied at a maximum.
-    Above the broadcast bound it is a sort-merge join (AQE splits a hot key).
+    The maxima (one row per key, from a hash aggregate) are read by the driver
+    up to ``DRIVER_ROWS`` rows; when that is all of them they are a small
+    constant table that every task filters its own rows against: no shuffle of
+    the input and no task ever holds all rows tied at a maximum.  When there
+    are more keys, the maxima are materialised with a reliable checkpoint in
+    the session's shared folder, and broadcast only if their measured size
+    allows; above that bound it is a sort-merge join (AQE splits a hot key).
     With ``null_keys`` a null key is a key like any other.
     """
     from farebox.operators.joins import lookup_join
@@ -75,9 +81,15 @@ def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str], null_k
     maxima = (df.where(keyed).groupBy(*ks).agg(F.max(value).alias("_max_value"))
               .where(F.col("_max_value").isNotNull())
               .select(*[F.col(k).alias(renamed[k]) for k in ks], "_max_value"))
-    checkpoint_root(df.sparkSession)
-    maxima = maxima.checkpoint(eager=True)
+    spark = df.sparkSession
+    first = maxima.limit(DRIVER_ROWS + 1).toArrow()
+    small = first.num_rows <= DRIVER_ROWS
+    if small:
+        maxima = spark.createDataFrame(first, maxima.schema)
+    else:
+        checkpoint_root(spark)
+        maxima = maxima.checkpoint(eager=True)
     cond = F.col(value) == F.col("_max_value")
     for k in ks:
         cond = cond & F.col(k).eqNullSafe(F.col(renamed[k]))
-    return lookup_join(df, maxima, cond).select(*columns)
+    return lookup_join(df, maxima, cond, small=True if small else None).select(*columns)

@@ -26,8 +26,8 @@ NOTES = {
     "Q2 longest trip, window": "Each task sorts its own rows and keeps one per vendor (partial `WindowGroupLimit`) "
     "before the shuffle, so a vendor holding a third of all trips still sends one row per task. Ties broken by "
     "minutes.",
-    "Q2 longest trip": "The per-vendor maxima (a hash aggregate, checkpointed and size-checked before this plan is "
-    "built) are broadcast, every task filters its own trips against them, and the largest duration among the few "
+    "Q2 longest trip": "The per-vendor maxima (a hash aggregate, read before this plan is built: at most 10,000 "
+    "rows, else they are checkpointed and size-checked) are broadcast, every task filters its own trips against them, and the largest duration among the few "
     "trips that reach a maximum is a second small aggregate. Two scans, no sort, same row as the window form.",
     "Q2 longest trip, SQL": "The same join back to the maxima, ties kept; the only sort is the final order of the "
     "winners. The coordinate tests are pushed into the Parquet reader.",

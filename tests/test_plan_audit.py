@@ -35,8 +35,8 @@ def _broadcast_subtrees(plan: str) -> list[str]:
     return subtrees
 
 
-# The only rows that are not scanned from files: the checkpointed per-key maxima.
-CHECKPOINT_KEYS = {k for k in KEYS if k.startswith(("argmax_max_by", "join_argmax_back", "q2_", "sink_text_fixed", "fn_format_vendor",
+# The only rows that are not scanned from files: the per-key maxima.
+MAXIMA_KEYS = {k for k in KEYS if k.startswith(("argmax_max_by", "join_argmax_back", "q2_", "sink_text_fixed", "fn_format_vendor",
                                                     "q6_partitions_invariant"))}
 
 
@@ -45,11 +45,11 @@ def _audit(name: str, plan: str) -> None:
     if "udf" not in name:
         assert "EvalPython" not in plan
     for subtree in _broadcast_subtrees(plan):
-        scans = re.findall(r"(?:FileScan \w+|Scan ExistingRDD)[^\n]*", subtree)
+        scans = re.findall(r"(?:FileScan \w+|Scan ExistingRDD|LocalTableScan)[^\n]*", subtree)
         assert scans, subtree
         for scan in scans:
-            if scan.startswith("Scan ExistingRDD"):
-                assert name in CHECKPOINT_KEYS, scan
+            if scan.startswith(("Scan ExistingRDD", "LocalTableScan")):
+                assert name in MAXIMA_KEYS, scan
                 continue
             assert not any(src in scan for src in FACT_SOURCES), scan
             assert any(src in scan for src in LOOKUP_SOURCES), scan
