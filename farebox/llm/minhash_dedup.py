@@ -7,11 +7,14 @@
 3. Classes that share a band key are candidates.  A bucket is never expanded
    into its pairs.  In each round a class of a bucket that is not yet in the
    component of the bucket's majority is compared with one pivot of it, and
-   the confirmed links are merged; rounds go on while they merge anything.
-   What is then still apart in a shared bucket is compared in full, members
-   outside the majority against the rest, after signatures have ruled out
-   pairs that cannot reach the threshold.  So every candidate pair either is
-   compared or already lies in one component.
+   the confirmed links are merged; rounds go on while they pay.  What is then
+   still apart in a shared bucket is compared in full, members outside the
+   majority against the rest, but for pairs that a bound or their signatures
+   rule out.  The bound is exact: with shingles that at most ``RARE`` open
+   documents have left out, the overlap of a pair that shares none of these is
+   at most the smaller count of the others; pairs that do share one are found
+   by it.  So every candidate pair either is compared or already lies in one
+   component.
 4. A link is confirmed on the full shingle sets, never on signatures.
 5. Components by alternating large-star and small-star.
 
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import fresh_name, materialise, utf8_values
+from farebox.llm.common import bounded, fresh_name, materialise, utf8_values
 from farebox.llm.components import connected_components
 from farebox.operators.joins import lookup_join
 
@@ -46,12 +49,14 @@ ROWS = 5
 BANDS = 25
 PERMUTATIONS = ROWS * BANDS
 MAX_PIVOT_ROUNDS = 8
+PAYING_SHARE = 0.02  # of a round's comparisons that must give links for another round
+RARE = 16
 # Share of equal minima below which a pair is ruled out: the threshold less
 # five standard errors of the estimate.
 SIGNATURE_MARGIN = 5 * (0.8 * 0.2 / PERMUTATIONS) ** 0.5
 
 _SEED = 20240229
-_WORD_CACHE = 200_000
+_WORD_CACHE = 50_000
 _BLOCK = 512
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -150,7 +155,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], words_per_shingle: int) -> It
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
     """``SIGNATURE_SCHEMA`` rows, one per document."""
-    pairs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    pairs = bounded(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return pairs.mapInArrow(lambda batches: _signatures(batches, words_per_shingle), SIGNATURE_SCHEMA)
 
 
@@ -198,66 +203,98 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
 
     empty = spark.createDataFrame([], "x long, y long")
     links, tested, labels = empty, empty, None
-    for step in range(MAX_PIVOT_ROUNDS + 1):
-        if labels is None:
-            open_members = members.withColumn("component", F.col("id")).withColumn("degree", F.lit(0).cast("long"))
-        else:
-            degrees = (links.select("x").union(links.select("y")).toDF("id").groupBy("id")
-                       .agg(F.count(F.lit(1)).alias("degree")))
-            tagged = (members.join(labels.hint("merge"), "id", "left").join(degrees.hint("merge"), "id", "left")
-                      .select("key", "id", "n_shingles", F.coalesce("component", "id").alias("component"),
-                              F.coalesce("degree", F.lit(0)).alias("degree")))
-            tagged = materialise(tagged, "minhash-tagged")
-            split = (tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                     .where("lo != hi").select("key"))
-            open_members = tagged.join(split.hint("merge"), "key")
-        # The majority component of each bucket and its best linked member.
-        parts = open_members.groupBy("key", "component").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.struct("degree", (-F.col("id")).alias("neg_id"), "n_shingles")).alias("top"))
-        major = parts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("neg"), "top")).alias("m")).select(
-            "key", (-F.col("m.neg")).alias("major"), (-F.col("m.top.neg_id")).alias("pivot"),
-            F.col("m.top.n_shingles").alias("pivot_n"))
+    for _ in range(MAX_PIVOT_ROUNDS):
+        open_members, major = _open_buckets(members, links, labels)
         minor = open_members.join(major.hint("merge"), "key").where(F.col("component") != F.col("major"))
-        if step < MAX_PIVOT_ROUNDS:
-            # One pivot per open member and round: the one it meets most often.
-            votes = (minor.where(_size_fits("n_shingles", "pivot_n", threshold_percent))
-                     .groupBy(F.col("id").alias("x"), F.col("pivot").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-                     .join(tested.hint("merge"), ["x", "y"], "left_anti"))
-            pairs = (votes.groupBy("x").agg(F.max(F.struct("n", (-F.col("y")).alias("neg"))).alias("best"))
-                     .select("x", (-F.col("best.neg")).alias("y")))
-        else:
-            pairs = _remaining_pairs(open_members, minor, classes, tested, threshold_percent)
+        # One pivot per open member and round: the one it meets most often.
+        votes = (minor.where(_size_fits("n_shingles", "pivot_n", threshold_percent))
+                 .groupBy(F.col("id").alias("x"), F.col("pivot").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+                 .join(tested.hint("merge"), ["x", "y"], "left_anti"))
+        pairs = (votes.groupBy("x").agg(F.max(F.struct("n", (-F.col("y")).alias("neg"))).alias("best"))
+                 .select("x", (-F.col("best.neg")).alias("y")))
         pairs = materialise(pairs, "minhash-pairs")
         new = materialise(_confirmed(pairs, sets, threshold_percent), "minhash-links")
-        merged = not new.isEmpty()
-        if merged:
+        n_pairs, n_new = pairs.count(), new.count()
+        tested = tested.union(pairs)
+        if n_new:
             links = links.union(new)
             labels = connected_components(links, "x", "y", "minhash-components").withColumnRenamed("node", "id")
-        if step == MAX_PIVOT_ROUNDS:
+        if n_new <= PAYING_SHARE * n_pairs:
             break
-        tested = materialise(tested.union(pairs), "minhash-tested")
-        if not merged:  # nothing left for pivots: compare the rest in full
-            pairs = materialise(_remaining_pairs(open_members, minor, classes, tested, threshold_percent),
-                                "minhash-pairs")
-            links = links.union(materialise(_confirmed(pairs, sets, threshold_percent), "minhash-links"))
-            break
-    return links
-
-
-def _remaining_pairs(open_members: DataFrame, minor: DataFrame, classes: DataFrame, tested: DataFrame,
+    open_members, major = _open_buckets(members, links, labels)
+    pairs = materialise(_remaining_pairs(open_members, major, classes, sets, tested, threshold_percent), "minhash-pairs")
+    return links.union(materialise(_confirmed(pairs, sets, threshold_percent), "minhash-links"))
+
+
+def _open_buckets(members: DataFrame, links: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(members of the buckets that span several components, with component
+    and number of links; per bucket its majority component and that one's best
+    linked member)."""
+    if labels is None:
+        tagged = members.withColumn("component", F.col("id")).withColumn("degree", F.lit(0).cast("long"))
+    else:
+        degrees = (links.select("x").union(links.select("y")).toDF("id").groupBy("id")
+                   .agg(F.count(F.lit(1)).alias("degree")))
+        tagged = (members.join(labels.hint("merge"), "id", "left").join(degrees.hint("merge"), "id", "left")
+                  .select("key", "id", "n_shingles", F.coalesce("component", "id").alias("component"),
+                          F.coalesce("degree", F.lit(0)).alias("degree")))
+        split = (tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                 .where("lo != hi").select("key"))
+        tagged = materialise(tagged.join(split.hint("merge"), "key"), "minhash-tagged")
+    parts = tagged.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.struct("degree", (-F.col("id")).alias("neg_id"), "n_shingles")).alias("top"))
+    major = parts.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("neg"), "top")).alias("m")).select(
+        "key", (-F.col("m.neg")).alias("major"), (-F.col("m.top.neg_id")).alias("pivot"),
+        F.col("m.top.n_shingles").alias("pivot_n"))
+    return tagged, major
+
+
+def _rare_shingles(ids: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((id, core): how many shingles of each document more than RARE of the
+    documents have; pairs (x, y) of documents that share a rarer one)."""
+    found = sets.join(ids.hint("merge"), "id", "left_semi").withColumn("row", F.xxhash64("id", "items"))
+    found = materialise(found, "minhash-open-sets")
+    items = found.select("row", "id", F.explode("items").alias("item"))
+    rare = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= RARE)
+    held = materialise(items.join(rare.hint("merge"), "item"), "minhash-rare")
+    counts = held.groupBy("row").agg(F.count(F.lit(1)).alias("rare"))
+    cores = found.join(counts.hint("merge"), "row", "left").groupBy("id").agg(
+        F.max(F.size("items") - F.coalesce("rare", F.lit(0))).alias("core"))
+    # At most RARE documents hold an item.
+    lists = held.where("n > 1").groupBy("item").agg(F.array_sort(F.collect_set("id")).alias("ids"))
+    sharing = (lists.select("ids", F.posexplode("ids").alias("at", "x"))
+               .select("x", F.explode(F.slice("ids", F.col("at") + 2, F.lit(RARE))).alias("y")).distinct())
+    return cores, sharing
+
+
+def _remaining_pairs(open_members: DataFrame, major: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame,
                      threshold_percent: int) -> DataFrame:
     """Untested pairs of different components that share a bucket, less those
-    that set sizes or signatures rule out."""
-    x = minor.select("key", F.col("id").alias("x"), F.col("n_shingles").alias("x_n"), F.col("component").alias("x_c"),
-                     "major")
-    y = open_members.select("key", F.col("id").alias("y"), F.col("n_shingles").alias("y_n"),
-                            F.col("component").alias("y_c"))
-    pairs = (x.hint("merge").join(y, "key")
-             .where((F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("major")) | (F.col("x") < F.col("y"))))
-             .where(_size_fits("x_n", "y_n", threshold_percent)).select("x", "y").distinct()
-             .join(tested.hint("merge"), ["x", "y"], "left_anti")
-             .join(tested.toDF("y", "x").hint("merge"), ["x", "y"], "left_anti"))
+    that the bound or signatures rule out."""
+    cores, sharing = _rare_shingles(open_members.select("id").distinct(), sets)
+    members = (open_members.join(cores.hint("merge"), "id").join(major.select("key", "major").hint("merge"), "key")
+               .select("key", "id", "n_shingles", "component", "core", "major"))
+    members = materialise(members, "minhash-open")
+    x = members.where("component != major").select(
+        "key", F.col("id").alias("x"), F.col("n_shingles").alias("x_n"), F.col("core").alias("x_core"),
+        F.col("component").alias("x_c"), "major")
+    y = members.select("key", F.col("id").alias("y"), F.col("n_shingles").alias("y_n"), F.col("core").alias("y_core"),
+                       F.col("component").alias("y_c"))
+    most = F.least("x_core", "y_core")
+    by_bucket = (x.hint("merge").join(y, "key")
+                 .where((F.col("x_c") != F.col("y_c")) & ((F.col("y_c") == F.col("major")) | (F.col("x") < F.col("y"))))
+                 .where(100 * most >= threshold_percent * (F.col("x_n") + F.col("y_n") - most)).select("x", "y"))
+    # A document has one component; sizes of the classes of an id may differ, so the widest range counts.
+    nodes = members.groupBy("id").agg(F.min("component").alias("c"), F.min("n_shingles").alias("lo"),
+                                      F.max("n_shingles").alias("hi"))
+    by_item = (sharing.join(nodes.toDF("x", "x_c", "x_lo", "x_hi").hint("merge"), "x")
+               .join(nodes.toDF("y", "y_c", "y_lo", "y_hi").hint("merge"), "y")
+               .where("x_c != y_c").where((100 * F.col("x_hi") >= threshold_percent * F.col("y_lo"))
+                                          & (100 * F.col("y_hi") >= threshold_percent * F.col("x_lo"))).select("x", "y"))
+    either = by_bucket.union(by_item).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    done = tested.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    pairs = either.join(done.hint("merge"), ["x", "y"], "left_anti")
     sx = classes.select(F.col("id").alias("x"), F.col("minima").alias("x_minima"))
     sy = classes.select(F.col("id").alias("y"), F.col("minima").alias("y_minima"))
     equal = F.size(F.filter(F.zip_with("x_minima", "y_minima", lambda a, b: a == b), lambda e: e))

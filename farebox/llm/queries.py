@@ -134,3 +134,38 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM firsts
 """
+
+
+LLM_ORACLE["op7_minhash_dedup"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS n, doc_id,
+           [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                    'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+') IF w <> ''] AS words
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT n, doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+                                           WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                                           ELSE [array_to_string(words[i:i + 3], ' ') FOR i IN range(1, len(words) - 2)]
+                                      END) AS shingle
+    FROM docs
+),
+sizes AS (SELECT n, any_value(doc_id) AS doc_id, count(*) AS size FROM shingles GROUP BY n),
+common_counts AS (
+    SELECT a.n AS a, b.n AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.n < b.n GROUP BY a.n, b.n
+),
+links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM common_counts o JOIN sizes x ON x.n = o.a JOIN sizes y ON y.n = o.b
+    WHERE 100 * common >= 80 * (x.size + y.size - common) AND x.doc_id IS NOT NULL AND y.doc_id IS NOT NULL
+),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, id) AS (
+    SELECT doc_id, doc_id FROM documents WHERE doc_id IS NOT NULL
+    UNION
+    SELECT l.a, r.id FROM reach r JOIN both_ways l ON l.b = r.doc_id
+),
+smallest AS (SELECT doc_id, min(id) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(size, 0) AS n_shingles, component_id, coalesce(d.doc_id = component_id, true) AS kept
+FROM docs d LEFT JOIN sizes USING (n) LEFT JOIN smallest s ON s.doc_id = d.doc_id
+"""

@@ -108,3 +108,13 @@ def test_components(spark):
         want = components_of(range(120), links)
         assert {n: got.get(n, n) for n in range(120)} == want
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_query_matches_sql(spark):
+    from farebox.llm import queries
+    from tests.conftest import SF_SMALL
+    from tests.oracle_compare import compare, duck
+
+    name = "op7_minhash_dedup"
+    ok, msg = compare(spark, duck(SF_SMALL), name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], SF_SMALL)
+    assert ok, msg
