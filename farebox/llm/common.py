@@ -18,7 +18,7 @@ ROWS_AT_ONCE = 128
 
 # Bytes of a batch that goes to a Python worker.  Spark's own bound is 64 MB,
 # several times of which a worker and its task hold at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -57,14 +57,14 @@ class PairIndexBpe:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model = spec["model"]
+        model, tokenizer = spec["model"], load_tokenizer(path)
         if (model["type"] != "BPE" or model["dropout"] or model["unk_token"] or model["byte_fallback"]
                 or model["ignore_merges"] or model["continuing_subword_prefix"] or spec["decoder"] is not None
-                or not drops_white_space(path)):
+                or not drops_white_space(path, tokenizer)):
             raise ValueError(f"{path}: this encoder takes plain BPE files that drop white space")
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
-        self.tokenizer = load_tokenizer(path)
+        self.tokenizer = tokenizer
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_split = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 # Bounds of a Python worker's memory: text held at a time, segments whose ids
 # are gathered at a time, segments the library encodes at a time.
-TEXT_BYTES_AT_ONCE = 8 << 20
+TEXT_BYTES_AT_ONCE = 6 << 20
 WORDS_AT_ONCE = 1 << 18
 SEGMENTS_AT_ONCE = 4096
 
@@ -28,7 +28,7 @@ def load_tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-def drops_white_space(path: str) -> bool:
+def drops_white_space(path: str, tokenizer: Tokenizer) -> bool:
     """True when the file's pre-tokenizer keeps only matches without white
     space and no step before it can join text across white space."""
     with open(path, encoding="utf-8") as f:
@@ -39,8 +39,8 @@ def drops_white_space(path: str) -> bool:
                 and len(t["content"].split()) == 1 for t in spec["added_tokens"])
     return (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
             and spec.get("post_processor") is None and plain
-            and Tokenizer.from_file(path).encode(" \t\n a \x0b\x0c\r", add_special_tokens=False).ids
-            == Tokenizer.from_file(path).encode("a", add_special_tokens=False).ids)
+            and tokenizer.encode(" \t\n a \x0b\x0c\r", add_special_tokens=False).ids
+            == tokenizer.encode("a", add_special_tokens=False).ids)
 
 
 def take_runs(values: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:

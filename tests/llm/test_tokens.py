@@ -96,7 +96,8 @@ def test_segments_with_the_library_and_files_it_cannot_take(monkeypatch):
     monkeypatch.setattr(segment_encoding, "WORDS_AT_ONCE", 50)
     got = list(segment_encoding.encode_column(pa.array(["x", *texts]).slice(1), segment_encoding.library_segments(WORD)))
     assert [x.tolist() for x in got] == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
-    assert segment_encoding.drops_white_space(WORD) and not segment_encoding.drops_white_space(BYTE)
+    assert segment_encoding.drops_white_space(WORD, library)
+    assert not segment_encoding.drops_white_space(BYTE, Tokenizer.from_file(BYTE))
     with pytest.raises(ValueError):
         pib.PairIndexBpe(BYTE)
 
