@@ -407,7 +407,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
     placed = materialise(placed.select("uid", "id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component"),
                          "nn-placed")
     names = placed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("id").alias("component_id"))
-    out = placed.join(names.hint("merge"), "component", "left")
-    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_links", component.alias("component_id"),
-                      F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    # Vectors without links stay out of the join, where their nulls would meet in one task.
+    linked = placed.where(F.col("component").isNotNull()).join(names.hint("merge"), "component")
+    alone = placed.where(F.col("component").isNull())
+    out = linked.select("id", "n_links", "component_id").union(alone.select("id", "n_links", F.col("id").alias("component_id")))
+    return out.select(F.col("id").alias(id_col), "n_links", "component_id",
+                      F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
