@@ -19,8 +19,10 @@ Links are pairs of vectors with cosine of at least a threshold.
 3. Edges become links.  Between balls the angle of the centres and the radii
    settle most pairs; what they leave open is settled vector by vector, and at
    last pair by pair, in double precision.
-4. An audit compares a sample of vectors with all others, in blocks.  While
-   its recall is below ``TARGET_RECALL``, more blocks are searched.
+4. An audit compares samples of vectors with all others, in blocks: some of
+   all vectors, and some that are in no ball.  While the mean recall of the
+   vectors that have a link is below ``TARGET_RECALL`` in one of the groups,
+   more blocks are searched.
 
 Components come from alternating large-star and small-star.
 
@@ -51,13 +53,17 @@ BALL_CANDIDATES = 4  # balls, and random vectors, that a code's vectors are comp
 MIN_BALL = 32
 CENTRE_SAMPLE = 32
 CODE_ROWS = 16  # rows a code holds on average in the first search
-TABLES = 8
+TABLES = 8  # at least
+MEET = 0.999  # probability that two vectors at the threshold share a code in a search
 BLOCK_ROWS = 256
 LIST = 6
 EXPLORE = 0.5  # least cosine of the edges that the descent follows
 HUB_ROWS = 64
 ROUNDS = 4
 AUDIT_ROWS = 512
+FREE_AUDIT_ROWS = 2048  # of the vectors in no ball
+FEW_LINKS = 5
+AUDIT_BLOCK = 1024
 AUDITS = 3
 TARGET_RECALL = 0.999
 CHUNK_ROWS = 8192
@@ -78,6 +84,12 @@ def _units(column: pa.Array) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True) if len(m) else m
 
 
+def _tables(bits: int, threshold: float) -> int:
+    """How many codes of ``bits`` signs let a pair at the threshold share one with probability MEET."""
+    same = (1 - math.acos(threshold) / math.pi) ** bits
+    return TABLES if same >= MEET else max(TABLES, math.ceil(math.log1p(-MEET) / math.log1p(-same)))
+
+
 def _planes(dim: int, bits: int, salt: int) -> np.ndarray:
     return np.random.default_rng([SEED, salt]).standard_normal((dim, bits))
 
@@ -95,6 +107,21 @@ def _code_column(vec: str, dim: int, bits: int, salt: int) -> Column:
     return code(F.col(vec))
 
 
+def _code_columns(vec: str, dim: int, bits: int, salt: int, tables: int) -> Column:
+    """An array of ``tables`` such numbers."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def codes(vectors: pa.Array) -> pa.Array:
+        m = _matrix(vectors)
+        out = np.zeros((len(vectors), tables), dtype=np.int64)
+        for t in range(tables if len(vectors) else 0):
+            out[:, t] = (m @ _planes(dim, bits, salt + t) > 0).astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+        offsets = np.arange(len(vectors) + 1, dtype=np.int32) * tables
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    return codes(F.col(vec))
+
+
 @F.arrow_udf(T.DoubleType())
 def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     if not len(a):
@@ -251,17 +278,18 @@ def _compare(floor: float):
     return edges
 
 
-def _block_search(nodes: DataFrame, n: int, dim: int, salt: int, floor: float) -> DataFrame:
+def _block_search(nodes: DataFrame, n: int, dim: int, salt: int, floor: float, threshold: float) -> DataFrame:
     """Edges between nodes that share a sign code, in blocks of some BLOCK_ROWS at most."""
     bits = max(1, math.ceil(math.log2(max(2, n / CODE_ROWS))))
-    codes = F.array(*[_code_column("vec", dim, bits, 1000 * salt + t) for t in range(TABLES)])
+    tables = _tables(bits, threshold)
+    codes = _code_columns("vec", dim, bits, 1_000_000 * salt, tables)
     coded = nodes.select("node", F.posexplode(codes).alias("table", "code"))
     coded = materialise(coded, "nn-codes")
     blocks = coded.groupBy("table", "code").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
     rows = (coded.join(blocks.hint("merge"), ["table", "code"])
             .withColumn("block", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")))
             .join(nodes.select("node", "vec").hint("merge"), "node").withColumn("fresh", F.lit(True)))
-    return _in_chunks(rows.select("table", "code", "block", "node", "vec", "fresh"), ["table", "code", "block"], n * TABLES,
+    return _in_chunks(rows.select("table", "code", "block", "node", "vec", "fresh"), ["table", "code", "block"], n * tables,
                       _compare(floor), EDGES)
 
 
@@ -339,26 +367,46 @@ def _links(lists: DataFrame, nodes: DataFrame, members: DataFrame, threshold: fl
 
 
 def audit(vectors: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the links of AUDIT_ROWS sample vectors that ``counts`` (uid,
-    n_links) has; the sample is compared with every vector, in blocks."""
-    sample = vectors.orderBy(F.xxhash64("uid"), "uid").limit(AUDIT_ROWS).toArrow()
-    uids = sample["uid"].to_numpy()
-    if not len(uids):
+    """Recall of ``counts`` (uid, n_links, node where known): the mean over
+    sample vectors with links of the share that it has of a vector's links.
+
+    It is the least of three such means: over AUDIT_ROWS of all vectors, and
+    over those of FREE_AUDIT_ROWS vectors in no ball that have, in truth, at
+    most FEW_LINKS links, and that have more.  The samples are compared with
+    every vector, in blocks.
+    """
+    by_hash = (F.xxhash64("uid"), "uid")
+    free = counts.where("node >= 0") if "node" in counts.columns else counts
+    alone = vectors.join(free.select("uid").hint("merge"), "uid", "left_semi")
+    samples = [vectors.select("uid", "vec").orderBy(*by_hash).limit(AUDIT_ROWS).toArrow(),
+               alone.select("uid", "vec").orderBy(*by_hash).limit(FREE_AUDIT_ROWS).toArrow()]
+    sample = pa.concat_tables(samples).combine_chunks()
+    if not sample.num_rows:
         return 1.0
-    queries = _units(sample["vec"].combine_chunks())
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("n", T.LongType())])
+    uids, queries = sample["uid"].to_numpy(), _units(sample["vec"].combine_chunks())
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("n", T.LongType())])
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(uids), dtype=np.int64)
         for batch in batches:
-            near = _units(batch.column(1)) @ queries.T >= threshold
-            near &= batch.column(0).to_numpy()[:, None] != uids[None, :]
-            total += near.sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(total, pa.int64())], names=["uid", "n"])
-
-    true = vectors.select("uid", "vec").mapInArrow(block, schema).groupBy("uid").agg(F.sum("n").alias("n"))
-    row = true.join(counts.hint("merge"), "uid", "left").agg(F.sum("n").alias("t"), F.sum("n_links").alias("f")).first()
-    return (row["f"] or 0) / row["t"] if row["t"] else 1.0
+            for start in range(0, batch.num_rows, AUDIT_BLOCK):
+                part = batch.slice(start, AUDIT_BLOCK)
+                # A pair that rounding may put on either side of the threshold is not asked for.
+                near = _units(part.column(1)) @ queries.T >= threshold + MARGIN
+                near &= part.column(0).to_numpy()[:, None] != uids[None, :]
+                total += near.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(uids)), pa.int64()), pa.array(total, pa.int64())], names=["k", "n"])
+
+    true = np.zeros(len(uids), dtype=np.int64)
+    for row in vectors.select("uid", "vec").mapInArrow(block, schema).groupBy("k").agg(F.sum("n").alias("n")).collect():
+        true[row["k"]] = row["n"]
+    wanted = vectors.sparkSession.createDataFrame([(int(u),) for u in set(uids.tolist())], "uid long")
+    has = {r["uid"]: r["n_links"] for r in counts.join(F.broadcast(wanted), "uid").select("uid", "n_links").collect()}
+    found = np.array([has.get(u) or 0 for u in uids.tolist()])
+    share = np.minimum(found, true) / np.maximum(true, 1)
+    is_free = np.arange(len(uids)) >= samples[0].num_rows
+    groups = [~is_free & (true > 0), is_free & (true > 0) & (true <= FEW_LINKS), is_free & (true > FEW_LINKS)]
+    return min((float(share[g].mean()) for g in groups if g.any()), default=1.0)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
@@ -384,7 +432,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
         home = materialise(home.join(nodes.select("node", "size").hint("merge"), "node"), "nn-home")
         lists = None
         for attempt in range(AUDITS):
-            edges = _block_search(nodes, n_nodes, dim, attempt + 1, floor).withColumn("fresh", F.lit(True))
+            edges = _block_search(nodes, n_nodes, dim, attempt + 1, floor, threshold).withColumn("fresh", F.lit(True))
             if lists is not None:
                 edges = edges.union(lists.withColumn("fresh", F.lit(False)))
             lists = _descend(edges, nodes, attempt + 1, floor)

@@ -71,6 +71,40 @@ def test_audit_measures_recall(spark):
     assert nn.audit(frame, none, 0.95) == 0.0 and nn.audit(frame, half, 0.95) == 0.5
 
 
+def lone_pairs(rng, hot, pairs, dim=64):
+    """A group of near copies, then pairs of cosine 0.95 to 0.97 that are far from all others."""
+    centre = rng.standard_normal(dim)
+    vecs = [centre + 0.02 * rng.standard_normal(dim) for _ in range(hot)]
+    for c in rng.uniform(0.9501, 0.97, pairs):
+        v, w = rng.standard_normal((2, dim))
+        v, w = v / np.linalg.norm(v), w - v * (v @ w) / (v @ v)
+        vecs += [v, c * v + math.sqrt(1 - c * c) * w / np.linalg.norm(w)]
+    return [v.tolist() for v in vecs]
+
+
+def test_audit_sees_lone_pairs_beside_a_hot_group(spark):
+    vecs = lone_pairs(np.random.default_rng(4), 400, 60)
+    frame = spark.createDataFrame(list(enumerate(vecs)), "uid long, vec array<double>")
+    links = lambda k, lone: 399 if k < 400 else lone
+    counts = lambda lone: spark.createDataFrame(
+        [(k, -1 if k < 400 else k, links(k, lone)) for k in range(len(vecs))], "uid long, node long, n_links long")
+    assert nn.audit(frame, counts(0), 0.95) == 0.0 and nn.audit(frame, counts(1), 0.95) == 1.0
+
+
+def test_lone_pairs_beside_a_hot_group_are_found(spark):
+    vecs = lone_pairs(np.random.default_rng(5), 2500, 2500)
+    frame = spark.createDataFrame(list(enumerate(vecs)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in nn.near_vectors(frame).collect()}
+    assert [got[k] for k in range(2500)] == [2499] * 2500
+    assert sum(got[k] == 1 for k in range(2500, 7500)) >= 0.999 * 5000
+
+
+@pytest.mark.parametrize("bits", [1, 6, 12, 26])
+def test_pairs_at_the_threshold_meet_whatever_the_size(bits):
+    same = (1 - math.acos(0.95) / math.pi) ** bits
+    assert 1 - (1 - same) ** nn._tables(bits, 0.95) >= nn.MEET
+
+
 def test_query_matches_sql(spark):
     name = "op2_nn_descent"
     ok, msg = compare(spark, duck(SF_MID), name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], SF_MID)
