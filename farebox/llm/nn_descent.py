@@ -22,7 +22,8 @@ Links are pairs of vectors with cosine of at least a threshold.
 4. An audit compares samples of vectors with all others, in blocks: some of
    all vectors, and some that are in no ball.  While the mean recall of the
    vectors that have a link is below ``TARGET_RECALL`` in one of the groups,
-   more blocks are searched.
+   more blocks are searched.  A descent or a search that does not come to its
+   end within ``MAX_ROUNDS`` or ``MAX_SEARCHES`` is an error, never a result.
 
 Components come from alternating large-star and small-star.
 
@@ -59,12 +60,12 @@ BLOCK_ROWS = 256
 LIST = 6
 EXPLORE = 0.5  # least cosine of the edges that the descent follows
 HUB_ROWS = 64
-ROUNDS = 4
+MAX_ROUNDS = 60
 AUDIT_ROWS = 512
 FREE_AUDIT_ROWS = 2048  # of the vectors in no ball
 FEW_LINKS = 5
 AUDIT_BLOCK = 1024
-AUDITS = 3
+MAX_SEARCHES = 20
 TARGET_RECALL = 0.999
 CHUNK_ROWS = 8192
 MARGIN = 1e-9
@@ -320,14 +321,14 @@ def _local_join(lists: DataFrame, nodes: DataFrame, salt: int, floor: float) ->
 def _descend(edges: DataFrame, nodes: DataFrame, salt: int, floor: float) -> DataFrame:
     """Lists refined until a round finds no edge that may be a link."""
     lists = materialise(_lists(edges, floor), "nn-lists")
-    for step in range(ROUNDS):
+    for step in range(MAX_ROUNDS):
         if lists.where("fresh").isEmpty():
-            break
+            return lists
         found = _local_join(lists, nodes, salt * 100 + step, floor).withColumn("fresh", F.lit(True))
         lists = materialise(_lists(lists.withColumn("fresh", F.lit(False)).union(found), floor), "nn-lists")
         if lists.where(F.col("fresh") & (F.col("sim") >= floor)).isEmpty():
-            break
-    return lists
+            return lists
+    raise RuntimeError(f"neighbour lists still found possible links after {MAX_ROUNDS} rounds")
 
 
 # ---------------------------------------------------------------- links
@@ -431,7 +432,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
         home = members.select("uid", F.col("ball").alias("node")).union(free.select("uid", F.col("uid").alias("node")))
         home = materialise(home.join(nodes.select("node", "size").hint("merge"), "node"), "nn-home")
         lists = None
-        for attempt in range(AUDITS):
+        for attempt in range(MAX_SEARCHES):
             edges = _block_search(nodes, n_nodes, dim, attempt + 1, floor, threshold).withColumn("fresh", F.lit(True))
             if lists is not None:
                 edges = edges.union(lists.withColumn("fresh", F.lit(False)))
@@ -442,8 +443,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
                       .select("uid", "node", (F.col("size") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("gain", F.lit(0)))
                               .cast("long").alias("n_links")))
             counts = materialise(counts, "nn-counts")
-            if audit(usable, counts, threshold) >= TARGET_RECALL:
+            recall = audit(usable, counts, threshold)
+            if recall >= TARGET_RECALL:
                 break
+        else:
+            raise RuntimeError(f"recall is {recall:.4f} after {MAX_SEARCHES} searches, below {TARGET_RECALL}")
         found = connected_components(links, "u", "v", "nn-components")
         placed = counts.join(found.hint("merge"), "node", "left").select(
             "uid", "n_links", F.coalesce("component", "node").alias("component"))

@@ -105,6 +105,18 @@ def test_pairs_at_the_threshold_meet_whatever_the_size(bits):
     assert 1 - (1 - same) ** nn._tables(bits, 0.95) >= nn.MEET
 
 
+def test_search_goes_on_until_the_audit_passes_and_else_fails(spark, monkeypatch):
+    vecs = lone_pairs(np.random.default_rng(6), 40, 20, dim=16)
+    frame = spark.createDataFrame(list(enumerate(vecs)), "vec_id long, embedding array<double>")
+    recalls = iter([0.5, 0.9, 0.95, 0.99, 1.0])
+    monkeypatch.setattr(nn, "audit", lambda *a: next(recalls))
+    assert nn.near_vectors(frame).count() == len(vecs) and next(recalls, None) is None  # five searches
+    monkeypatch.setattr(nn, "audit", lambda *a: 0.8765)
+    monkeypatch.setattr(nn, "MAX_SEARCHES", 2, raising=False)
+    with pytest.raises(RuntimeError, match="0.8765"):
+        nn.near_vectors(frame)
+
+
 def test_query_matches_sql(spark):
     name = "op2_nn_descent"
     ok, msg = compare(spark, duck(SF_MID), name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], SF_MID)
