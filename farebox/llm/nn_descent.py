@@ -10,10 +10,12 @@ Links are pairs of vectors with cosine of at least a threshold.
    triangle inequality all members of a ball link with one another, so a group
    of a million copies costs a million comparisons, not their square.
 2. The nodes that remain, balls and single vectors, get neighbour lists: first
-   from small blocks of equal sign codes, then by NN-descent.  Around every
+   from equal sign codes, then by NN-descent.  Around every
    node, its neighbours and those that list it are compared with one another
    (a neighbours-of-neighbours join), pairs that are new on either side only;
-   lists keep their ``LIST`` best.  A list is saturated while its last entry
+   lists keep their ``LIST`` best.  What shares a code or a hub is compared
+   whole: where it is more than two blocks, every block meets every other in a
+   run of their own, spread by Spark.  A list is saturated while its last entry
    may still be a link; it is enlarged until it holds ``LIST`` entries that
    cannot be links.
 3. Edges become links.  Between balls the angle of the centres and the radii
@@ -56,10 +58,9 @@ CENTRE_SAMPLE = 32
 CODE_ROWS = 16  # rows a code holds on average in the first search
 TABLES = 8  # at least
 MEET = 0.999  # probability that two vectors at the threshold share a code in a search
-BLOCK_ROWS = 256
+BLOCK_ROWS = 512  # rows of a block; two blocks at most are compared in one run
 LIST = 6
 EXPLORE = 0.5  # least cosine of the edges that the descent follows
-HUB_ROWS = 64
 MAX_ROUNDS = 60
 AUDIT_ROWS = 512
 FREE_AUDIT_ROWS = 2048  # of the vectors in no ball
@@ -279,19 +280,37 @@ def _compare(floor: float):
     return edges
 
 
+def _block_pairs(rows: DataFrame, keys: list[str], n: str, salt: int) -> DataFrame:
+    """``rows`` once for each pair of blocks (a, b) of their key that they are
+    in, so that any two rows of a key meet; ``n`` is the number of its rows."""
+    blocks = F.ceil(F.col(n) / BLOCK_ROWS)
+    dealt = rows.withColumn("blocks", blocks).withColumn("at", F.pmod(F.xxhash64(*keys, "node", F.lit(salt)), F.col("blocks")))
+    others = F.when(F.col("blocks") > 2, F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                                                  lambda b: b != F.col("at"))).otherwise(F.array(F.lit(-1).cast("long")))
+    met = dealt.withColumn("other", F.explode(others))
+    # One or two blocks are one run.
+    whole = F.col("other") < 0
+    return (met.withColumn("a", F.when(whole, 0).otherwise(F.least("at", "other")))
+            .withColumn("b", F.when(whole, 0).otherwise(F.greatest("at", "other"))))
+
+
+def _pair_rows(sizes: DataFrame) -> int:
+    """How many rows _block_pairs makes of keys of ``n`` rows each."""
+    return sizes.agg(F.sum(F.col("n") * F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / BLOCK_ROWS) - 1))).first()[0] or 0
+
+
 def _block_search(nodes: DataFrame, n: int, dim: int, salt: int, floor: float, threshold: float) -> DataFrame:
-    """Edges between nodes that share a sign code, in blocks of some BLOCK_ROWS at most."""
+    """Edges between nodes that share a sign code."""
     bits = max(1, math.ceil(math.log2(max(2, n / CODE_ROWS))))
     tables = _tables(bits, threshold)
     codes = _code_columns("vec", dim, bits, 1_000_000 * salt, tables)
     coded = nodes.select("node", F.posexplode(codes).alias("table", "code"))
     coded = materialise(coded, "nn-codes")
-    blocks = coded.groupBy("table", "code").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
-    rows = (coded.join(blocks.hint("merge"), ["table", "code"])
-            .withColumn("block", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")))
+    sizes = coded.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = ["table", "code"]
+    rows = (_block_pairs(coded.join(sizes.hint("merge"), keys), keys, "n", salt)
             .join(nodes.select("node", "vec").hint("merge"), "node").withColumn("fresh", F.lit(True)))
-    return _in_chunks(rows.select("table", "code", "block", "node", "vec", "fresh"), ["table", "code", "block"], n * tables,
-                      _compare(floor), EDGES)
+    return _in_chunks(rows.select(*keys, "a", "b", "node", "vec", "fresh"), [*keys, "a", "b"], _pair_rows(sizes), _compare(floor), EDGES)
 
 
 def _lists(edges: DataFrame, floor: float) -> DataFrame:
@@ -310,12 +329,10 @@ def _local_join(lists: DataFrame, nodes: DataFrame, salt: int, floor: float) ->
               .groupBy("hub", "node").agg(F.max("fresh").alias("fresh")))
     around = materialise(around, "nn-around")
     sizes = around.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.max("fresh").alias("any")).where("n > 1 AND any")
-    # The neighbours of a hub meet in blocks, dealt anew in each round.
-    rows = (around.join(sizes.hint("merge"), "hub")
-            .withColumn("block", F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(F.col("n") / HUB_ROWS)))
+    # All neighbours of a hub meet, so that none of its pairs is left when they are no longer new.
+    rows = (_block_pairs(around.join(sizes.hint("merge"), "hub"), ["hub"], "n", salt)
             .join(nodes.select("node", "vec").hint("merge"), "node"))
-    n_rows = around.count()
-    return _in_chunks(rows.select("hub", "block", "node", "vec", "fresh"), ["hub", "block"], n_rows, _compare(floor), EDGES)
+    return _in_chunks(rows.select("hub", "a", "b", "node", "vec", "fresh"), ["hub", "a", "b"], _pair_rows(sizes), _compare(floor), EDGES)
 
 
 def _descend(edges: DataFrame, nodes: DataFrame, salt: int, floor: float) -> DataFrame:

@@ -117,6 +117,22 @@ def test_search_goes_on_until_the_audit_passes_and_else_fails(spark, monkeypatch
         nn.near_vectors(frame)
 
 
+def test_all_neighbours_of_a_hub_and_of_a_code_meet(spark, monkeypatch):
+    monkeypatch.setattr(nn, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(8)
+    vecs = [(rng.standard_normal(16) * 0.12 + np.eye(16)[0]).tolist() for _ in range(150)]
+    nodes = spark.createDataFrame([(k, v) for k, v in enumerate(vecs)], "node long, vec array<double>")
+    m = np.array(vecs)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    want = {(a, b) for a, b in zip(*np.nonzero(m @ m.T >= 0.9)) if a != b}
+    lists = spark.createDataFrame([(0, k, 0.9, True) for k in range(1, 150)], "u long, v long, sim double, fresh boolean")
+    got = {(r.u, r.v) for r in nn._local_join(lists, nodes, 1, 0.9).collect()}
+    assert {p for p in want if 0 not in p} <= got
+    monkeypatch.setattr(nn, "_code_columns", lambda *a: nn.F.array(nn.F.lit(7).cast("long")))
+    got = {(r.u, r.v) for r in nn._block_search(nodes, 150, 16, 1, 0.9, 0.95).collect()}
+    assert want <= got
+
+
 def test_query_matches_sql(spark):
     name = "op2_nn_descent"
     ok, msg = compare(spark, duck(SF_MID), name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], SF_MID)
