@@ -30,8 +30,8 @@ Links are pairs of vectors with cosine of at least a threshold.
 Components come from alternating large-star and small-star.
 
 Defined results: a vector that is null, empty, zero or has a null or
-non-finite component has no links, and neither has one whose length differs
-from that of most vectors; a null id counts as a vector (its component is that
+non-finite component has no links; vectors of different lengths do not link,
+and each length is searched by itself; a null id counts as a vector (its component is that
 of the smallest id, or null); rows with equal ids are vectors of their own
 that share an id.
 """
@@ -137,8 +137,8 @@ def _angle(cosine: Column) -> Column:
 
 
 # ---------------------------------------------------------------- input
-def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame, int]:
-    """(all rows (uid, id), rows (uid, vec) that can link, their length)."""
+def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame, list[tuple[int, int]]]:
+    """(all rows (uid, id), rows (uid, vec) that can link, their lengths with the number of rows)."""
     rows = vectors.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
                           F.col(vec_col).cast("array<double>").alias("vec"))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
@@ -148,9 +148,9 @@ def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFr
     scaled = F.transform("vec", lambda x: x / most)
     rows = materialise(rows.select("uid", "id", F.when(good, scaled).alias("vec")), "vectors")
     usable = rows.where(F.col("vec").isNotNull()).select("uid", "vec")
-    lengths = usable.groupBy(F.size("vec").alias("n")).count().orderBy(F.col("count").desc(), "n").limit(1).collect()
-    dim = lengths[0]["n"] if lengths else 0
-    return rows.select("uid", "id"), usable.where(F.size("vec") == dim), dim
+    # A vector that is alone of its length has none to link with.
+    lengths = usable.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("dim").collect()
+    return rows.select("uid", "id"), usable, [(r["dim"], r["n"]) for r in lengths]
 
 
 # ---------------------------------------------------------------- balls
@@ -427,49 +427,51 @@ def audit(vectors: DataFrame, counts: DataFrame, threshold: float) -> float:
     return min((float(share[g].mean()) for g in groups if g.any()), default=1.0)
 
 
+def _search(usable: DataFrame, n: int, dim: int, threshold: float) -> DataFrame:
+    """(uid, n_links, component) of vectors of one length."""
+    alpha = math.acos(threshold)
+    balls, members, free = _balls(usable, n, dim, alpha / 2 - 1e-6)
+    radius = (members.join(balls.select("ball", "centre").hint("merge"), "ball")
+              .withColumn("angle", _angle(_cosine(F.col("vec"), F.col("centre")))).groupBy("ball")
+              .agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size")))
+    nodes = (balls.select("ball", "centre").join(radius.hint("merge"), "ball")
+             .select(F.col("ball").alias("node"), F.col("centre").alias("vec"), "radius", "size")
+             .union(free.select(F.col("uid").alias("node"), "vec", F.lit(0.0).alias("radius"), F.lit(1).cast("long").alias("size"))))
+    nodes = materialise(nodes, "nn-nodes")
+    n_nodes, widest = nodes.agg(F.count(F.lit(1)), F.max("radius")).first()
+    floor = math.cos(min(math.pi, alpha + 2 * (widest or 0.0) + 2 * MARGIN))
+    home = members.select("uid", F.col("ball").alias("node")).union(free.select("uid", F.col("uid").alias("node")))
+    home = materialise(home.join(nodes.select("node", "size").hint("merge"), "node"), "nn-home")
+    lists = None
+    for attempt in range(MAX_SEARCHES):
+        edges = _block_search(nodes, n_nodes, dim, attempt + 1, floor, threshold).withColumn("fresh", F.lit(True))
+        if lists is not None:
+            edges = edges.union(lists.withColumn("fresh", F.lit(False)))
+        lists = _descend(edges, nodes, attempt + 1, floor)
+        links, node_gain, member_gain = _links(lists, nodes, members, threshold)
+        counts = (home.join(node_gain.withColumnRenamed("gain", "more").hint("merge"), "node", "left")
+                  .join(member_gain.hint("merge"), "uid", "left")
+                  .select("uid", "node", (F.col("size") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("gain", F.lit(0)))
+                          .cast("long").alias("n_links")))
+        counts = materialise(counts, "nn-counts")
+        recall = audit(usable, counts, threshold)
+        if recall >= TARGET_RECALL:
+            break
+    else:
+        raise RuntimeError(f"recall is {recall:.4f} after {MAX_SEARCHES} searches, below {TARGET_RECALL}")
+    found = connected_components(links, "u", "v", "nn-components")
+    return counts.join(found.hint("merge"), "node", "left").select(
+        "uid", "n_links", F.coalesce("component", "node").alias("component"))
+
+
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
                  vec_col: str = "embedding") -> DataFrame:
     """One row per vector: id, n_links, component_id, kept."""
-    rows, usable, dim = valid_vectors(vectors, id_col, vec_col)
-    alpha = math.acos(threshold)
-    usable = materialise(usable, "vectors-usable")
-    n = usable.count()
-    spark = vectors.sparkSession
-    if dim:
-        balls, members, free = _balls(usable, n, dim, alpha / 2 - 1e-6)
-        radius = (members.join(balls.select("ball", "centre").hint("merge"), "ball")
-                  .withColumn("angle", _angle(_cosine(F.col("vec"), F.col("centre")))).groupBy("ball")
-                  .agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size")))
-        nodes = (balls.select("ball", "centre").join(radius.hint("merge"), "ball")
-                 .select(F.col("ball").alias("node"), F.col("centre").alias("vec"), "radius", "size")
-                 .union(free.select(F.col("uid").alias("node"), "vec", F.lit(0.0).alias("radius"), F.lit(1).cast("long").alias("size"))))
-        nodes = materialise(nodes, "nn-nodes")
-        n_nodes, widest = nodes.agg(F.count(F.lit(1)), F.max("radius")).first()
-        floor = math.cos(min(math.pi, alpha + 2 * (widest or 0.0) + 2 * MARGIN))
-        home = members.select("uid", F.col("ball").alias("node")).union(free.select("uid", F.col("uid").alias("node")))
-        home = materialise(home.join(nodes.select("node", "size").hint("merge"), "node"), "nn-home")
-        lists = None
-        for attempt in range(MAX_SEARCHES):
-            edges = _block_search(nodes, n_nodes, dim, attempt + 1, floor, threshold).withColumn("fresh", F.lit(True))
-            if lists is not None:
-                edges = edges.union(lists.withColumn("fresh", F.lit(False)))
-            lists = _descend(edges, nodes, attempt + 1, floor)
-            links, node_gain, member_gain = _links(lists, nodes, members, threshold)
-            counts = (home.join(node_gain.withColumnRenamed("gain", "more").hint("merge"), "node", "left")
-                      .join(member_gain.hint("merge"), "uid", "left")
-                      .select("uid", "node", (F.col("size") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("gain", F.lit(0)))
-                              .cast("long").alias("n_links")))
-            counts = materialise(counts, "nn-counts")
-            recall = audit(usable, counts, threshold)
-            if recall >= TARGET_RECALL:
-                break
-        else:
-            raise RuntimeError(f"recall is {recall:.4f} after {MAX_SEARCHES} searches, below {TARGET_RECALL}")
-        found = connected_components(links, "u", "v", "nn-components")
-        placed = counts.join(found.hint("merge"), "node", "left").select(
-            "uid", "n_links", F.coalesce("component", "node").alias("component"))
-    else:
-        placed = spark.createDataFrame([], "uid long, n_links long, component long")
+    rows, usable, lengths = valid_vectors(vectors, id_col, vec_col)
+    placed = vectors.sparkSession.createDataFrame([], "uid long, n_links long, component long")
+    for dim, n in lengths:
+        same = materialise(usable.where(F.size("vec") == dim), "vectors-usable")
+        placed = placed.union(_search(same, n, dim, threshold))
     # A vector that links with nothing is a component of its own.
     placed = rows.join(placed.hint("merge"), "uid", "left")
     placed = placed.withColumn("component", F.when(F.coalesce("n_links", F.lit(0)) > 0, F.col("component")))

@@ -133,6 +133,14 @@ def test_all_neighbours_of_a_hub_and_of_a_code_meet(spark, monkeypatch):
     assert want <= got
 
 
+def test_every_length_is_searched(spark):
+    rows = [(k, [1.0, 0.01 * k, 0.0]) for k in range(4)] + [(9, [1.0, 0.0]), (8, [2.0, 0.0]), (7, [0.0, 1.0]), (6, [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: tuple(r)[1:] for r in nn.near_vectors(frame).collect()}
+    assert got == {0: (3, 0, True), 1: (3, 0, False), 2: (3, 0, False), 3: (3, 0, False),
+                   8: (1, 8, True), 9: (1, 8, False), 7: (0, 7, True), 6: (0, 6, True)}
+
+
 def test_query_matches_sql(spark):
     name = "op2_nn_descent"
     ok, msg = compare(spark, duck(SF_MID), name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], SF_MID)
