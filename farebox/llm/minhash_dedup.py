@@ -254,6 +254,8 @@ def _rare_shingles(ids: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFram
     """((id, core): how many shingles of each document more than RARE of the
     documents have; pairs (x, y) of documents that share a rarer one)."""
     found = sets.join(ids.hint("merge"), "id", "left_semi").withColumn("row", F.xxhash64("id", "items"))
+    # A repeated row (same id, same set) counts once, in its own rare shingles and in how many documents have one.
+    found = found.dropDuplicates(["id", "row"])
     found = materialise(found, "minhash-open-sets")
     items = found.select("row", "id", F.explode("items").alias("item"))
     rare = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= RARE)

@@ -110,6 +110,18 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_overlap_bound_of_repeated_rows(spark):
+    common = list(range(90))
+    rows = [(1, common + list(range(100, 110)))] * 2 + [(2, common + list(range(200, 210)))]
+    rows += [(k, common + list(range(1000 * k, 1000 * k + 60))) for k in range(3, 3 + md.RARE)]
+    rows += [(k, [-1]) for k in range(30, 30 + md.RARE - 1)] + [(30 + md.RARE - 1, [-1])] * 3  # RARE documents, not more
+    sets = spark.createDataFrame(rows, "id long, items array<long>")
+    cores, sharing = md._rare_shingles(sets.select("id").distinct(), sets)
+    got = {r.id: r.core for r in cores.collect()}
+    assert [got[k] for k in range(1, 3 + md.RARE)] == [90] * (2 + md.RARE)
+    assert (30, 31) in {tuple(r) for r in sharing.collect()}
+
+
 def test_query_matches_sql(spark):
     from farebox.llm import queries
     from tests.conftest import SF_SMALL
