@@ -1,9 +1,10 @@
 """Licence scan by sentence rules, in DataFrame functions alone.
 
-A text is cut into fragments at sentence ends and line ends.  Runs of up to
-``MAX_RUN`` fragments (a sentence may be wrapped over lines) are normalised to
-lower-case ASCII words and looked up among the known licence sentences; at
-each fragment the longest known run counts.  The identifiers found, in order,
+A text is cut into fragments at sentence ends and line ends.  Runs of
+fragments (a sentence may be wrapped over lines, down to a word a line) are
+normalised to lower-case ASCII words and looked up among the known licence
+sentences; at each fragment the longest known run counts.  A run has at most
+as many fragments as the longest known sentence with its first word has words.  The identifiers found, in order,
 are matched against the licence rules, each an ordered list of sentence
 identifiers that must follow one another (other text between them is no
 obstacle).  Of the rules that match a text, those that are part of a longer
@@ -24,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RUN = 8
+MAX_RUN = 8  # fragments of a run in the SQL twin only
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 FRAGMENT_END = r"[.!?;:]+(?:[ \t\r\n\f]+|$)|\n+"
@@ -97,7 +98,7 @@ def normalised(sentence: str) -> str:
 
 
 KNOWN = {normalised(s): i for i, s in SENTENCES.items()}
-FIRST_WORDS = sorted({s.split()[0] for s in KNOWN})
+MOST_WORDS = {w: max(len(s.split()) for s in KNOWN if s.split()[0] == w) for w in sorted({s.split()[0] for s in KNOWN})}
 PATTERNS = {r: " " + " ".join(map(str, ids)) + " " for r, (_, ids) in RULES.items()}
 
 
@@ -110,13 +111,13 @@ def _fragments(text: Column) -> Column:
 def _sentence_ids(fragments: Column) -> Column:
     """Identifiers of the known sentences in order."""
     known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    first = F.array(*map(F.lit, FIRST_WORDS))
+    most = F.create_map(*[F.lit(x) for pair in MOST_WORDS.items() for x in pair])
 
     def longest_at(start: Column) -> Column:
-        runs = F.sequence(F.lit(1), F.least(F.lit(MAX_RUN), F.size(fragments) - start + 1))
+        words = F.try_element_at(most, F.substring_index(F.get(fragments, start - 1), " ", 1))
+        runs = F.sequence(F.lit(1), F.least(words, F.size(fragments) - start + 1))
         ids = F.transform(runs, lambda n: F.try_element_at(known, F.array_join(F.slice(fragments, start, n), " ")))
-        is_first = F.array_contains(first, F.substring_index(F.get(fragments, start - 1), " ", 1))
-        return F.when(is_first, F.try_element_at(F.filter(ids, lambda x: x.isNotNull()), F.lit(-1)))
+        return F.when(words.isNotNull(), F.try_element_at(F.filter(ids, lambda x: x.isNotNull()), F.lit(-1)))
 
     return F.filter(F.transform(F.sequence(F.lit(1), F.size(fragments)), longest_at), lambda x: x.isNotNull())
 

@@ -56,6 +56,11 @@ def test_matches_brute_force(spark):
     assert got[6][2:] == ("5", "mit") and got[8][3] == "all-rights-reserved mit"
 
 
+def test_sentences_wrapped_to_narrow_lines(spark):
+    got = scan(spark, [(w, wrapped(MIT, w)) for w in (57, 30, 12, 1)])
+    assert set(got.values()) == {(3, "3 4 5", "5", "mit")}
+
+
 def test_null_and_repeated_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "All rights reserved", "", ""), (1, "x", "", ""), (1, "x", "", "")], SCHEMA)
     assert sorted((r.doc_id or 0, r.licenses) for r in ls.scan(docs).collect()) == [(0, "all-rights-reserved"), (1, ""), (1, "")]
