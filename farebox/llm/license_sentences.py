@@ -76,6 +76,8 @@ SENTENCES = {
     29: "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies",
     30: "This is free and unencumbered software released into the public domain",
+    31: "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
 }
 
 # Rules by identifier, (licence, sentences in order).
@@ -89,6 +91,7 @@ RULES = {
     22: ("cc-by-sa-4.0", (20,)), 23: ("cc-by-sa-4.0", (23,)), 24: ("all-rights-reserved", (24,)),
     25: ("bsd", (25, 26)), 26: ("bsd-2-clause", (25, 26, 27)), 27: ("bsd-2-clause", (24, 25, 26, 27)),
     28: ("mpl-2.0", (28,)), 29: ("isc", (29,)), 30: ("unlicense", (30,)),
+    31: ("bsd-3-clause", (25, 26, 27, 31)), 32: ("bsd-3-clause", (24, 25, 26, 27, 31)),
 }
 
 

@@ -61,6 +61,13 @@ def test_sentences_wrapped_to_narrow_lines(spark):
     assert set(got.values()) == {(3, "3 4 5", "5", "mit")}
 
 
+def test_third_clause_makes_bsd_3_clause(spark):
+    two = ". ".join(ls.SENTENCES[k] for k in (25, 26, 27)) + "."
+    three = f"{two} {ls.SENTENCES[31]}."
+    got = scan(spark, [(0, two), (1, three), (2, "All rights reserved. " + three)])
+    assert {k: v[3] for k, v in got.items()} == {0: "bsd-2-clause", 1: "bsd-3-clause", 2: "bsd-3-clause"}
+
+
 def test_null_and_repeated_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "All rights reserved", "", ""), (1, "x", "", ""), (1, "x", "", "")], SCHEMA)
     assert sorted((r.doc_id or 0, r.licenses) for r in ls.scan(docs).collect()) == [(0, "all-rights-reserved"), (1, ""), (1, "")]
