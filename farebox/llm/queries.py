@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
-                         license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, warc)
+                         license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, text_tries, warc)
 from farebox.llm.common import fold, read_table
 from farebox.session import scratch_path
 
@@ -118,6 +118,14 @@ def op10_overlap_token_counts(spark, sf_dir):
     return overlap_token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@register("op12_text_tries")
+def op12_text_tries(spark, sf_dir):
+    return text_tries.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+LLM_ORACLE["op12_text_tries"] = text_tries.oracle_sql()
+
+
 LLM_ORACLE["op6_warc"] = """
 WITH base AS (
     SELECT page_id, coalesce(html, '') AS payload FROM pages
