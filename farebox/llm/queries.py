@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
-                         license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, text_tries, warc)
+                         license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, rmq_search, text_tries, url_association, warc)
 from farebox.llm.common import fold, read_table
 from farebox.session import scratch_path
 
@@ -118,6 +118,15 @@ def op10_overlap_token_counts(spark, sf_dir):
     return overlap_token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@register("op11_rmq_search")
+def op11_rmq_search(spark, sf_dir):
+    index = rmq_search.build_index(read_table(spark, sf_dir, "documents"))
+    return rmq_search.search(index, read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+LLM_ORACLE["op11_rmq_search"] = rmq_search.oracle_sql(k=10)
+
+
 @register("op12_text_tries")
 def op12_text_tries(spark, sf_dir):
     return text_tries.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -126,6 +135,19 @@ def op12_text_tries(spark, sf_dir):
 LLM_ORACLE["op12_text_tries"] = text_tries.oracle_sql()
 
 
+# The rules that the verdicts of pages start from.
+PAGE_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+              ("block", "com/de/")]
+
+
+@register("op13_url_association")
+def op13_url_association(spark, sf_dir):
+    return url_association.judge_urls(read_table(spark, sf_dir, "pages"), PAGE_RULES)
+
+
+LLM_ORACLE["op13_url_association"] = url_association.oracle_sql(PAGE_RULES)
+
+
 LLM_ORACLE["op6_warc"] = """
 WITH base AS (
     SELECT page_id, coalesce(html, '') AS payload FROM pages

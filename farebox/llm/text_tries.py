@@ -168,10 +168,12 @@ def _range_starts(local: DataFrame) -> list[bytes]:
     step = RANGE_BYTES // MARK_BYTES
 
     def every_kth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = 0
+        seen = None
         for batch in batches:
+            if seen is None and batch.num_rows:  # else a sort in many small parts would have no k-th mark
+                seen = zlib.crc32(batch.column("mark")[0].as_py()) % step
             picked = [i for i in range(batch.num_rows) if (seen + i + 1) % step == 0]
-            seen += batch.num_rows
+            seen = (seen or 0) + batch.num_rows
             yield batch.take(pa.array(picked, pa.int64()))
 
     marks = local.where("mark IS NOT NULL").select("mark")
