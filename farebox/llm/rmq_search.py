@@ -110,13 +110,14 @@ class Index:
     n_terms: int
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shard_postings: int = SHARD_POSTINGS) -> Index:
     """Index every document of ``docs``."""
     plain = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     forward = materialise(plain.mapInArrow(_count_terms, FORWARD_SCHEMA), "terms")
     n_documents, n_terms, postings = forward.agg(
         F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
-    shards = max(1, math.ceil(postings / SHARD_POSTINGS))
+    shards = max(1, math.ceil(postings / shard_postings))
     # The slot, a row's number in its task, spreads rows that repeat an id.
     dealt = forward.withColumn("shard", F.pmod(F.xxhash64("doc_id", "slot"), F.lit(shards)))
     return Index(materialise(dealt.groupBy("shard").applyInArrow(_invert, INDEX_SCHEMA), "postings"), n_documents, n_terms)
@@ -238,17 +239,18 @@ def _searcher(items: list[tuple[str, Counter]], weight: dict[bytes, int], n_docu
     return search_shard
 
 
-def search(index: Index, items: DataFrame, k: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def search(index: Index, items: DataFrame, k: int = 10, id_col: str = "item_id", text_col: str = "text",
+           block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
     """The ``k`` best documents of every item: (id, rank, doc_id, score)."""
     spark = items.sparkSession
     named = items.select(F.col(id_col), F.sha2(F.col(text_col), 256).alias("item"), F.col(text_col).alias("text"))
     texts = named.where("text IS NOT NULL").select("item", "text").dropDuplicates(["item"])
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / ITEM_BLOCK_BYTES))
+    blocks = max(1, math.ceil(size / block_bytes))
     documents = index.lists.where("term IS NULL")
     found = spark.createDataFrame([], "item string, doc_id long, score long")
     for block in range(blocks if index.n_terms else 0):
-        # One block of items, bounded by ITEM_BLOCK_BYTES, reaches the driver and the tasks.
+        # One block of items, bounded by ``block_bytes``, reaches the driver and the tasks.
         own = texts.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).select("item", F.col("text").cast("binary")).collect()
         counted = [(row["item"], Counter(terms_of(bytes(row["text"])))) for row in own]
         terms = spark.createDataFrame([(t,) for t in set().union(*(c for _, c in counted))], "term binary")

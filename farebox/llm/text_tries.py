@@ -30,6 +30,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import partial
 from hashlib import sha256
 from itertools import permutations
 
@@ -127,27 +128,27 @@ class RadixTrie:
             stack.extend((node.children[first], depth) for first in sorted(node.children, reverse=True))
 
 
-def _local_rows(ids: list, parts: list, texts: list[bytes]) -> pa.RecordBatch:
+def _local_rows(ids: list, parts: list, texts: list[bytes], mark_bytes: int) -> pa.RecordBatch:
     """The rows of one local trie: each distinct text once, with its smallest id here; marks where ranges may begin."""
     trie = RadixTrie()
     firsts = [trie.insert(text, row, doc_id) for row, (doc_id, text) in enumerate(zip(ids, texts))]
     digests, masks = {}, {}
     kept_text, min_ids, marks = ([None] * len(texts) for _ in range(3))
-    held = zlib.crc32(texts[0]) % MARK_BYTES
+    held = zlib.crc32(texts[0]) % mark_bytes
     for row, min_id, shared in trie.terminals():
         text = texts[row]
         digests[row], masks[row] = sha256(text).digest(), text_mask(text)
         kept_text[row], min_ids[row] = text, min_id
         held += len(text) + 1
-        if held >= MARK_BYTES:
-            held, marks[row] = held % MARK_BYTES, text[: shared + 1]
+        if held >= mark_bytes:
+            held, marks[row] = held % mark_bytes, text[: shared + 1]
     columns = (ids, parts, [masks[r] for r in firsts], [digests[r] for r in firsts], kept_text, min_ids, marks)
     kinds = (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary())
     names = [field.split()[0] for field in LOCAL_SCHEMA.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _local_tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _local_tries(batches: Iterator[pa.RecordBatch], trie_bytes: int, mark_bytes: int) -> Iterator[pa.RecordBatch]:
     ids, parts, texts, held = [], [], [], 0
     for batch in batches:
         rows = zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(), utf8_values(batch.column("text")))
@@ -156,16 +157,15 @@ def _local_tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts.append(part)
             texts.append(text)
             held += len(text)
-            if held >= TRIE_BYTES:
-                yield _local_rows(ids, parts, texts)
+            if held >= trie_bytes:
+                yield _local_rows(ids, parts, texts, mark_bytes)
                 ids, parts, texts, held = [], [], [], 0
     if texts:
-        yield _local_rows(ids, parts, texts)
+        yield _local_rows(ids, parts, texts, mark_bytes)
 
 
-def _range_starts(local: DataFrame) -> list[bytes]:
-    """The prefixes at which ranges begin: every k-th mark, taken where Spark has sorted them; one a range reaches the driver."""
-    step = RANGE_BYTES // MARK_BYTES
+def _range_starts(local: DataFrame, step: int) -> list[bytes]:
+    """The prefixes at which ranges begin: every ``step``-th mark, taken where Spark has sorted them; one a range reaches the driver."""
 
     def every_kth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = None
@@ -192,9 +192,9 @@ def _range_trie(table: pa.Table) -> pa.Table:
                      "digest": table.column("digest").take(pa.array([row for row, _, _ in found], pa.int64()))})
 
 
-def smallest_ids(local: DataFrame) -> DataFrame:
+def smallest_ids(local: DataFrame, marks_per_range: int = RANGE_BYTES // MARK_BYTES) -> DataFrame:
     """(min_id, digest) of every distinct text, from the rows of the local tries."""
-    starts = _range_starts(local)
+    starts = _range_starts(local, marks_per_range)
 
     @F.arrow_udf("int")
     def range_of(texts: pa.Array) -> pa.Array:
@@ -204,13 +204,15 @@ def smallest_ids(local: DataFrame) -> DataFrame:
     return texts.groupBy("range").applyInArrow(_range_trie, "min_id long, digest binary")
 
 
-def failure_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
+def failure_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",
+                  trie_bytes: int = TRIE_BYTES, mark_bytes: int = MARK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(doc_id, part, mask, n): rows counted by id, part and the bits of all filters they fail."""
     plain = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"),
                                  F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                                  F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    local = materialise(plain.mapInArrow(_local_tries, LOCAL_SCHEMA), "tries")
-    first = smallest_ids(local).select(F.col("min_id").alias("doc_id"), "digest", F.lit(0).alias("late"))
+    tries = partial(_local_tries, trie_bytes=trie_bytes, mark_bytes=mark_bytes)
+    local = materialise(plain.mapInArrow(tries, LOCAL_SCHEMA), "tries")
+    first = smallest_ids(local, max(1, range_bytes // mark_bytes)).select(F.col("min_id").alias("doc_id"), "digest", F.lit(0).alias("late"))
     # Counted before the join: a repeated row would be a hot key, and so would null ids, which need no join.
     rows = local.where("doc_id IS NOT NULL").groupBy("doc_id", "part", "mask", "digest").agg(F.count("*").alias("n"))
     found = rows.join(first.hint("merge"), ["doc_id", "digest"], "left").select(

@@ -1,0 +1,117 @@
+import random
+import re
+from itertools import permutations
+
+import pytest
+from pyspark.sql import types as T
+
+from farebox.llm import text_tries as tt
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("source", T.StringType()), T.StructField("mask", T.StringType()),
+                     T.StructField("n", T.LongType())])
+LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()),
+                       T.StructField("toxic", T.IntegerType()), T.StructField("n", T.StringType())])
+
+
+def failing(text, doc_id, docs):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    found = ""
+    found += "A" * (len(words) < 50)
+    found += "B" * (100 * len(set(words)) < 65 * len(words))
+    found += "C" * (100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text))
+    found += "D" * bool(re.search(r"[#$%&*|]", text))
+    found += "E" * any(t == text and i is not None and doc_id is not None and i < doc_id for i, t, _ in docs)
+    return found
+
+
+def brute(rows, labels):
+    docs = [(r[0], r[1] or "", r[2] or "") for r in rows]
+    known = [(p, failing(t, i, docs), any(x[0] == i and x[1] == 1 for x in labels if i is not None),
+              any(x[0] == i and x[2] == 1 for x in labels if i is not None)) for i, t, p in docs]
+    out = {}
+    for part in {d[2] for d in docs}:
+        own = [k for k in known if k[0] == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = own
+            for step, f in enumerate(order):
+                gone, left = [k for k in left if f in k[1]], [k for k in left if f not in k[1]]
+                shapley[f] += len(gone)
+                out[part, "".join(order), step + 1] = (
+                    len(left), len(gone), sum(f in k[1] for k in own) - len(gone), sum(k[1] == f for k in own),
+                    sum(k[2] for k in gone), sum(k[3] for k in gone))
+        for key in [k for k in out if k[0] == part]:
+            out[key] += (shapley[key[1][key[2] - 1]],)
+    return out
+
+
+def got(df):
+    assert df.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost",
+                          "toxic_lost", "shapley"]
+    return {tuple(r[:3]): tuple(r[3:]) for r in df.collect()}
+
+
+def corpus():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(1, 6)))
+    long_text = " ".join(word() for _ in range(300))
+    family = [long_text + f" end {i}" for i in range(12)]  # differ after the same 1,200 characters
+    texts = ([" ".join(word() for _ in range(rng.choice([3, 60]))) for _ in range(40)] + family * 2 + [None, "", None, " \n"]
+             + ["A B " * 40, "x # y", "same text"] * 5 + ["\u00e9\U0001F600 " * 60, "z" * 300_000, "a", "ab", "abc", "ab"])
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    rows = [(i, t, rng.choice(["web", "web", None, "", "Books"]), "clash", 7) for i, t in zip(ids, texts)]
+    rows += [(None, "same text", "web", "", 0), (None, "only here", "web", "", 0), rows[0], rows[0], (rows[1][0], "same text", "web", None, 0)]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None]), "x") for i in ids if i % 2] + [(3, 1, 0, ""), (None, 1, 1, "")]
+    return rows, labels
+
+
+@pytest.mark.parametrize("sizes", [{}, {"trie_bytes": 2000, "mark_bytes": 300, "range_bytes": 900}])
+def test_audit_matches_brute_force(spark, monkeypatch, sizes):
+    rows, labels = corpus()
+    masks = tt.failure_masks
+    monkeypatch.setattr(tt, "failure_masks", lambda *a: masks(*a, **sizes))
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    assert got(tt.audit(docs, spark.createDataFrame(labels, LABELS))) == brute([r[:3] for r in rows], labels)
+
+
+def test_empty_tables(spark):
+    labels = spark.createDataFrame([], LABELS)
+    assert tt.audit(spark.createDataFrame([], DOCS), labels).count() == 0
+    out = got(tt.audit(spark.createDataFrame([(1, "a", None, "", 0)], DOCS), labels))
+    assert len(out) == 600 and out["", "ABCDE", 1] == (0, 1, 0, 1, 0, 0, 120)
+
+
+def test_ranges_split_families_and_cover_all_texts(spark):
+    rows, _ = corpus()
+    plain = spark.createDataFrame(rows, DOCS).selectExpr("doc_id", "coalesce(source, '') AS part", "coalesce(text, '') AS text")
+    from functools import partial
+    local = tt.materialise(plain.coalesce(1).mapInArrow(partial(tt._local_tries, trie_bytes=1 << 30, mark_bytes=3000),
+                                                        tt.LOCAL_SCHEMA), "t")
+    starts = tt._range_starts(local, 1)
+    assert len(starts) > 5 and any(len(s) > 1000 for s in starts) and any(len(s) < 10 for s in starts)
+    first = {}
+    for i, t, *_ in rows:
+        if i is not None:
+            first[(t or "").encode()] = min(i, first.get((t or "").encode(), i))
+    assert sorted(r.min_id for r in tt.smallest_ids(local, 1).collect()) == sorted(first.values())
+
+
+def test_trie_against_a_dictionary():
+    rng = random.Random(9)
+    for n in (1, 2, 10, 300):
+        texts = [bytes(rng.choices(b"ab\xff", k=rng.choice([0, 1, 3, 6, 60]))) for _ in range(n)]
+        texts += [texts[0] + b"tail", texts[-1] * 2]
+        ids = [rng.choice([None, *range(20)]) for _ in texts]
+        trie, rows, small = tt.RadixTrie(), {}, {}
+        for row, (text, i) in enumerate(zip(texts, ids)):
+            assert trie.insert(text, row, i) == rows.setdefault(text, row)
+            if i is not None:
+                small[text] = min(i, small.get(text, i))
+        found = list(trie.terminals())
+        assert [texts[r] for r, _, _ in found] == sorted(rows)
+        assert all(small.get(texts[r]) == i for r, i, _ in found)
+        for (a, _, _), (b, _, shared) in zip(found, found[1:]):
+            x, y = texts[a], texts[b]
+            assert x[:shared] == y[:shared] and x < y[: shared + 1] <= y
