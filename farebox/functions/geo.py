@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import pi
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,6 +46,12 @@ def haversine_km_asin(lat1, lon1, lat2, lon2, clamp: bool = True) -> Column:
     return F.lit(EARTH_RADIUS_KM * 2) * F.asin(F.sqrt(a))
 
 
+def km_at_most(lat1, lon1, lat2, lon2) -> Column:
+    """No less than the distance, and cheap: first along the meridian, then along the parallel."""
+    degrees = F.abs(_col(lat2) - _col(lat1)) + F.abs(_col(lon2) - _col(lon1))
+    return degrees * F.lit(EARTH_RADIUS_KM * pi / 180 * (1 + 1e-9)) + F.lit(1e-6)  # above any rounding
+
+
 def nonzero_points(*coords: str | Column) -> Column:
     """True when every coordinate is non-zero; a null coordinate makes it null (row drops)."""
     return reduce(lambda acc, c: acc & c, [_col(c) != 0 for c in coords])

@@ -31,19 +31,25 @@ def to_double(text: Column) -> Column:
     return F.when(text.rlike(_DOUBLE_TEXT), text.try_cast("double"))
 
 
-# ``yyyy-MM-dd HH:mm:ss`` with two-digit fields and seconds below 60.
-_WALL_CLOCK_TEXT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:[0-5]\d$"
+# Four-digit year from 0001; month, day, hour, minute and second of one or two
+# digits, seconds below 60.  Between date and time stands white space, and a
+# one-digit day may have a blank before it.
+_WALL_CLOCK_TEXT = r"^(?!0000)\d{4}-\d{1,2}-(\d{1,2}| [1-9])[\s\x1c-\x1f]+\d{1,2}:\d{1,2}:[0-5]?\d\z"
+_PLAIN_GAP = r"^\S+ \S+$"
 
 
 def to_wall_clock(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` as a zone-free TIMESTAMP_NTZ, or null.
 
-    No time zone is involved, so hour() is the written hour and differences
-    are wall-clock differences in every session zone (no DST shifts); an
-    impossible date such as Feb 30 gives null.
+    One-digit fields are taken as well (``2015-1-5 7:05:09``), as ``strptime``
+    takes them, in ASCII digits.  No time zone is involved, so hour() is the
+    written hour and differences are wall-clock differences in every session
+    zone (no DST shifts); an impossible date such as Feb 30 gives null.
     """
     # The pattern pins the layout; the cast then only rejects impossible dates.
-    return F.when(text.rlike(_WALL_CLOCK_TEXT), text.try_cast("timestamp_ntz"))
+    gap = F.regexp_replace(F.regexp_replace(text, "- ", "-"), r"[\s\x1c-\x1f]+", " ")
+    plain = F.when(text.rlike(_PLAIN_GAP), text).otherwise(gap)
+    return F.when(text.rlike(_WALL_CLOCK_TEXT), plain.try_cast("timestamp_ntz"))
 
 
 PARSERS = {"int": to_int, "double": to_double, "timestamp": to_wall_clock}

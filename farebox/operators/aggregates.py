@@ -4,9 +4,16 @@ key costs one partial row per task, not a third of the table in one task."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Digits after the point that an exact sum keeps of each amount, and the bits
+# of its lower half: 2^43 rows of a group fit before a half could overflow.
+EXACT_DIGITS = 4
+LOW_BITS = 20
+
 
 def _keys(keys) -> list:
     return list(keys) if isinstance(keys, (list, tuple)) else [keys]
@@ -22,6 +29,46 @@ def sum_by(df: DataFrame, keys, columns: list[tuple[str, str]]) -> DataFrame:
     return df.groupBy(*_keys(keys)).agg(*[F.sum(c).alias(a) for c, a in columns])
 
 
+def exact_parts(columns: list[tuple[str, str]], digits: int = EXACT_DIGITS) -> list[Column]:
+    """Aggregates whose merge, in any order, is an exact sum of each (column, alias).
+
+    A sum of doubles depends on the order of its rows, so on the partitioning.
+    Here each amount is a whole number of units of 10^-``digits`` (rounded half
+    to even), split into two integers that are summed apart: integer sums of
+    whole-stage code, no decimal object a row.  Amounts of 2^53 units or more,
+    infinities and NaN are summed as doubles.
+    """
+    out = []
+    for column, alias in columns:
+        scaled = F.rint(F.col(column) * F.lit(float(10**digits)))
+        whole = F.abs(scaled) < F.lit(float(1 << 53))
+        units = F.when(whole, scaled.cast("long"))
+        out += [F.sum(F.shiftright(units, LOW_BITS)).alias(f"{alias}_high"),
+                F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("long"))).alias(f"{alias}_low"),
+                F.sum(F.when(~whole, F.col(column))).alias(f"{alias}_rest")]
+    return out
+
+
+def merged_parts(names: list[str]) -> list[Column]:
+    """The parts of ``exact_parts`` of several groups as those of their union."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for name in names for part in ("high", "low", "rest")]
+
+
+def exact_total(name: str, digits: int = EXACT_DIGITS) -> Column:
+    """The sum of one alias of ``exact_parts`` as double: the exact total, rounded once."""
+    high, low, rest = (F.col(f"{name}_{part}") for part in ("high", "low", "rest"))
+    units = high.cast("decimal(25,0)") * F.lit(Decimal(1 << LOW_BITS)) + low.cast("decimal(20,0)")
+    total = (units * F.lit(Decimal(1).scaleb(-digits))).cast("double")
+    return F.when(high.isNull(), rest).when(rest.isNull(), total).otherwise(total + rest).alias(name)
+
+
+def exact_sum_by(df: DataFrame, keys, columns: list[tuple[str, str]], digits: int = EXACT_DIGITS) -> DataFrame:
+    """Like ``sum_by``, bit-equal under every partitioning (see ``exact_parts``)."""
+    ks = _keys(keys)
+    parts = df.groupBy(*ks).agg(*exact_parts(columns, digits))
+    return parts.select(*ks, *[exact_total(alias, digits) for _, alias in columns])
+
+
 def avg_by(df: DataFrame, keys, columns: list[tuple[str, str]]) -> DataFrame:
     return df.groupBy(*_keys(keys)).agg(*[F.avg(c).alias(a) for c, a in columns])
 

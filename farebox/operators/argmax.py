@@ -1,12 +1,23 @@
 """Row with the largest value per key.
 
 * ``argmax_first`` -- one row per key, ties on the value broken by the largest
-  ``tie``: per-key maxima by hash aggregate, the rows that reach them by a join
-  that leaves the input in place, then the largest tie.  No sort.
-* ``argmax_ties`` -- every row that reaches the per-key maximum, by the same
-  join (or, ``method="rank"``, as ``rank() == 1``); null keys dropped.
+  ``tie``.  Two scans of the input, hash aggregates only, no sort, no join.
+* ``argmax_ties`` -- every row that reaches its key's maximum, by a join with
+  the maxima (or, ``method="rank"``, as ``rank() == 1``); null keys dropped.
 * ``argmax_window`` -- ``row_number() == 1`` over a fully tie-broken order: one
   scan, but every task sorts its input.  Kept as a variant.
+
+All forms are lazy: building one starts no job, and its result is that of the
+source at the time of the action.  The first two share one idea: the least of
+all per-key maxima is a single number, a scalar subquery that Spark runs
+before the second scan, and no row below it can be a maximum of any key.  What
+is left of the input is close to the result, so the aggregate or join behind
+it moves few rows, and AQE picks the join from their real size.  With many
+keys of very different maxima the number rules out less and the join stays a
+sort-merge join; the result is the same.
+
+``at_most`` may give an upper bound of ``value`` that is cheaper to compute:
+rows whose bound is below the number are dropped before the value is needed.
 """
 
 from __future__ import annotations
@@ -15,10 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Most per-key maxima that the driver reads; above it they stay on the cluster.
-DRIVER_ROWS = 10_000
-
-
 def _keys(keys) -> list:
     return list(keys) if isinstance(keys, (list, tuple)) else [keys]
 
@@ -29,67 +36,55 @@ def argmax_window(df: DataFrame, keys, order: list[Column], columns: list[str])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select(*columns)
 
 
-def argmax_first(df: DataFrame, keys, value: str, tie: str) -> DataFrame:
+def maxima(df: DataFrame, keys, value: str, name: str = "_max_value") -> DataFrame:
+    """(keys, largest value) of every key that has a value."""
+    return df.groupBy(*_keys(keys)).agg(F.max(value).alias(name)).where(F.col(name).isNotNull())
+
+
+def near_maximum(df: DataFrame, per_key: DataFrame, value: str, at_most: str | None = None,
+                 name: str = "_max_value") -> DataFrame:
+    """The rows of ``df`` not below the least of all per-key maxima: among them every row that reaches one."""
+    least = per_key.agg(F.min(name)).scalar()
+    if at_most is not None:
+        df = df.where(F.col(at_most) >= least)
+    return df.where(F.col(value) >= least)
+
+
+def argmax_first(df: DataFrame, keys, value: str, tie: str, at_most: str | None = None) -> DataFrame:
     """(keys, value, tie) of the row with the largest ``value`` of each key
     (null key included), the largest ``tie`` among equals; a key without any
     value has no row."""
     ks = _keys(keys)
-    rows = argmax_ties_join(df, ks, value, [*ks, value, tie], null_keys=True)
-    return rows.groupBy(*ks).agg(F.max(value).alias(value), F.max(tie).alias(tie))
+    near = near_maximum(df, maxima(df, ks, value), value, at_most)
+    # Equal values become one row in their tasks, so a third of all rows may tie.
+    best_ties = near.groupBy(*ks, value).agg(F.max(tie).alias(tie))
+    return best_ties.groupBy(*ks).agg(F.max(value).alias("_best"), F.max_by(tie, value).alias(tie)).select(
+        *ks, F.col("_best").alias(value), tie)
 
 
-def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str = "join") -> DataFrame:
+def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str = "join",
+                at_most: str | None = None) -> DataFrame:
     """All rows whose ``value`` equals the per-key maximum; null keys dropped.
 
-    ``method="join"`` joins back to the per-key maxima: two scans, but tied
-    rows stay where they are (see ``argmax_ties_join``).  ``method="rank"``
-    scans once, but sorts, and rows tied at a maximum meet in one task.
+    ``method="join"`` joins the rows near a maximum to the per-key maxima: two
+    scans.  ``method="rank"`` scans once, but sorts, and rows tied at a maximum
+    meet in one task.
     """
-    if method == "join":
-        return argmax_ties_join(df, keys, value, columns)
     ks = _keys(keys)
-    keyed = None
+    keyed = F.lit(True)
     for k in ks:
-        keyed = F.col(k).isNotNull() if keyed is None else keyed & F.col(k).isNotNull()
+        keyed = keyed & F.col(k).isNotNull()
+    keyed_rows = df.where(keyed)
+    if method == "join":
+        per_key = maxima(keyed_rows, ks, value)
+        # Grouped apart from the rows, so the columns of both sides stay distinct.
+        best = per_key.select(*[F.col(k).alias(f"_max_key_{i}") for i, k in enumerate(ks)], "_max_value")
+        reached = F.col(value) == F.col("_max_value")
+        for i, k in enumerate(ks):
+            reached = reached & (F.col(k) == F.col(f"_max_key_{i}"))
+        return near_maximum(keyed_rows, per_key, value, at_most).join(best, reached).select(*columns)
     # Nulls sort last, so a null value reaches rank 1 only when the key has no
     # value at all; that row is dropped after the window.
     w = Window.partitionBy(*ks).orderBy(F.col(value).desc_nulls_last())
-    ranked = df.where(keyed).withColumn("_rk", F.rank().over(w))
+    ranked = keyed_rows.withColumn("_rk", F.rank().over(w))
     return ranked.where((F.col("_rk") == 1) & F.col(value).isNotNull()).select(*columns)
-
-
-def argmax_ties_join(df: DataFrame, keys, value: str, columns: list[str], null_keys: bool = False) -> DataFrame:
-    """Join back to the per-key maxima, without moving the rows.
-
-    The maxima (one row per key, from a hash aggregate) are read by the driver
-    up to ``DRIVER_ROWS`` rows; when that is all of them they are a small
-    constant table that every task filters its own rows against: no shuffle of
-    the input and no task ever holds all rows tied at a maximum.  When there
-    are more keys, the maxima are materialised with a reliable checkpoint in
-    the session's shared folder, and broadcast only if their measured size
-    allows; above that bound it is a sort-merge join (AQE splits a hot key).
-    With ``null_keys`` a null key is a key like any other.
-    """
-    from farebox.operators.joins import lookup_join
-    from farebox.session import checkpoint_root
-
-    ks = _keys(keys)
-    renamed = {k: f"_max_key_{i}" for i, k in enumerate(ks)}
-    keyed = F.lit(True)
-    for k in ks if not null_keys else []:
-        keyed = keyed & F.col(k).isNotNull()
-    maxima = (df.where(keyed).groupBy(*ks).agg(F.max(value).alias("_max_value"))
-              .where(F.col("_max_value").isNotNull())
-              .select(*[F.col(k).alias(renamed[k]) for k in ks], "_max_value"))
-    spark = df.sparkSession
-    first = maxima.limit(DRIVER_ROWS + 1).toArrow()
-    small = first.num_rows <= DRIVER_ROWS
-    if small:
-        maxima = spark.createDataFrame(first, maxima.schema)
-    else:
-        checkpoint_root(spark)
-        maxima = maxima.checkpoint(eager=True)
-    cond = F.col(value) == F.col("_max_value")
-    for k in ks:
-        cond = cond & F.col(k).eqNullSafe(F.col(renamed[k]))
-    return lookup_join(df, maxima, cond, small=True if small else None).select(*columns)

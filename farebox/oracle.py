@@ -371,3 +371,23 @@ GROUP BY z.Borough ORDER BY Total_Revenue DESC NULLS LAST, Borough ASC NULLS FIR
 }
 
 ORACLE["join_argmax_back_rank"] = ORACLE["join_argmax_back"]
+
+LOC_ALL = with_fixtures("SELECT * FROM loc", "loc")
+ORACLE |= {
+    "src_csv_remembered": LOC_ALL,
+    "sink_parquet_balanced": LOC_ALL,
+    "src_merged_schemas": with_fixtures("""
+SELECT CAST(PULocationID AS BIGINT) AS PULocationID, CAST(DOLocationID AS DOUBLE) AS DOLocationID, fare_amount, tip_amount,
+       tolls_amount, extra, mta_tax, congestion_surcharge, airport_fee, total_amount,
+       CASE WHEN coalesce(PULocationID, 0) % 3 = 2 THEN 'x' END AS note
+FROM loc""", "loc"),
+    "src_text_drops": """
+SELECT CASE WHEN event_id % 7 = 0 THEN 'VendorID: no int' WHEN event_id % 11 = 0 THEN 'pickup: no timestamp'
+            WHEN event_id % 13 = 0 THEN 'latitude: missing' ELSE 'kept' END AS reason, count(*) AS lines
+FROM events GROUP BY 1""",
+    "agg_sum_exact": with_fixtures(
+        "SELECT PULocationID, " + ", ".join(f"CAST(sum(CAST({c} AS DECIMAL(18, 4))) AS DOUBLE) AS {a}" for c, a in MONEY)
+        + " FROM loc GROUP BY PULocationID", "loc"),
+    "q4_night_converted": Q4,
+    "q6_merged_months": Q6,
+}

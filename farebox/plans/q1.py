@@ -7,7 +7,7 @@ partial avg per task -> shuffle of at most 24 rows per task -> final avg ->
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farebox.functions.geo import nonzero_points
@@ -43,10 +43,10 @@ def hourly_avg_udf(trips: DataFrame) -> DataFrame:
     return avg_by(with_hour, "hour", MEANS).orderBy("hour")
 
 
-def hourly_avg_text(lines: DataFrame, header: str | None = None) -> DataFrame:
+def hourly_avg_text(lines: DataFrame, header: str | None = None, seen: Observation | None = None) -> DataFrame:
     """From raw lines: a line whose pickup time or pickup point does not parse
     is dropped (no null-hour group); means merged from (sum, sum, count)."""
-    parsed = parse_lines(strip_header(lines, header), TEXT_SPEC)
+    parsed = parse_lines(strip_header(lines, header), TEXT_SPEC, seen=seen)
     with_hour = _valid(parsed).select(hour_of("tpep_pickup_datetime").alias("hour"), *[c for c, _ in MEANS])
     return mean_from_sums(with_hour, "hour", MEANS).orderBy("hour")
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -25,7 +25,7 @@ from farebox.session import checkpoint_root, scratch_path
 from farebox.sinks import writers
 from farebox.sinks.etl import csv_to_parquet
 from farebox.sources import csv as csv_src
-from farebox.sources import rawfiles, tables, text
+from farebox.sources import rawfiles, read_csv_remembered, read_merged, tables, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,6 +154,49 @@ def view_sql(spark, sf):
         FROM {trips}""", trips=_geo(spark, sf))
 
 
+DAMAGED_SPEC = [(0, "VendorID", "int"), (1, "pickup", "timestamp"), (3, "latitude", "int")]
+
+
+@register("src_text_drops")
+def src_text_drops(spark, sf):
+    """Lines of events, some damaged: how many are kept, and why the others go, counted while they are parsed."""
+    eid = F.col("event_id")
+    vendor = F.when(eid % 7 == 0, "x").otherwise((eid % 3).cast("string"))
+    pickup = F.when(eid % 11 == 0, "2015-13-01 00:00:00").when(eid % 5 == 0, "2015-1-5 7:05:9").otherwise("2015-01-05 07:05:09")
+    whole = F.concat_ws(",", vendor, pickup, F.lit("N"), eid.cast("string"))
+    line = F.when(eid % 13 == 0, F.substring_index(whole, ",", 3)).otherwise(whole)
+    path = writers.write_text(tables.table(spark, sf, "events"), scratch_path(spark, "damaged"), line)
+    seen = Observation()
+    parsed = text.parse_lines(text.read_lines(spark, path), DAMAGED_SPEC, seen=seen)
+    writers.write_parquet(parsed, scratch_path(spark, "parsed"))  # the one pass that parses, counts and keeps
+    return spark.createDataFrame(text.line_counts(seen), "reason string, lines long")
+
+
+@register("src_csv_remembered")
+def src_csv_remembered(spark, sf):
+    """The second read takes the schema that the first one left beside the file."""
+    path = writers.write_csv(_loc(spark, sf), scratch_path(spark, "loc_csv"))
+    read_csv_remembered(spark, path)
+    return read_csv_remembered(spark, path)
+
+
+def _months(spark, sf) -> list[str]:
+    """The trips in three files that spell, type, order and have their columns differently."""
+    loc = _loc(spark, sf).withColumn("pick", F.coalesce("PULocationID", F.lit(0)) % 3)
+    first = loc.where("pick = 0").drop("pick")
+    second = loc.where("pick = 1").drop("pick").withColumnRenamed("airport_fee", "Airport_fee").withColumns(
+        {"PULocationID": F.col("PULocationID").cast("long"), "DOLocationID": F.col("DOLocationID").cast("double")})
+    third = loc.where("pick = 2").select(
+        *[F.col(c) for c in reversed(loc.columns) if c not in ("pick", "airport_fee")], F.col("airport_fee").alias("AIRPORT_FEE"),
+        F.lit("x").alias("note"))
+    return [writers.write_parquet(df, scratch_path(spark, f"month{i}")) for i, df in enumerate((first, second, third))]
+
+
+@register("src_merged_schemas")
+def src_merged_schemas(spark, sf):
+    return read_merged(spark, _months(spark, sf))
+
+
 # ---------------------------------------------------------------- sinks
 @register("sink_csv_single")
 def sink_csv_single(spark, sf):
@@ -198,6 +241,11 @@ def sink_text_fixed(spark, sf):
                                         to_double(F.get(parts, 2)).alias("duration_min"))
 
 
+@register("sink_parquet_balanced")
+def sink_parquet_balanced(spark, sf):
+    return spark.read.parquet(writers.write_parquet(_loc(spark, sf), scratch_path(spark, "loc_parquet"), balance=True))
+
+
 @register("etl_csv_to_parquet")
 def etl_csv_to_parquet(spark, sf):
     jobs = [(name, writer(spark, sf), scratch_path(spark, f"{name}_parquet"))
@@ -345,7 +393,7 @@ def join_theta_residual(spark, sf):
 @register("join_argmax_back")
 def join_argmax_back(spark, sf):
     return _r_q2(argmax.argmax_ties(q2.with_distance(_geo(spark, sf)), "VendorID", "haversine_km", q2.OUTPUT,
-                                    method="join"))
+                                    method="join", at_most="km_at_most"))
 
 
 @register("join_argmax_back_rank")
@@ -376,6 +424,12 @@ def agg_sum_multi(spark, sf):
     return _r_money(agg.sum_by(_loc(spark, sf), "PULocationID", MONEY_TOTALS))
 
 
+@register("agg_sum_exact")
+def agg_sum_exact(spark, sf):
+    """Not rounded: the exact sums equal those of decimals, bit by bit."""
+    return agg.exact_sum_by(_loc(spark, sf), "PULocationID", MONEY_TOTALS)
+
+
 @register("agg_max_by_key")
 def agg_max_by_key(spark, sf):
     return _r(agg.max_by_key(q2.with_distance(_geo(spark, sf)), "VendorID", "haversine_km", "max_km"), {"max_km": 6})
@@ -534,6 +588,14 @@ def q4_night_csv(spark, sf):
     return zq.night_trips_sql(spark, csv_src.read_csv_inferred(spark, rawfiles.write_geo_csv(spark, sf)))
 
 
+@register("q4_night_converted")
+def q4_night_converted(spark, sf):
+    """Q4 over a converted table that stores the pickup hour; the hour test reaches the scan."""
+    path = scratch_path(spark, "geo_hours_parquet")
+    csv_to_parquet(spark, [("trips", rawfiles.write_geo_csv(spark, sf), path)], hours={"trips": "tpep_pickup_datetime"})
+    return zq.night_trips_sql(spark, spark.read.parquet(path))
+
+
 @register("q5_top_pairs")
 def q5_top_pairs(spark, sf):
     return zq.top_zone_pairs(_loc(spark, sf), _zones(spark, sf))
@@ -555,6 +617,12 @@ def q6_revenue_csv(spark, sf):
     return _r_money(zq.revenue_by_borough(*_loc_csv(spark, sf)))
 
 
+@register("q6_merged_months")
+def q6_merged_months(spark, sf):
+    """Q6 over files whose schemas differ."""
+    return _r_money(zq.revenue_by_borough(read_merged(spark, _months(spark, sf)), _zones(spark, sf)))
+
+
 SHUFFLE_PARTITION_SETTINGS = (8, 32, 64, 128)
 
 

@@ -1,13 +1,14 @@
 """Writers for results and converted tables.
 
 Outputs keep Spark's natural parallelism (one file per task) unless a file
-count is asked for.  A single file is written after ``repartition(1)``: only
+count or balanced files are asked for.  A single file is written after ``repartition(1)``: only
 the writing is one task, the stages before it keep theirs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.session import app_id
 
@@ -45,12 +46,30 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     return path
 
 
+def balanced(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` dealt anew so that each task writes about the session's advisory
+    partition size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
+
+    A ``rebalance`` exchange that AQE plans from the real sizes: many small
+    tasks are joined, large ones split, with ``by`` also those of a hot value,
+    whose rows lie together otherwise.
+    """
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in by])
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None,
-                  max_records_per_file: int | None = None) -> str:
-    """Parquet.  ``files=None`` keeps one file per task (parallel writers);
-    ``files=n`` repartitions to n writers."""
+                  max_records_per_file: int | None = None, balance: bool = False, cluster: str | None = None) -> str:
+    """Parquet.  By default one file per task (parallel writers); ``files=n``
+    repartitions to n writers; ``balance`` writes files of about the session's
+    advisory partition size; ``cluster`` does so with the rows of one value of
+    a column together, and sorted by it in each file, so that a filter on it
+    skips files and row groups."""
     if files:
         df = df.repartition(files)
+    elif balance or cluster:
+        df = balanced(df, *([cluster] if cluster else []))
+    if cluster:
+        df = df.sortWithinPartitions(F.col(f"`{cluster}`"))
     writer = df.write.mode(mode)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))

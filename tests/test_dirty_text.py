@@ -64,6 +64,26 @@ def test_q2_text_keeps_only_complete_rows(spark, dirty_path):
     assert rows[0].duration_min == pytest.approx(18.05)
 
 
+def test_dropped_lines_are_counted_in_the_same_pass(spark, dirty_path):
+    from pyspark.sql import Observation
+
+    from tests.test_argmax import jobs_of
+
+    lines = text.strip_header(text.read_lines(spark, dirty_path), HEADER)
+    seen = Observation()
+    parsed = text.parse_lines(lines, q2.TEXT_SPEC, seen=seen)
+    assert jobs_of(spark, "parse", lambda: parsed.collect()) == 1
+    counts = dict(text.line_counts(seen))
+    assert sum(counts.values()) == len(LINES) - 2 and counts["kept"] == parsed.count()
+    assert counts["VendorID: no int"] == 1 and counts["tpep_pickup_datetime: no timestamp"] == 1
+    assert counts["pickup_longitude: missing"] == 1 and counts["dropoff_longitude: missing"] == 1
+    # of the longest trips, which scan twice, and of the hourly means
+    for form, spec in ((q2.longest_text, q2.TEXT_SPEC), (q1.hourly_avg_text, q1.TEXT_SPEC)):
+        seen = Observation()
+        form(text.read_lines(spark, dirty_path), HEADER, seen=seen).collect()
+        assert dict(text.line_counts(seen))["kept"] == text.parse_lines(lines, spec).count()
+
+
 def test_q1_csv_fixed_schema_is_permissive(spark, dirty_path):
     rows = q1.hourly_avg(read_csv_with_schema(spark, dirty_path)).collect()
     # bad timestamp -> null hour group; short 8-field line and 1.0 vendor kept;

@@ -104,3 +104,56 @@ def test_raw_files_are_written_once_and_scratch_can_be_deleted(spark):
     assert not os.path.exists(scratch_root(spark).removeprefix("file:"))
     again = rawfiles.write_zones_csv(spark, SF_SMALL)
     assert again != path and spark.read.csv(again, header=True).count() == 25
+
+
+def test_balanced_files(spark, scratch):
+    """Many small tasks write few files; a hot value's rows are split over several."""
+    many = spark.range(0, 50_000, 1, 1000)
+    out = write_parquet(many, scratch("many"), balance=True)
+    assert len(glob.glob(os.path.join(out, "*.parquet"))) <= 8
+    assert len(glob.glob(os.path.join(write_parquet(many, scratch("plain")), "*.parquet"))) == 1000
+    assert spark.read.parquet(out).count() == 50_000
+    hot = spark.range(0, 400_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 1000).alias("k"),
+                                                F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(1 << 20),
+             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "200"}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        out = write_parquet(hot, scratch("hot"), cluster="k")
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    rows = spark.read.parquet(out).select("k", F.input_file_name().alias("f"))
+    assert rows.count() == 400_000 and rows.where("k = 5").select("f").distinct().count() > 3
+    assert rows.groupBy("f").count().agg(F.max("count")).first()[0] < 100_000
+    files = rows.groupBy("k").agg(F.count_distinct("f").alias("n"))
+    assert files.where("n = 1").count() > 600  # the rows of one value lie together, but for those dealt with the hot one
+
+
+def test_convert_job_options(spark, scratch):
+    from farebox import jobs
+
+    trips, out = rawfiles.write_geo_csv(spark, SF_SMALL), scratch("converted")
+    jobs.run(spark, jobs.parse_args(["convert", "--input", f"trips={trips}", "--hour-of", "trips=tpep_pickup_datetime",
+                                     "--remember-schema", "--out", out, "--show", "0"]))
+    table = spark.read.parquet(out + "/trips")
+    assert table.where("tpep_pickup_datetime_hour <> hour(tpep_pickup_datetime)").count() == 0
+    from farebox.sources.schema_store import remembered_schema
+    assert remembered_schema(spark, trips) is not None
+    paths = ",".join([out + "/trips", out + "/trips"])
+    night = jobs.run(spark, jobs.parse_args(["q4", "--format", "parquet", "--trips", paths, "--out", scratch("q4"), "--show", "0"]))
+    got = spark.read.csv(night, header=True, inferSchema=True).agg(F.sum("NightTrips")).first()[0]
+    assert got == 2 * table.where("tpep_pickup_datetime_hour >= 23 OR tpep_pickup_datetime_hour < 7").count()
+
+
+def test_text_jobs_say_what_they_dropped(spark, scratch, capsys):
+    from farebox import jobs
+
+    trips = rawfiles.write_geo_csv(spark, SF_SMALL)
+    jobs.run(spark, jobs.parse_args(["q2-text", "--trips", trips, "--out", scratch("q2t")]))
+    printed = capsys.readouterr().out
+    nulls = tables.geo_trips(spark, SF_SMALL).where("VendorID IS NULL").count()
+    assert f"lines VendorID: no int: {nulls}\n" in printed and "lines kept: " in printed

@@ -6,9 +6,10 @@ from farebox import jobs
 from farebox.functions.geo import nonzero_points
 from farebox.plans import q1, q2
 from farebox.plans import zones as zq
+from farebox.sinks.etl import csv_to_parquet
 from farebox.sinks.writers import write_parquet
-from farebox.sources import rawfiles, tables, text
-from tests.conftest import SF_SMALL, explain_text
+from farebox.sources import rawfiles, read_csv_inferred, tables, text
+from tests.conftest import SF_MID, SF_SMALL, explain_text
 
 
 def test_top_k_is_fused(spark):
@@ -27,13 +28,58 @@ def test_window_top1_limits_before_shuffle(spark):
 def test_longest_trip_forms_do_not_sort_trips(spark):
     geo = tables.geo_trips(spark, SF_SMALL)
     lines = text.read_lines(spark, rawfiles.write_geo_csv(spark, SF_SMALL))
-    for form, sorts in ((q2.longest(geo), 0), (q2.longest_text(lines), 0), (q2.longest_sql(spark, geo), 1)):
+    for form in (q2.longest(geo), q2.longest_text(lines)):
         plan = explain_text(form, "simple")
-        # the SQL form's only sort is the final order of the few winners
-        assert len(re.findall(r"[ +:-]Sort \[", plan)) == sorts and "Window" not in plan and "SortMergeJoin" not in plan
+        assert not re.findall(r"[ +:-]Sort \[", plan) and "Window" not in plan and "Join" not in plan
+        assert "Subquery subquery" in plan and "partial_max" in plan
+    # the SQL form joins the trips near a maximum, and AQE makes it a broadcast join once their size is known
+    form = q2.longest_sql(spark, tables.geo_trips(spark, SF_MID))
+    assert "Window" not in explain_text(form, "simple") and "Subquery subquery" in explain_text(form, "simple")
+    form.collect()
+    final = explain_text(form, "simple").split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
     assert "longest" in jobs.JOBS["q2"][0].__code__.co_names
 
 
+def test_sql_forms_join_in_sql(spark):
+    loc, zones = tables.loc_trips(spark, SF_SMALL), tables.zones(spark, SF_SMALL)
+    for max_rows, strategy in (("1", "SortMergeJoin"), ("1000000", "BroadcastHashJoin")):
+        spark.conf.set("farebox.broadcast.maxRows", max_rows)
+        try:
+            plan = explain_text(zq.same_borough_sql(spark, loc, zones), "simple")
+        finally:
+            spark.conf.unset("farebox.broadcast.maxRows")
+        assert len(re.findall(rf"{strategy} \[(origin_id|target_id)", plan)) == 2
+    assert zq.SAME_BOROUGH_SQL.count("JOIN") == 2 and " JOIN peak " in q2.REPORT_SQL
+
+
+def test_night_test_reaches_the_scan_of_converted_files(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = scratch("hours")
+    geo = rawfiles.write_geo_csv(spark, SF_MID)
+    csv_to_parquet(spark, [("trips", geo, path)], hours={"trips": "tpep_pickup_datetime"}).collect()
+    converted = spark.read.parquet(path)
+    want = sorted(map(tuple, zq.night_trips_sql(spark, read_csv_inferred(spark, geo)).collect()), key=str)
+    for form in (zq.night_trips_sql(spark, converted), zq.night_trips(converted)):
+        plan = explain_text(form, "simple")
+        assert ("PushedFilters: [Or(GreaterThanOrEqual(tpep_pickup_datetime_hour,23),LessThan(tpep_pickup_datetime_hour,7))]"
+                in plan)
+        assert sorted(map(tuple, form.collect()), key=str) == want
+    # rows are sorted by the hour, so day-time row groups can be told from night ones
+    for f in glob.glob(path + "/*.parquet"):
+        hours = [h for h in pq.read_table(f, columns=["tpep_pickup_datetime_hour"]).column(0).to_pylist() if h is not None]
+        assert hours == sorted(hours)
+    # an hour taken in another zone is not used
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert "tpep_pickup_datetime_hour" not in explain_text(zq.night_trips(spark.read.parquet(path)), "simple")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_only_lookups_are_broadcast(spark):
     plan = explain_text(zq.revenue_by_borough(tables.loc_trips(spark, SF_SMALL), tables.zones(spark, SF_SMALL)),
                         "simple")
@@ -75,13 +121,14 @@ def test_trips_are_aggregated_before_the_lookup_joins(spark):
     build = {"q3": lambda: zq.same_borough(loc, zones), "q3_sql": lambda: zq.same_borough_sql(spark, loc, zones),
              "q5": lambda: zq.top_zone_pairs(loc, zones), "q6": lambda: zq.revenue_by_borough(loc, zones)}
     expected = {k: rounded(b()) for k, b in build.items()}
-    for max_rows, join in (("1", "SortMergeJoin [PULocationID"), ("1000000", "BroadcastHashJoin [PULocationID")):
+    for max_rows, join in (("1", "SortMergeJoin ["), ("1000000", "BroadcastHashJoin [")):
         spark.conf.set("farebox.broadcast.maxRows", max_rows)
         try:
             for k, b in build.items():
                 plan = explain_text(b(), "simple")
                 partial = "partial_sum" if k == "q6" else "partial_count"
-                assert plan.index(join) < plan.rindex(partial), k  # the aggregate is below the join
+                key = "origin_id" if k == "q3_sql" else "PULocationID"
+                assert plan.index(join + key) < plan.rindex(partial), k  # the aggregate is below the join
                 assert rounded(b()) == expected[k]
         finally:
             spark.conf.unset("farebox.broadcast.maxRows")

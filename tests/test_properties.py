@@ -73,3 +73,30 @@ def test_wrapped_hour_range_matches_predicate(spark, start, end):
                  .where(hour_in_wrapped_range(to_wall_clock(F.col("v")), start, end)).collect())
     want = [h for h in range(24) if (start <= h < end if start <= end else (h >= start or h < end))]
     assert got == want
+
+
+TIME_TEXT = st.one_of(
+    st.builds("{}-{}-{} {}:{}:{}".format, st.sampled_from(["2015", "0001", "0000", "9999", "215", "20150"]),
+              *[st.one_of(st.integers(0, 62).map(str), st.integers(0, 62).map("{:02d}".format)) for _ in range(5)]),
+    st.builds("{:04d}-{:02d}-{:02d}{}{:02d}:{:02d}:{:02d}".format, st.integers(1, 9999), st.integers(1, 12), st.integers(1, 31),
+              st.sampled_from([" ", "  ", "\t", " \t ", "T", ""]), st.integers(0, 23), st.integers(0, 59), st.integers(0, 61)),
+    st.sampled_from(["2015-01- 5 1:2:3", "2015- 1-05 1:2:3", "2015-1-5 1:2:3.5", " 2015-1-5 1:2:3", "2015-1-5 1:2:3 ", "2015-1-5",
+                     "2015-01-05 01:02", "+2015-1-5 1:2:3", "-2015-1-5 1:2:3", "2016-2-29 0:0:0", "2015-2-29 0:0:0", "",
+                     "2015-1-5 1:2:60", "2015-1-5 24:0:0", "2015-001-5 1:2:3", "2015-1-5 1:2:3Z", "2015-1-5 001:2:3"]),
+)
+
+
+@settings(max_examples=10, deadline=None, derandomize=True)
+@given(st.lists(TIME_TEXT, min_size=100, max_size=300))
+def test_times_are_parsed_as_strptime_does(spark, texts):
+    from datetime import datetime
+
+    def python(s):
+        try:
+            return datetime.strptime(s, "%Y-%m-%d %H:%M:%S")
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", to_wall_clock(F.col("t")).alias("w")).collect():
+        assert r.w == python(r.t), repr(r.t)

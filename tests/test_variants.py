@@ -83,21 +83,6 @@ def test_q5_tie_break_is_total(spark):
     assert all(a != b for a, b, _ in rows)
 
 
-def test_argmax_with_more_keys_than_the_driver_reads(spark, monkeypatch):
-    from farebox.operators import argmax
-
-    df = spark.createDataFrame([(i % 40 if i % 41 else None, float(i % 7), i) for i in range(400)], "k int, v double, t int")
-    few = sorted(map(str, argmax.argmax_first(df, "k", "v", "t").collect()))
-    monkeypatch.setattr(argmax, "DRIVER_ROWS", 10)
-    for max_rows in ("1000", "5"):  # checkpointed maxima, broadcast or merged
-        spark.conf.set("farebox.broadcast.maxRows", max_rows)
-        try:
-            assert sorted(map(str, argmax.argmax_first(df, "k", "v", "t").collect())) == few
-        finally:
-            spark.conf.unset("farebox.broadcast.maxRows")
-    assert len(few) == 41
-
-
 def test_argmax_ties_rank_and_join_agree(spark):
     from farebox.operators.argmax import argmax_ties
 
