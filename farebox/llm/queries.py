@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farebox.llm import (compression_bands, compression_classifier, counterfactual_toxicity, genetic_packing,
                          license_sentences, minhash_dedup, nn_descent, overlap_token_counts, pair_index_bpe, rmq_search, text_tries, url_association, warc)
@@ -28,6 +29,11 @@ def register(name: str):
     return wrap
 
 
+def held_out(rest: Column) -> Column:
+    """The held-out mark; a row with a null id has no remainder and is not held out (nor can a label name it)."""
+    return F.coalesce(rest, F.lit(False)).alias("held_out")
+
+
 @register("op1_compression_bands")
 def op1_compression_bands(spark, sf_dir):
     return compression_bands.quality_report(read_table(spark, sf_dir, "documents"))
@@ -83,7 +89,7 @@ def op4_compression_classifier(spark, sf_dir):
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = compression_classifier.fit(docs, labels.where(fold(5) != 0))
     scored = compression_classifier.score_documents(docs, model, threshold=0.3)
-    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(fold(5) == 0), "score", "predicted")
 
 
 @register("op5_counterfactual_toxicity")
@@ -91,7 +97,7 @@ def op5_counterfactual_toxicity(spark, sf_dir):
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = counterfactual_toxicity.fit(docs, labels.where(fold(3) != 1))
     scored = counterfactual_toxicity.score_documents(docs, model, threshold=0.7)
-    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(fold(3) == 1), "score", "predicted")
 
 
 @register("op6_warc")

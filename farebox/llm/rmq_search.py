@@ -43,6 +43,7 @@ from farebox.llm.common import ROWS_AT_ONCE, bounded, materialise, utf8_values
 # About so many postings make a shard, and so many bytes of items are searched
 # for at a time: what one task holds.
 SHARD_POSTINGS = 500_000
+SHARDS_PER_TASK = 2
 ITEM_BLOCK_BYTES = 4 << 20
 # Intervals split at a time; terms times places up to which ranks are a table.
 BATCH = 256
@@ -103,11 +104,12 @@ def _invert(table: pa.Table) -> pa.Table:
 
 @dataclass
 class Index:
-    """Posting lists as a table (``INDEX_SCHEMA``), and the two counts that scores need."""
+    """Posting lists as a table (``INDEX_SCHEMA``), the two counts that scores need, and the number of shards."""
 
     lists: DataFrame
     n_documents: int
     n_terms: int
+    shards: int
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -120,7 +122,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shards = max(1, math.ceil(postings / shard_postings))
     # The slot, a row's number in its task, spreads rows that repeat an id.
     dealt = forward.withColumn("shard", F.pmod(F.xxhash64("doc_id", "slot"), F.lit(shards)))
-    return Index(materialise(dealt.groupBy("shard").applyInArrow(_invert, INDEX_SCHEMA), "postings"), n_documents, n_terms)
+    dealt = dealt.repartition(math.ceil(shards / SHARDS_PER_TASK), "shard")
+    lists = materialise(dealt.groupBy("shard").applyInArrow(_invert, INDEX_SCHEMA), "postings")
+    return Index(lists, n_documents, n_terms, shards)
 
 
 class PostingTables:
@@ -258,7 +262,8 @@ def search(index: Index, items: DataFrame, k: int = 10, id_col: str = "item_id",
         weight = {bytes(row["term"]): math.floor(1000 * math.log((2 * index.n_documents + 2) / (2 * row["df"] + 1)))
                   for row in postings.groupBy("term").agg(F.sum("df").alias("df")).collect()}
         searcher = _searcher(counted, weight, index.n_documents, index.n_terms, k)
-        best = postings.unionByName(documents).groupBy("shard").applyInArrow(searcher, found.schema)
+        dealt = postings.unionByName(documents).repartition(math.ceil(index.shards / SHARDS_PER_TASK), "shard")
+        best = dealt.groupBy("shard").applyInArrow(searcher, found.schema)
         found = found.unionByName(best)
     ranking = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)

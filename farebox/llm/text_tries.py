@@ -51,6 +51,7 @@ CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TRIE_BYTES = 16 << 20
 MARK_BYTES = 1 << 20
 RANGE_BYTES = 8 << 20
+RANGES_PER_TASK = 4
 
 LOCAL_SCHEMA = "doc_id long, part string, mask int, digest binary, text binary, min_id long, mark binary"
 
@@ -201,7 +202,9 @@ def smallest_ids(local: DataFrame, marks_per_range: int = RANGE_BYTES // MARK_BY
         return pa.array([bisect_right(starts, t) for t in utf8_values(texts)], pa.int32())
 
     texts = local.where("min_id IS NOT NULL").select("text", "min_id", "digest").withColumn("range", range_of("text"))
-    return texts.groupBy("range").applyInArrow(_range_trie, "min_id long, digest binary")
+    # A few ranges a task, however many there are; the shuffle default would let tasks grow with the table.
+    dealt = texts.repartition(len(starts) // RANGES_PER_TASK + 1, "range")
+    return dealt.groupBy("range").applyInArrow(_range_trie, "min_id long, digest binary")
 
 
 def failure_masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",

@@ -6,7 +6,10 @@ are pushed down (with ``spark.sql.python.filterPushdown.enabled``): a record
 that fails one is passed over without inflating or reading its payload, as is
 every payload when the option ``payload`` is ``false``.  Each record is a gzip
 member of its own, whose extra field holds the member's size, so passing over
-it is a seek; members without that field, and plain ``.warc`` files, work too.
+it is a seek; members without that field, with one record or many, and plain
+``.warc`` files work too.  No read goes beyond a record: a block of type
+application/http without a blank line is payload as a whole, lines may end in
+LF alone, and a record or gzip member that is cut short raises an error.
 
 Writing goes through the data source's commit protocol: a task writes files
 under names of its own, and only the files of successful tasks enter the
@@ -22,13 +25,16 @@ pages equal to an earlier one are found by digest on narrow rows.
 Defined results: a null html is an empty payload; a null url has no target
 URI; a page with a null id is a response, as nothing could refer to it; rows
 with equal ids and equal payloads are all responses or all revisits; control
-characters in a url are percent-encoded; an empty table gives no records.
+characters in a url are percent-encoded; a payload of any length is written
+and read whole; an empty table gives no records; other columns of the pages
+play no part, whatever their names.
 """
 
 from __future__ import annotations
 
 import io
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -53,6 +59,7 @@ GZIP_LEVEL = 3
 BATCH_BYTES = 4 << 20
 BATCH_RECORDS = 2000
 HEADER_BYTES = 4096
+HTTP_HEAD_BYTES = 1 << 20
 MANIFEST = "_manifest.json"
 ID_PREFIX = "urn:farebox:page:"
 
@@ -62,6 +69,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 GZIP_START = b"\x1f\x8b\x08"
 GZIP_EXTRA = 4
 SIZE_FIELD = b"fs"
+LINE_END = re.compile(rb"\r?\n")
+BLANK_LINE = re.compile(rb"\r?\n\r?\n")
 
 SCHEMA = T.StructType([
     T.StructField("record_type", T.StringType()), T.StructField("record_id", T.StringType()),
@@ -76,8 +85,9 @@ INPUT_SCHEMA = "record_type string, record_id string, target_uri string, payload
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
-    """The Arrow file system of a path or URI, and the path in it."""
-    return fs.FileSystem.from_uri(path)
+    """The Arrow file system of a path or URI, and the path in it; Spark's
+    names of the S3 scheme are Arrow's ``s3``."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
 
 
 # ---------------------------------------------------------------- records
@@ -114,7 +124,7 @@ def parse_headers(text: bytes) -> dict[str, str]:
     """Header lines by lower-case name, continuation lines joined."""
     out: dict[str, str] = {}
     name = None
-    for line in text.split(b"\r\n")[1:]:
+    for line in LINE_END.split(text)[1:]:
         if line[:1] in (b" ", b"\t") and name:
             out[name] += " " + line.strip().decode("utf-8", "replace")
         elif b":" in line:
@@ -125,7 +135,7 @@ def parse_headers(text: bytes) -> dict[str, str]:
 
 
 class _Source:
-    """The bytes of one record, read as far as asked for."""
+    """The bytes of one stream of records, a plain file or a gzip member, read as far as asked for."""
 
     def __init__(self) -> None:
         self.held = b""
@@ -133,26 +143,60 @@ class _Source:
     def more(self, n: int) -> bytes:
         raise NotImplementedError
 
-    def until(self, mark: bytes) -> bytes:
-        """All up to and with ``mark``; what follows stays held."""
-        start = 0
-        while (at := self.held.find(mark, start)) < 0:
-            start = max(0, len(self.held) - len(mark) + 1)
-            got = self.more(HEADER_BYTES)
-            if not got:
+    def fill(self) -> bool:
+        """Hold some bytes more; False at the end."""
+        got = self.more(HEADER_BYTES)
+        self.held += got
+        return bool(got)
+
+    def next_record(self) -> bool:
+        """Go to the next record, over the blank lines between records; False if there is none."""
+        while True:
+            self.held = self.held.lstrip(b"\r\n")
+            if self.held:
+                return True
+            if not self.fill():
+                return False
+
+    def head(self) -> bytes:
+        """A record's headers up to and with the blank line."""
+        while (end := BLANK_LINE.search(self.held)) is None:
+            if not self.fill():
                 raise ValueError("a WARC record ends inside its headers")
-            self.held += got
-        out, self.held = self.held[: at + len(mark)], self.held[at + len(mark):]
+        out, self.held = self.held[: end.end()], self.held[end.end():]
         return out
 
     def take(self, n: int) -> bytes:
+        """The next ``n`` bytes of the block."""
         parts, have = [self.held[:n]], min(n, len(self.held))
         self.held = self.held[have:]
-        while have < n and (got := self.more(n - have)):
+        while have < n:
+            got = self.more(n - have)
+            if not got:
+                raise ValueError("a WARC record ends before its Content-Length")
             parts.append(got)
             have += len(got)
         return b"".join(parts)
 
+    def http_head(self, length: int) -> tuple[bytes | None, bytes]:
+        """(HTTP headers, bytes read behind them) of a block of ``length``
+        bytes; no headers if no blank line ends them in the block, or in its
+        first ``HTTP_HEAD_BYTES``.  Never reads beyond the block."""
+        read = b""
+        while True:
+            if (end := BLANK_LINE.search(read)) is not None:
+                return read[: end.end()], read[end.end():]
+            if len(read) >= min(length, HTTP_HEAD_BYTES):
+                return None, read
+            read += self.take(min(HEADER_BYTES, length - len(read)))
+
+    def pass_over(self, n: int) -> None:
+        while n:
+            n -= len(self.take(min(n, 1 << 20)))
+
+    def finish(self) -> None:
+        """Leave the file at the end of this stream."""
+
 
 class _Plain(_Source):
     def __init__(self, file) -> None:
@@ -164,15 +208,11 @@ class _Plain(_Source):
 
     def pass_over(self, n: int) -> None:
         beyond = n - len(self.held)
-        if beyond >= 0:
-            self.file.seek(beyond, io.SEEK_CUR)
-            self.held = b""
-        else:
-            self.held = self.held[n:]
-
-    def finish(self) -> None:
-        """Back to the end of what was used."""
-        self.file.seek(-len(self.held), io.SEEK_CUR)
+        if beyond > 0:
+            self.file.seek(beyond - 1, io.SEEK_CUR)
+            if not self.file.read(1):
+                raise ValueError("a WARC record ends before its Content-Length")
+        self.held = self.held[n:]
 
 
 class _Member(_Source):
@@ -182,45 +222,42 @@ class _Member(_Source):
         super().__init__()
         self.file, self.begin, self.size = file, begin, size
         self.inflate = zlib.decompressobj(-zlib.MAX_WBITS)
+        self.passed = False
 
     def more(self, n: int) -> bytes:
         out = b""
         while not out and not self.inflate.eof:
             data = self.inflate.unconsumed_tail or self.file.read(16384)
             if not data:
-                break
+                raise ValueError("a gzip member is cut short")
             out = self.inflate.decompress(data, n)
         return out
 
     def pass_over(self, n: int) -> None:
-        if self.size is None:  # no size field: the member's end shows only by inflating
-            self.take(n)
+        if self.size is None:  # else a member of our own, which holds one record
+            super().pass_over(n)
+        else:
+            self.passed = n > 0
+
+    def next_record(self) -> bool:
+        return not self.passed and super().next_record()
 
     def finish(self) -> None:
-        if self.size is not None:
+        if self.passed:
             self.file.seek(self.begin + self.size)
-            return
-        while self.more(1 << 16):
-            pass
-        # After the deflate data come the checksum and the length.
-        self.file.seek(8 - len(self.inflate.unused_data), io.SEEK_CUR)
+        else:  # all is inflated; after the deflate data come the checksum and the length
+            self.file.seek(8 - len(self.inflate.unused_data), io.SEEK_CUR)
 
 
-def _open_record(file) -> _Source | None:
-    """The record at the file's place, or None at its end."""
+def _open_source(file) -> _Source | None:
+    """The records at the file's place: a gzip member, or the rest of a plain file; None at its end."""
     begin = file.tell()
     start = file.read(10)
     if not start:
         return None
     if not start.startswith(GZIP_START):
         file.seek(begin)
-        source = _Plain(file)
-        while (lead := source.take(2)) == b"\r\n":  # blank lines between records
-            begin += 2
-        if not lead:
-            return None
-        source.held = lead + source.held
-        return source
+        return _Plain(file)
     flags, size = start[3], None
     if flags & GZIP_EXTRA:
         extra = file.read(struct.unpack("<H", file.read(2))[0])
@@ -241,30 +278,35 @@ def _open_record(file) -> _Source | None:
 def read_records(file, wanted, with_payload: bool) -> Iterator[tuple]:
     """``SCHEMA`` rows of the records of an open file that ``wanted`` (a
     function of the header columns) lets through."""
-    while (source := _open_record(file)) is not None:
-        headers = parse_headers(source.until(b"\r\n\r\n"))
-        length = int(headers.get("content-length", 0))
-        columns = {c: headers.get(h) for c, h in HEADER_OF.items()}
-        for c in ("record_id", "refers_to", "target_uri"):
-            if columns[c] and columns[c].startswith("<"):
-                columns[c] = columns[c][1:-1]
-        if columns["payload_digest"]:
-            columns["payload_digest"] = columns["payload_digest"].rpartition(":")[2]
-        keep = wanted(columns)
-        http_length = payload = None
-        left = length
-        if keep and (columns["content_type"] or "").startswith("application/http"):
-            http = source.until(b"\r\n\r\n")
-            left -= len(http)
-            value = parse_headers(http).get("content-length", "")
-            http_length = int(value) if value.isdigit() else None
-        if keep and with_payload and columns["record_type"] != "revisit":
-            payload = source.take(left)
-            left = 0
-        source.pass_over(left + 4)  # and the two line ends behind the block
-        source.finish()
-        if keep:
+    while (source := _open_source(file)) is not None:
+        while source.next_record():
+            headers = parse_headers(source.head())
+            size = headers.get("content-length", "")
+            if not size.isdigit():
+                raise ValueError(f"a WARC record has no Content-Length but {size!r}")
+            left = int(size)
+            columns = {c: headers.get(h) for c, h in HEADER_OF.items()}
+            for c in ("record_id", "refers_to", "target_uri"):
+                if columns[c] and columns[c].startswith("<"):
+                    columns[c] = columns[c][1:-1]
+            if columns["payload_digest"]:
+                columns["payload_digest"] = columns["payload_digest"].rpartition(":")[2]
+            if not wanted(columns):
+                source.pass_over(left)
+                continue
+            http_length = payload = None
+            read = b""
+            if (columns["content_type"] or "").startswith("application/http"):
+                http, read = source.http_head(left)
+                left -= len(http or b"") + len(read)
+                value = parse_headers(http or b"").get("content-length", "")
+                http_length = int(value) if value.isdigit() else None
+            if with_payload and columns["record_type"] != "revisit":
+                payload = read + source.take(left)
+            else:
+                source.pass_over(left)
             yield (*columns.values(), http_length, payload)
+        source.finish()
 
 
 # ---------------------------------------------------------------- data source

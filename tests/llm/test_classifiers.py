@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -118,6 +119,47 @@ def test_toxicity_edges(spark, toxic):
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
 
 
+def test_words_count_whole(spark, toxic):
+    """Texts that differ only behind the first 40 characters of a word, and abuse in glued text."""
+    rows, labels = toxic
+    rng = random.Random(12)
+    kanji = [chr(0x4E00 + k) for k in range(300)]
+    glued = lambda bad: "".join(rng.choices("abcdefghijklmno", k=90)) + ("xqzvw" if bad else "") + "".join(rng.choices("abc", k=30))
+    japanese = lambda bad: "".join(rng.choices(kanji, k=12)) + ("\u9b3c\u755c" if bad else "") + "".join(rng.choices(kanji, k=6))
+    extra, marks = [], []
+    for i in range(400, 800):
+        bad = i % 3 == 0
+        extra.append((i, (glued if i % 2 else japanese)(bad)))
+        marks.append((i, 1, int(bad)))
+    model = ct.fit(docs_of(spark, rows + extra), spark.createDataFrame(labels + marks, LABELS))
+    stem = "k" * 41
+    assert ct.features_of({stem + "a"}) != ct.features_of({stem + "b"})
+    for make in (glued, japanese):
+        for _ in range(20):
+            assert model.logit(make(True)) > 0 > model.logit(make(False))
+    assert ct.words_of("One, two. \u201cthree") == ["one", "two", "\u201cthree"]
+
+
+def test_scores_are_recomputed_from_the_weights(spark, toxic):
+    rows, labels = toxic
+    model = ct.fit(docs_of(spark, rows), spark.createDataFrame(labels, LABELS))
+
+    def independent(text):
+        total, seen = [model.intercept], set()
+        for word in text.lower().split():
+            word = word.strip(".,;:!?\"'()[]{}*_-")
+            if word and word not in seen:
+                seen.add(word)
+        grams = set()
+        for word in seen:
+            grams |= {word} | {word[:n] + "*" for n in (4, 5) if len(word) >= n}
+        total += [model.weights[g] for g in sorted(grams) if g in model.weights]
+        return 1 / (1 + math.exp(-math.fsum(total)))
+
+    got = {r.doc_id: r.score for r in ct.score_documents(docs_of(spark, rows), model, 0.7).collect()}
+    assert all(math.isclose(got[i], independent(t), rel_tol=1e-9) for i, t in rows)
+
+
 def test_swapper():
     swap = ct.Swapper(ct.IDENTITY_FAMILIES)
     assert swap("no group named") is None
