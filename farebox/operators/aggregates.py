@@ -40,26 +40,26 @@ def exact_parts(columns: list[tuple[str, str]], digits: int = EXACT_DIGITS) -> l
     """
     out = []
     for column, alias in columns:
-        scaled = F.rint(F.col(column) * F.lit(float(10**digits)))
-        whole = F.abs(scaled) < F.lit(float(1 << 53))
-        units = F.when(whole, scaled.cast("long"))
-        out += [F.sum(F.shiftright(units, LOW_BITS)).alias(f"{alias}_high"),
-                F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("long"))).alias(f"{alias}_low"),
-                F.sum(F.when(~whole, F.col(column))).alias(f"{alias}_rest")]
+        scaled = f"rint(`{column}` * {float(10**digits)!r}D)"
+        whole = f"abs({scaled}) < {1 << 53}D"
+        units = f"CASE WHEN {whole} THEN CAST({scaled} AS BIGINT) END"
+        out += [F.expr(f"sum(shiftright({units}, {LOW_BITS})) AS `{alias}_high`"),
+                F.expr(f"sum({units} & {(1 << LOW_BITS) - 1}L) AS `{alias}_low`"),
+                F.expr(f"sum(CASE WHEN NOT {whole} THEN `{column}` END) AS `{alias}_rest`")]
     return out
 
 
 def merged_parts(names: list[str]) -> list[Column]:
     """The parts of ``exact_parts`` of several groups as those of their union."""
-    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for name in names for part in ("high", "low", "rest")]
+    return [F.expr(f"sum(`{name}_{part}`) AS `{name}_{part}`") for name in names for part in ("high", "low", "rest")]
 
 
 def exact_total(name: str, digits: int = EXACT_DIGITS) -> Column:
     """The sum of one alias of ``exact_parts`` as double: the exact total, rounded once."""
-    high, low, rest = (F.col(f"{name}_{part}") for part in ("high", "low", "rest"))
-    units = high.cast("decimal(25,0)") * F.lit(Decimal(1 << LOW_BITS)) + low.cast("decimal(20,0)")
-    total = (units * F.lit(Decimal(1).scaleb(-digits))).cast("double")
-    return F.when(high.isNull(), rest).when(rest.isNull(), total).otherwise(total + rest).alias(name)
+    high, low, rest = (f"`{name}_{part}`" for part in ("high", "low", "rest"))
+    units = f"(CAST({high} AS DECIMAL(25, 0)) * {1 << LOW_BITS} + CAST({low} AS DECIMAL(20, 0)))"
+    total = f"CAST({units} * {Decimal(1).scaleb(-digits):f}BD AS DOUBLE)"
+    return F.expr(f"CASE WHEN {high} IS NULL THEN {rest} ELSE {total} + coalesce({rest}, 0D) END AS `{name}`")
 
 
 def exact_sum_by(df: DataFrame, keys, columns: list[tuple[str, str]], digits: int = EXACT_DIGITS) -> DataFrame:
