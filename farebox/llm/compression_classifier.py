@@ -11,20 +11,25 @@ difference into a probability.
 Lines that several training texts share say nothing about quality and would
 fill both dictionaries, so they are left out of training (never of scoring).
 
-The fit reads a bounded sample of labelled rows: ``FIT_ROWS`` of each class
-in the order of a hash of their ids, texts of at most ``FIT_BYTES``.  Scoring
-covers every row and every byte.
-
-Defined results: a null or empty text has difference 0; rows are scored one
-by one, so repeated rows score alike and a null id stays null; without
-labelled texts of both classes every score is the share of class 1 among the
-labels (0.5 without any label).  Labels other than 0 and 1 are ignored.
+The fit reads a bounded sample of labelled rows, ``FIT_ROWS`` of each class in
+the order of a hash of their ids, and of these the whole texts: two thirds are
+cut into blocks, of which ``FIT_BLOCKS`` of each class, in the order of a hash,
+train its dictionary; the others calibrate.  Only those blocks and one
+difference per text reach the driver.  Scoring covers every row and every byte.
+
+Defined results: a null or empty text has difference 0; texts of any length
+count whole; rows are scored one by one, so repeated rows (and ties in any
+column) score alike and a null id stays null; without labelled texts of both
+classes every score is the share of class 1 among the labels (0.5 without any
+label); labels other than 0 and 1 are ignored; an empty table gives no rows;
+other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -33,32 +38,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.llm.common import bounded, fresh_name, utf8_values
+from farebox.llm.common import bounded, fresh_name, materialise, utf8_values
 
 FIT_ROWS = 1500
-FIT_BYTES = 32768
+FIT_BLOCKS = 10_000
 DICTIONARY_BYTES = 65536
 BLOCK_BYTES = 256
 SAMPLE_BYTES = 512
 ZSTD_LEVEL = 3
-# Of each class's sample, the part that trains the dictionary; the rest
-# calibrates.
-DICTIONARY_SHARE = 2 / 3
+# Of each class's sample, one of so many texts calibrates; the others train.
+CALIBRATION = 3
 
 
 def blocks(text: bytes, size: int) -> list[bytes]:
     return [text[k : k + size] for k in range(0, len(text), size)]
 
 
-def _dictionary(texts: list[bytes], shared_lines: set[bytes]) -> bytes:
-    """A dictionary from the lines that only one text has."""
-    own = [b"\n".join(line for line in t.split(b"\n") if line not in shared_lines) for t in texts]
-    samples = [b for t in own for b in blocks(t, SAMPLE_BYTES) if len(b) > 16]
+def _dictionary(samples: list[bytes]) -> bytes:
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 4)
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too little text to train on: take the text itself
-        return b"\n".join(samples or texts)[:DICTIONARY_BYTES]
+        return b"\n".join(samples)[:DICTIONARY_BYTES]
 
 
 class SizeDifference:
@@ -110,69 +111,92 @@ class CompressionModel:
     base_rate: float = 0.5
 
 
-def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int,
-             max_bytes: int) -> tuple[dict[int, list[bytes]], dict[int, int]]:
-    """Texts of a bounded sample of each label, and how many rows have each label.
+def fit_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+             rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """(label, trains, text) of a bounded sample of each label, and how many rows have each label.
 
     The sample is the first ``rows`` labelled ids of each class in the order of
     a hash of the id, so it does not depend on partitioning.
     """
-    known = labels.select(F.col(id_col).alias("_fit_id"), F.col(label_col).cast("int").alias("_fit_label")).where(
-        "_fit_id IS NOT NULL AND _fit_label IN (0, 1)").distinct()
-    counts = {r["_fit_label"]: r["count"] for r in known.groupBy("_fit_label").count().collect()}
-    order = [F.xxhash64("_fit_id"), F.col("_fit_id")]
+    known = labels.select(F.col(id_col).alias("_fit_id"), F.col(label_col).cast("int").alias("label")).where(
+        "_fit_id IS NOT NULL AND label IN (0, 1)").distinct()
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     chosen = None
     for label in (0, 1):
-        part = known.where(F.col("_fit_label") == label).orderBy(*order).limit(rows)
+        part = known.where(F.col("label") == label).orderBy(F.xxhash64("_fit_id"), "_fit_id").limit(rows)
         chosen = part if chosen is None else chosen.union(part)
-    texts = docs.select(F.col(id_col).alias("_doc_id"), F.col(text_col).alias("_text")).where(
-        F.octet_length("_text").between(1, max_bytes))
+    texts = bounded(docs).select(F.col(id_col).alias("_doc_id"), F.col(text_col).alias("text")).where(F.octet_length("text") > 0)
+    trains = F.pmod(F.xxhash64("_doc_id", F.lit(1)), F.lit(CALIBRATION)) > 0
     found = texts.join(F.broadcast(chosen), F.col("_doc_id") == F.col("_fit_id"))  # at most 2 * rows ids
-    taken: dict[int, list[bytes]] = {0: [], 1: []}
-    # In the order of the hash, so that dictionary and calibration rows are both random.
-    for r in sorted(found.select("_fit_label", F.xxhash64("_doc_id"), "_doc_id", "_text").collect(),
-                    key=lambda r: tuple(r)[1:]):
-        taken[r["_fit_label"]].append(r["_text"].encode())
-    return taken, counts
+    return materialise(found.select("label", trains.alias("trains"), "text"), "quality-fit"), counts
+
+
+def _training_blocks(texts: DataFrame) -> dict[int, list[bytes]]:
+    """Blocks of the lines that only one text has, by label."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, text in zip(batch.column("label").to_pylist(), utf8_values(batch.column("text"))):
+                own = sha256(text).digest()
+                lines = list(dict.fromkeys(text.split(b"\n")))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([label] * len(lines), pa.int32()), pa.array([own] * len(lines), pa.binary()),
+                     pa.array(lines, pa.binary())], names=["label", "own", "line"])
+
+    def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(label, b) for label, line in zip(batch.column("label").to_pylist(), batch.column("line").to_pylist())
+                     for b in blocks(line, SAMPLE_BYTES) if len(b) > 16]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())],
+                                             names=["label", "block"])
+
+    lines = texts.mapInArrow(cut, "label int, own binary, line binary")
+    # Hashed first: the count needs no line to move whole.
+    key = F.xxhash64("line")
+    shared = lines.select(key.alias("key"), "own").distinct().groupBy("key").count().where("count > 1").select("key")
+    own = lines.withColumn("key", key).join(shared.hint("merge"), "key", "left_anti").select("label", "line")
+    cut_up = materialise(own.mapInArrow(in_blocks, "label int, block binary"), "quality-blocks")
+    return {label: [bytes(r["block"]) for r in cut_up.where(F.col("label") == label)
+                    .orderBy(F.xxhash64("block"), "block").limit(FIT_BLOCKS).select("block").collect()] for label in (0, 1)}
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", rows: int = FIT_ROWS, max_bytes: int = FIT_BYTES) -> CompressionModel:
+        label_col: str = "quality", rows: int = FIT_ROWS) -> CompressionModel:
     """Train on the texts of ``docs`` that ``labels`` marks 1 (good) or 0 (bad)."""
-    texts, counts = fit_rows(docs, labels, id_col, text_col, label_col, rows, max_bytes)
+    table, counts = fit_rows(docs, labels, id_col, text_col, label_col, rows)
     known = sum(counts.values())
     base_rate = counts.get(1, 0) / known if known else 0.5
-    if min(len(texts[0]), len(texts[1])) < 3:
+    samples = _training_blocks(table.where("trains").select("label", "text"))
+    if not samples[0] or not samples[1]:
         return CompressionModel(base_rate=base_rate)
-    cut = {label: max(1, int(len(t) * DICTIONARY_SHARE)) for label, t in texts.items()}
-    train = {label: t[: cut[label]] for label, t in texts.items()}
-    seen = Counter(line for t in train[0] + train[1] for line in set(t.split(b"\n")))
-    shared = {line for line, n in seen.items() if n > 1}
-    good, bad = _dictionary(train[1], shared), _dictionary(train[0], shared)
-    difference = SizeDifference(good, bad)
-    x, y, weight = [], [], []
-    for label in (0, 1):
-        rest = texts[label][cut[label]:]
-        x += [difference(t) for t in rest]
-        y += [label] * len(rest)
-        weight += [counts[label] / known / max(1, len(rest))] * len(rest)  # the classes at their true shares
-    scale = len(x)
-    slope, intercept = fit_logistic(np.array(x), np.array(y, float), np.array(weight) * scale)
+    good, bad = _dictionary(samples[1]), _dictionary(samples[0])
+    measured = table.where("NOT trains").select("label", _difference(F.col("text"), good, bad).alias("x")).collect()
+    measured.sort(key=lambda r: (r["label"], r["x"]))
+    x, y = np.array([r["x"] for r in measured]), np.array([r["label"] for r in measured], float)
+    sizes = {label: int((y == label).sum()) for label in (0, 1)}
+    if not sizes[0] or not sizes[1]:
+        return CompressionModel(base_rate=base_rate)
+    weight = np.array([counts[r["label"]] / known / sizes[r["label"]] for r in measured])  # the classes at their true shares
+    slope, intercept = fit_logistic(x, y, weight * len(x))
     return CompressionModel(good, bad, slope, intercept, base_rate)
 
 
+def _difference(text: Column, good: bytes, bad: bytes) -> Column:
+    @F.arrow_udf(T.DoubleType())
+    def difference(texts: pa.Array) -> pa.Array:
+        of = SizeDifference(good, bad)
+        return pa.array([of(t) for t in utf8_values(texts)], pa.float64())
+
+    return difference(text)
+
+
 def score_column(text: str | Column, model: CompressionModel) -> Column:
     """Probability of label 1 for each text."""
     if model.slope is None:
         return F.lit(float(model.base_rate))
 
-    @F.arrow_udf(T.DoubleType())
-    def score(texts: pa.Array) -> pa.Array:
-        difference = SizeDifference(model.good, model.bad)
-        x = np.array([difference(t) for t in utf8_values(texts)], dtype=float)
-        return pa.array(1 / (1 + np.exp(-np.clip(model.slope * x + model.intercept, -30, 30))), pa.float64())
-
-    return score(text)
+    logit = F.lit(model.slope) * _difference(text if isinstance(text, Column) else F.col(text), model.good, model.bad) + F.lit(model.intercept)
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), logit))))
 
 
 def score_documents(docs: DataFrame, model: CompressionModel, threshold: float, id_col: str = "doc_id",

@@ -19,8 +19,10 @@ After a round the bins that are full to ``FULL_SHARE`` are final; the items of
 the others are dealt into new blocks, where they meet items of other blocks.
 The last round keeps all its bins.
 
-Defined results: a null or empty text is one closing id; rows with equal or
-null ids are documents of their own.
+Defined results: a null or empty text is one closing id; texts of any length
+are packed whole; rows with equal or null ids are documents of their own; equal
+lengths (ties) are placed in the order of their numbers; an empty table gives
+no rows; other columns play no part, whatever their names.
 """
 
 from __future__ import annotations

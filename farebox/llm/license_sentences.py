@@ -1,20 +1,24 @@
 """Licence scan by sentence rules, in DataFrame functions alone.
 
-A text is cut into fragments at sentence ends and line ends.  Runs of
-fragments (a sentence may be wrapped over lines, down to a word a line) are
-normalised to lower-case ASCII words and looked up among the known licence
-sentences; at each fragment the longest known run counts.  A run has at most
-as many fragments as the longest known sentence with its first word has words.  The identifiers found, in order,
-are matched against the licence rules, each an ordered list of sentence
-identifiers that must follow one another (other text between them is no
-obstacle).  Of the rules that match a text, those that are part of a longer
-matching rule are left out.
+A text is normalised to its lower-case ASCII words between single blanks, so
+neither punctuation nor line ends matter: a sentence is found however it is
+wrapped, and also within a longer one ("this file is licensed under the MIT
+License").  The known licence sentences are found in it from left to right; at
+each place the sentence of the most words counts, and the search goes on
+behind it.  A sentence may have slots, ``<holder>``, for one to ``SLOT_WORDS``
+words of any kind, as where a licence names its organisation.  A sentence right
+behind "not" or "never" is none.  The identifiers found, in order, are matched
+against the licence rules, each an ordered list of sentence identifiers that
+must follow one another (other text between them is no obstacle).  Of the rules
+that match a text, those that are part of a longer matching rule are left out.
 
 Every known sentence holds one of ``MARKS``, so a text without any of them is
 settled by a substring search, and no row is ever shuffled.
 
 Defined results: a null or empty text has no sentences, rules or licences
-(empty strings); rows with equal or null ids are scanned one by one.
+(empty strings); texts of any length are scanned whole; rows with equal or null
+ids are scanned one by one, so ties cannot arise; an empty table gives no rows;
+other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,14 +29,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RUN = 8  # fragments of a run in the SQL twin only
+SLOT_WORDS = 12
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-FRAGMENT_END = r"[.!?;:]+(?:[ \t\r\n\f]+|$)|\n+"
 NOT_WORD = "[^a-z0-9]+"
-MARKS = ("licens", "reserved", "copyright", "warrant", "permission", "redistribut", "unencumbered")  # single words
+SLOT = re.compile("<[a-z]+>")
+DENIALS = ("not", "never")
+MARKS = ("licens", "reserved", "copyright", "warrant", "permission", "redistribut", "unencumbered", "advertising",
+         "misrepresented", "altered")  # single words
 
-# Sentences of public licences and notices by identifier.
+# Sentences of public licences and notices by identifier; a word
+# in angle brackets is a slot.
 SENTENCES = {
     1: "Released under the MIT License",
     2: "Licensed under the MIT License",
@@ -76,8 +83,43 @@ SENTENCES = {
     29: "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies",
     30: "This is free and unencumbered software released into the public domain",
-    31: "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
-        "products derived from this software without specific prior written permission",
+    31: "Neither the name of <holder> nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission",
+    32: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+        "by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version",
+    33: "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    34: "See the GNU Lesser General Public License for more details",
+    35: "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    36: "See the GNU Affero General Public License for more details",
+    37: "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
+    38: "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    39: "To the extent possible under law, <holder> has waived all copyright and related or neighboring rights",
+    40: "Licensed under CC0 1.0",
+    41: "This software is provided 'as-is', without any express or implied warranty",
+    42: "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+        "alter it and redistribute it freely, subject to the following restrictions",
+    43: "The origin of this software must not be misrepresented",
+    44: "Altered source versions must be plainly marked as such",
+    45: "This notice may not be removed or altered from any source distribution",
+    46: "All advertising materials mentioning features or use of this software must display the following "
+        "acknowledgement: This product includes software developed by",
+    47: "The name of <holder> may not be used to endorse or promote products derived from this software without specific "
+        "prior written permission",
+    48: "This software is provided by <holder> \"as is\" and any express or implied warranties",
+    49: "you can redistribute it and/or modify it under the terms of the Artistic License 2.0",
+    50: "you can redistribute it and/or modify it under the same terms as Perl itself, either license",
+    51: "Licensed under the GNU General Public License, version 2",
+    52: "Licensed under the GNU General Public License, version 3",
+    53: "SPDX-License-Identifier: MIT", 54: "SPDX-License-Identifier: Apache-2.0",
+    55: "SPDX-License-Identifier: BSD-2-Clause", 56: "SPDX-License-Identifier: BSD-3-Clause",
+    57: "SPDX-License-Identifier: GPL-2.0-only", 58: "SPDX-License-Identifier: GPL-2.0-or-later",
+    59: "SPDX-License-Identifier: GPL-3.0-only", 60: "SPDX-License-Identifier: GPL-3.0-or-later",
+    61: "SPDX-License-Identifier: LGPL-2.1-or-later", 62: "SPDX-License-Identifier: LGPL-3.0-or-later",
+    63: "SPDX-License-Identifier: AGPL-3.0-or-later", 64: "SPDX-License-Identifier: MPL-2.0",
+    65: "SPDX-License-Identifier: ISC", 66: "SPDX-License-Identifier: EPL-2.0", 67: "SPDX-License-Identifier: CC0-1.0",
+    68: "SPDX-License-Identifier: Zlib",
 }
 
 # Rules by identifier, (licence, sentences in order).
@@ -92,6 +134,20 @@ RULES = {
     25: ("bsd", (25, 26)), 26: ("bsd-2-clause", (25, 26, 27)), 27: ("bsd-2-clause", (24, 25, 26, 27)),
     28: ("mpl-2.0", (28,)), 29: ("isc", (29,)), 30: ("unlicense", (30,)),
     31: ("bsd-3-clause", (25, 26, 27, 31)), 32: ("bsd-3-clause", (24, 25, 26, 27, 31)),
+    33: ("bsd-3-clause", (25, 26, 27, 47)), 34: ("bsd-3-clause", (24, 25, 26, 27, 47)),
+    35: ("bsd-4-clause", (25, 26, 27, 46, 31)), 36: ("bsd-4-clause", (24, 25, 26, 27, 46, 31)),
+    37: ("bsd-4-clause", (25, 26, 27, 46, 47)), 38: ("bsd-4-clause", (24, 25, 26, 27, 46, 47)),
+    39: ("lgpl-2.1-or-later", (32,)), 40: ("lgpl-2.1-or-later", (32, 16, 34)),
+    41: ("lgpl-3.0-or-later", (33,)), 42: ("lgpl-3.0-or-later", (33, 16, 34)),
+    43: ("agpl-3.0-or-later", (35,)), 44: ("agpl-3.0-or-later", (35, 16, 36)),
+    45: ("epl-1.0", (37,)), 46: ("epl-2.0", (38,)), 47: ("cc0-1.0", (39,)), 48: ("cc0-1.0", (40,)),
+    49: ("zlib", (41, 42)), 50: ("zlib", (42, 43)), 51: ("zlib", (41, 42, 43)), 52: ("zlib", (41, 42, 43, 44)),
+    53: ("zlib", (41, 42, 43, 44, 45)), 54: ("artistic-2.0", (49,)), 55: ("perl", (50,)),
+    56: ("gpl-2.0", (51,)), 57: ("gpl-3.0", (52,)), 58: ("mit", (53,)), 59: ("apache-2.0", (54,)),
+    60: ("bsd-2-clause", (55,)), 61: ("bsd-3-clause", (56,)), 62: ("gpl-2.0", (57,)), 63: ("gpl-2.0-or-later", (58,)),
+    64: ("gpl-3.0", (59,)), 65: ("gpl-3.0-or-later", (60,)), 66: ("lgpl-2.1-or-later", (61,)),
+    67: ("lgpl-3.0-or-later", (62,)), 68: ("agpl-3.0-or-later", (63,)), 69: ("mpl-2.0", (64,)), 70: ("isc", (65,)),
+    71: ("epl-2.0", (66,)), 72: ("cc0-1.0", (67,)), 73: ("zlib", (68,)),
 }
 
 
@@ -100,29 +156,31 @@ def normalised(sentence: str) -> str:
     return re.sub(NOT_WORD, " ", sentence.lower()).strip()
 
 
-KNOWN = {normalised(s): i for i, s in SENTENCES.items()}
-MOST_WORDS = {w: max(len(s.split()) for s in KNOWN if s.split()[0] == w) for w in sorted({s.split()[0] for s in KNOWN})}
-PATTERNS = {r: " " + " ".join(map(str, ids)) + " " for r, (_, ids) in RULES.items()}
+def pattern_of(sentence: str) -> str:
+    """A known sentence as a pattern over normalised text (in the common ground of Java's and RE2's syntax)."""
+    return f" (?:[a-z0-9]+ ){{1,{SLOT_WORDS}}}?".join(normalised(part) for part in SLOT.split(sentence))
 
 
-def _fragments(text: Column) -> Column:
-    """Normalised fragments of a text, none empty."""
-    words = lambda x: F.trim(F.regexp_replace(F.translate(x, UPPER, LOWER), NOT_WORD, " "))
-    return F.filter(F.transform(F.split(text, FRAGMENT_END, -1), words), lambda x: x != "")
+# Most words first, as the first alternative that fits is taken.
+ORDERED = sorted(SENTENCES, key=lambda i: (-len(normalised(SENTENCES[i]).split()), i))
+SEARCH = (rf"\b(?:(?:{'|'.join(DENIALS)}) )?(?:" + "|".join(pattern_of(SENTENCES[i]) for i in ORDERED) + r")\b")
+EXACT = {normalised(s): i for i, s in SENTENCES.items() if not SLOT.search(s)}
+SLOTTED = {i: f"^{pattern_of(SENTENCES[i])}$" for i in ORDERED if SLOT.search(SENTENCES[i])}
+PATTERNS = {r: " " + " ".join(map(str, ids)) + " " for r, (_, ids) in RULES.items()}
 
 
-def _sentence_ids(fragments: Column) -> Column:
-    """Identifiers of the known sentences in order."""
-    known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    most = F.create_map(*[F.lit(x) for pair in MOST_WORDS.items() for x in pair])
+def _sentence_ids(text: Column) -> Column:
+    """Identifiers of the known sentences of a text in order."""
+    words = F.regexp_replace(F.translate(text, UPPER, LOWER), NOT_WORD, " ")
+    known = F.create_map(*[F.lit(x) for pair in EXACT.items() for x in pair])
 
-    def longest_at(start: Column) -> Column:
-        words = F.try_element_at(most, F.substring_index(F.get(fragments, start - 1), " ", 1))
-        runs = F.sequence(F.lit(1), F.least(words, F.size(fragments) - start + 1))
-        ids = F.transform(runs, lambda n: F.try_element_at(known, F.array_join(F.slice(fragments, start, n), " ")))
-        return F.when(words.isNotNull(), F.try_element_at(F.filter(ids, lambda x: x.isNotNull()), F.lit(-1)))
+    def identified(sentence: Column) -> Column:
+        slotted = F.lit(None).cast("int")
+        for i, pattern in reversed(SLOTTED.items()):  # the first that fits is applied last
+            slotted = F.when(sentence.rlike(pattern), i).otherwise(slotted)
+        return F.coalesce(F.try_element_at(known, sentence), slotted)  # a denied one is neither
 
-    return F.filter(F.transform(F.sequence(F.lit(1), F.size(fragments)), longest_at), lambda x: x.isNotNull())
+    return F.filter(F.transform(F.regexp_extract_all(words, F.lit(SEARCH), F.lit(0)), identified), lambda x: x.isNotNull())
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,8 +190,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     marked = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(m)) for m in MARKS])
     # Step by step, so that each array is computed once a row.
     rows = docs.select(F.col(id_col), F.when(marked, F.col(text_col)).alias("_text"))
-    rows = rows.select(id_col, F.when(F.col("_text").isNotNull(), _fragments(F.col("_text"))).alias("_fragments"))
-    rows = rows.select(id_col, F.when(F.size("_fragments") > 0, _sentence_ids(F.col("_fragments"))).alias("_ids"))
+    rows = rows.select(id_col, F.when(F.col("_text").isNotNull(), _sentence_ids(F.col("_text"))).alias("_ids"))
     joined = F.array_join(F.transform("_ids", lambda x: x.cast("string")), " ")
     rows = rows.select(id_col, F.coalesce(F.size("_ids"), F.lit(0)).alias("n_sentences"),
                        F.coalesce(joined, F.lit("")).alias("sentence_ids"))
@@ -153,23 +210,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def oracle_sql() -> str:
     """The same scan in DuckDB SQL, without the substring search before it."""
-    known = ", ".join(f"({i}, '{s}')" for s, i in KNOWN.items())
+    known = ", ".join(f"({i}, '{s}')" for s, i in EXACT.items())
+    slots = " ".join(f"WHEN regexp_matches(sentence, '{p}') THEN {i}" for i, p in SLOTTED.items())
     rules = ", ".join(f"({r}, '{RULES[r][0]}', '{p}')" for r, p in PATTERNS.items())
     return f"""
-WITH known(id, sentence) AS (VALUES {known}),
+WITH known(id, exact) AS (VALUES {known}),
 rules(rule, licence, pattern) AS (VALUES {rules}),
 docs AS (SELECT row_number() OVER () AS n, doc_id, text FROM documents),
-cut AS (
-    SELECT n, [w FOR w IN [trim(regexp_replace(translate(x, '{UPPER}', '{LOWER}'), '{NOT_WORD}', ' ', 'g'))
-                           FOR x IN string_split_regex(coalesce(text, ''), '{FRAGMENT_END}')] IF w <> ''] AS f
-    FROM docs
+sentences AS (
+    SELECT n, unnest(s) AS sentence, unnest(range(1, len(s) + 1)) AS p
+    FROM (SELECT n, regexp_extract_all(regexp_replace(translate(text, '{UPPER}', '{LOWER}'), '{NOT_WORD}', ' ', 'g'),
+                                       '{SEARCH}') AS s FROM docs WHERE text IS NOT NULL)
 ),
-starts AS (SELECT n, f, unnest(range(1, len(f) + 1)) AS p FROM cut),
-runs AS (SELECT n, p, r, array_to_string(f[p:p + r - 1], ' ') AS sentence
-         FROM starts, (SELECT unnest(range(1, {MAX_RUN + 1})) AS r) WHERE p + r - 1 <= len(f)),
-hits AS (SELECT n, p, arg_max(id, r) AS id FROM runs JOIN known USING (sentence) GROUP BY n, p),
+hits AS (SELECT n, p, coalesce(id, CASE {slots} END) AS id FROM sentences LEFT JOIN known ON sentence = exact),
 found AS (SELECT n, count(*) AS n_sentences, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY p) AS sentence_ids
-          FROM hits GROUP BY n),
+          FROM hits WHERE id IS NOT NULL GROUP BY n),
 met AS (SELECT n, rule, licence, pattern FROM found JOIN rules ON contains(' ' || sentence_ids || ' ', pattern)),
 whole AS (SELECT n, rule, licence FROM met m WHERE NOT EXISTS (
     SELECT 1 FROM met o WHERE o.n = m.n AND contains(o.pattern, m.pattern) AND length(o.pattern) > length(m.pattern))),

@@ -13,8 +13,9 @@
    rule out.  The bound is exact: with shingles that at most ``RARE`` open
    documents have left out, the overlap of a pair that shares none of these is
    at most the smaller count of the others; pairs that do share one are found
-   by it.  So every candidate pair either is compared or already lies in one
-   component.
+   by it.  Members that this bound keeps from every other one of their bucket
+   drop out before any pair is made.  So every candidate pair either is
+   compared or already lies in one component.
 4. A link is confirmed on the full shingle sets, never on signatures.
 5. Components by alternating large-star and small-star.
 
@@ -23,9 +24,11 @@ probability 5e-5, and at 0.9 practically never.  Signatures rule out a pair
 only more than five standard errors below the threshold.
 
 Defined results: a null or empty text has no shingles, links with nothing and
-is kept; a text with fewer words than a shingle is one shingle; rows with a
-null id link with nothing, have a null component and are kept; rows with equal
-ids count as one document that has the links of all of them.
+is kept; a text with fewer words than a shingle is one shingle; texts of any
+length count whole; rows with a null id link with nothing, have a null
+component and are kept; rows with equal ids count as one document that has the
+links of all of them; ties cannot arise, as the smallest id leads; an empty
+table gives no rows; other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,6 +54,7 @@ PERMUTATIONS = ROWS * BANDS
 MAX_PIVOT_ROUNDS = 8
 PAYING_SHARE = 0.02  # of a round's comparisons that must give links for another round
 RARE = 16
+COPY_PARTS = 64
 # Share of equal minima below which a pair is ruled out: the threshold less
 # five standard errors of the estimate.
 SIGNATURE_MARGIN = 5 * (0.8 * 0.2 / PERMUTATIONS) ** 0.5
@@ -159,15 +163,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: i
     return pairs.mapInArrow(lambda batches: _signatures(batches, words_per_shingle), SIGNATURE_SCHEMA)
 
 
-def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int) -> DataFrame:
-    """(id, items): the full shingle set of each document."""
+def _shingle_sets(texts: DataFrame, words_per_shingle: int) -> DataFrame:
+    """(id, items): the full shingle set of each (id, text)."""
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def items(texts: pa.Array) -> pa.Array:
         shingler = Shingler(words_per_shingle)
         return pa.array([shingler(t).view(np.int64) for t in utf8_values(texts)], pa.list_(pa.int64()))
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), items(F.col(text_col)).alias("items"))
+    return texts.select("id", items("text").alias("items"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold_percent: int) -> DataFrame:
@@ -197,9 +201,9 @@ def class_links(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = materialise(banded.join(shared.hint("merge"), "key"), "minhash-members")
     wanted = members.select("id").distinct()
-    found = lookup_join(docs.where(F.col(id_col).isNotNull()), materialise(wanted, "minhash-wanted")
-                        .select(F.col("id").alias("_wanted")), F.col(id_col) == F.col("_wanted"), how="left_semi")
-    sets = materialise(_shingle_sets(found, id_col, text_col, words_per_shingle), "minhash-sets")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
+    found = lookup_join(texts, materialise(wanted, "minhash-wanted"), ["id"], how="left_semi")
+    sets = materialise(_shingle_sets(found, words_per_shingle), "minhash-sets")
 
     empty = spark.createDataFrame([], "x long, y long")
     links, tested, labels = empty, empty, None
@@ -270,6 +274,23 @@ def _rare_shingles(ids: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFram
     return cores, sharing
 
 
+def _can_reach(members: DataFrame, threshold_percent: int) -> DataFrame:
+    """The members (key, id, n_shingles, core, ...) that by their cores alone may
+    reach the threshold with some member of their bucket.
+
+    An overlap m of cores needs m (100 + T) >= T (x + y) for sets of x and y
+    shingles.  No set is smaller than m over the largest share that a core has
+    in the bucket, and the left side grows faster in m, so x's whole core
+    decides.  Texts of one template with too much of their own drop out here,
+    before any pair is made; they can only link by a rarer shingle.
+    """
+    share = F.col("core") / F.col("n_shingles")
+    fullest = members.groupBy("key").agg(F.max(share).alias("fullest"))
+    t = float(threshold_percent)
+    reach = F.col("core") * (100 + t - t / F.col("fullest")) * (1 + 1e-9)  # above any rounding
+    return members.join(fullest.hint("merge"), "key").where(reach >= t * F.col("n_shingles")).drop("fullest")
+
+
 def _remaining_pairs(open_members: DataFrame, major: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame,
                      threshold_percent: int) -> DataFrame:
     """Untested pairs of different components that share a bucket, less those
@@ -278,10 +299,11 @@ def _remaining_pairs(open_members: DataFrame, major: DataFrame, classes: DataFra
     members = (open_members.join(cores.hint("merge"), "id").join(major.select("key", "major").hint("merge"), "key")
                .select("key", "id", "n_shingles", "component", "core", "major"))
     members = materialise(members, "minhash-open")
-    x = members.where("component != major").select(
+    able = materialise(_can_reach(members, threshold_percent), "minhash-able")
+    x = able.where("component != major").select(
         "key", F.col("id").alias("x"), F.col("n_shingles").alias("x_n"), F.col("core").alias("x_core"),
         F.col("component").alias("x_c"), "major")
-    y = members.select("key", F.col("id").alias("y"), F.col("n_shingles").alias("y_n"), F.col("core").alias("y_core"),
+    y = able.select("key", F.col("id").alias("y"), F.col("n_shingles").alias("y_n"), F.col("core").alias("y_core"),
                        F.col("component").alias("y_c"))
     most = F.least("x_core", "y_core")
     by_bucket = (x.hint("merge").join(y, "key")
@@ -312,10 +334,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linkable = signed.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     # Equal sets have equal minima and bands, so any row's will do.
     leaders = linkable.groupBy("n_shingles", "print").agg(F.min("id").alias("id"))
-    to_leader = (linkable.select("n_shingles", "print", F.col("id").alias("member"))
-                 .join(leaders.hint("merge"), ["n_shingles", "print"]).where(F.col("member") != F.col("id"))
-                 .select(F.col("member").alias("x"), F.col("id").alias("y")).distinct())
-    to_leader = materialise(to_leader, "minhash-copies")
+    # A group of copies may hold a third of all rows: its members are dealt into
+    # parts, each links with the part's smallest id, and these with the leader.
+    dealt = linkable.select("n_shingles", "print", F.pmod(F.xxhash64("id"), F.lit(COPY_PARTS)).alias("part"), "id")
+    firsts = dealt.groupBy("n_shingles", "print", "part").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    firsts = materialise(firsts, "minhash-parts")
+    many = firsts.where("first != last").select("n_shingles", "print", "part", "first")
+    to_first = dealt.join(many.hint("merge"), ["n_shingles", "print", "part"]).select(F.col("id").alias("x"), F.col("first").alias("y"))
+    to_leader = firsts.join(leaders.hint("merge"), ["n_shingles", "print"]).select(F.col("first").alias("x"), F.col("id").alias("y"))
+    to_leader = materialise(to_first.union(to_leader).where("x != y").distinct(), "minhash-copies")
     classes = (linkable.join(leaders.select("n_shingles", "print", "id").hint("merge"), ["n_shingles", "print", "id"],
                              "left_semi").dropDuplicates(["n_shingles", "print", "id"])
                .select("id", "n_shingles", "minima", "bands"))

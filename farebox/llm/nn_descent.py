@@ -33,7 +33,9 @@ Defined results: a vector that is null, empty, zero or has a null or
 non-finite component has no links; vectors of different lengths do not link,
 and each length is searched by itself; a null id counts as a vector (its component is that
 of the smallest id, or null); rows with equal ids are vectors of their own
-that share an id.
+that share an id; vectors of any length count whole; pairs at exactly the
+threshold are links, and of equal cosines (ties) all are; an empty table gives
+no rows; other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ SEED = 11
 BALL_CANDIDATES = 4  # balls, and random vectors, that a code's vectors are compared with
 MIN_BALL = 32
 CENTRE_SAMPLE = 32
-CODE_ROWS = 16  # rows a code holds on average in the first search
+CODE_ROWS = 256  # rows a code holds on average in the first search
 TABLES = 8  # at least
 MEET = 0.999  # probability that two vectors at the threshold share a code in a search
 BLOCK_ROWS = 512  # rows of a block; two blocks at most are compared in one run

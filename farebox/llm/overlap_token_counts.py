@@ -15,8 +15,10 @@ boundary, the document is cut again with wider overlaps, at last as one chunk.
 So a count is exactly that of the whole text, and a task holds chunks, not
 whole documents' encodings.
 
-Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows
-are counted once and returned as often as they occur; a null id stays null.
+Defined results: a null or empty text has 0 bytes and 0 tokens; texts of any
+length count whole; repeated rows are counted once and returned as often as
+they occur (so ties cannot arise); a null id stays null; an empty table gives
+no rows; other columns play no part, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,8 +12,10 @@ The library's normaliser and pre-tokenizer cut texts into words, so special
 strings inside texts and Unicode are handled as it handles them.
 
 Defined results: a null or empty text has no ids and decodes to the empty
-text; rows are encoded one by one, so repeated rows give equal results and a
-null id stays null.
+text; texts of any length are encoded whole; rows are encoded one by one, so
+repeated rows give equal results and a null id stays null; of equal pairs (ties
+of rank) the leftmost merges first; an empty table gives no rows; other columns
+play no part, whatever their names.
 """
 
 from __future__ import annotations

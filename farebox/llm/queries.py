@@ -36,7 +36,9 @@ def held_out(rest: Column) -> Column:
 
 @register("op1_compression_bands")
 def op1_compression_bands(spark, sf_dir):
-    return compression_bands.quality_report(read_table(spark, sf_dir, "documents"))
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    bands = compression_bands.fit_bands(docs, labels.where("quality = 1"))
+    return compression_bands.quality_report(docs, bands)
 
 
 @register("op7_minhash_dedup")

@@ -122,6 +122,61 @@ def test_overlap_bound_of_repeated_rows(spark):
     assert (30, 31) in {tuple(r) for r in sharing.collect()}
 
 
+CLASHES = ["_wanted", "id", "x", "y", "key", "component", "n_shingles", "minima", "print", "near_duplicate", "part", "first", "items"]
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "a text of some words that is repeated here", *["c"] * len(CLASHES)) for i in (4, 3, 9)],
+                                 "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASHES))
+    assert sorted(tuple(r) for r in md.near_duplicates(docs, words_per_shingle=4).collect()) == [
+        (3, 6, 3, True), (4, 6, 3, False), (9, 6, 3, False)]
+    out = md.drop_near_duplicates(docs)
+    assert out.columns == docs.columns and [r.doc_id for r in out.collect()] == [3]
+
+
+def test_large_group_of_copies_is_dealt(spark):
+    """A third of the rows are one text: no key of a join or group holds them all."""
+    rows = [(i, "the very same words in every one of these texts") for i in range(0, 900, 3)]
+    rows += [(i, f"words of its own {i} {i * 7} {i * 13} {i * 17} and {i * 31} more") for i in range(900) if i % 3]
+    assert result(spark, rows, 4) == brute(rows, 4)
+
+
+def test_template_texts_make_no_pairs(spark):
+    """20,000 texts in one bucket whose common part alone is not enough: none is left to pair."""
+    rows = spark.range(20_000).selectExpr("7L AS key", "id", "100L AS n_shingles", "id AS component", "86L AS core")
+    assert md._can_reach(rows, 80).count() == 0
+    # one that is nearly all template may reach those that are nearly so, too
+    mixed = rows.where("id < 50").unionByName(rows.where("id >= 50 AND id < 53").selectExpr(
+        "key", "id", "90L AS n_shingles", "component", "88L AS core"))
+    able = {r.id for r in md._can_reach(mixed, 80).collect()}
+    bound = [100 * min(a, b) >= 80 * (x + y - min(a, b)) for a, x in ((86, 100), (88, 90)) for b, y in ((86, 100), (88, 90))]
+    assert bound == [False, True, True, True] and able >= {50, 51, 52}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_no_member_that_can_link_is_left_out(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(400):
+        n = rng.randint(5, 60)
+        rows.append((i % 7, i, n, i, rng.randint(int(n * rng.choice([0, 0.5, 0.8])), n)))
+    able = {(r.key, r.id) for r in md._can_reach(spark.createDataFrame(rows, "key long, id long, n_shingles long, component long, core long"), 80).collect()}
+    for k, a, x, _, p in rows:
+        if any(k == j and a != b and 100 * min(p, q) >= 80 * (x + y - min(p, q)) for j, b, y, _, q in rows):
+            assert (k, a) in able
+
+
+def test_template_corpus(spark):
+    rng = random.Random(17)
+    base = [f"t{k}" for k in range(90)]
+    rows = [(i, " ".join(base + [f"own{i}w{k}" for k in range(14)])) for i in range(1500)]
+    rows += [(5000 + i, " ".join(base + [f"pair{i // 2}w{k}" for k in range(14)] + [f"z{i}"])) for i in range(20)]
+    rng.shuffle(rows)
+    out = {r.doc_id: r.component_id for r in md.near_duplicates(spark.createDataFrame(
+        [(i, t, "", "") for i, t in rows], SCHEMA), words_per_shingle=4).collect()}
+    assert all(out[i] == i for i in range(1500)) and all(out[5000 + i] == 5000 + i // 2 * 2 for i in range(20))
+
+
 def test_query_matches_sql(spark):
     from farebox.llm import queries
     from tests.conftest import SF_SMALL

@@ -133,6 +133,45 @@ def test_all_neighbours_of_a_hub_and_of_a_code_meet(spark, monkeypatch):
     assert want <= got
 
 
+def test_descent_finds_what_the_seeds_leave(spark, monkeypatch):
+    """Groups too loose for balls, seeded by one table of short codes: the links come from neighbours of neighbours."""
+    monkeypatch.setattr(nn, "_tables", lambda bits, threshold: 1)
+    monkeypatch.setattr(nn, "CODE_ROWS", 4)
+    rng = np.random.default_rng(14)
+    vecs = []
+    for _ in range(12):
+        centre = rng.standard_normal(24)
+        centre /= np.linalg.norm(centre)
+        vecs += [centre + 0.052 * rng.standard_normal(24) for _ in range(60)]
+    m = np.array(vecs) / np.linalg.norm(vecs, axis=1, keepdims=True)
+    links = {(a, b) for a, b in zip(*np.nonzero(m @ m.T >= 0.95)) if a != b}
+    assert 3000 < len(links) < 12 * 60 * 59  # loose: not all pairs of a group
+    nodes = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vecs)], "node long, vec array<double>")
+    seeds = nn._block_search(nodes, len(vecs), 24, 1, 0.95, 0.95).withColumn("fresh", nn.F.lit(True))
+    share = lambda lists: len({(r.u, r.v) for r in lists.collect()} & links) / len(links)
+    plain = nn._lists(seeds, 0.95)
+    assert share(plain) < 0.6 and share(nn._descend(seeds, nodes, 1, 0.95)) > 0.98
+
+
+def test_given_vectors_with_planted_copies_match_sql(spark, tmp_path):
+    """The given vectors hold no link; a part of them again, near and exact, does."""
+    given = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF_MID}/embeddings.parquet").collect()]
+    rng = np.random.default_rng(15)
+    rows = list(given)
+    for k, (i, v, label) in enumerate(given[:150]):
+        for c in range(k % 4):
+            noise = rng.standard_normal(len(v)) * np.linalg.norm(v) / math.sqrt(len(v))
+            rows.append((10_000 + 10 * k + c, (np.array(v) + [0, 0.1, 0.3][c] * noise).tolist(), label))
+    rows += [(90_000 + k, given[200][1], 1) for k in range(60)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duck(SF_MID)
+    con.execute(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    name = "op2_nn_descent"
+    ok, msg = compare(spark, con, name, queries.LLM_QUERIES[name], queries.LLM_ORACLE[name], str(tmp_path))
+    assert ok, msg
+    assert queries.LLM_QUERIES[name](spark, str(tmp_path)).where("n_links > 0").count() > 300
+
+
 def test_every_length_is_searched(spark):
     rows = [(k, [1.0, 0.01 * k, 0.0]) for k in range(4)] + [(9, [1.0, 0.0]), (8, [2.0, 0.0]), (7, [0.0, 1.0]), (6, [1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
