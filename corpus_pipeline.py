@@ -18,8 +18,10 @@ from farebox.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the compression bands keep."""
-    return compression_bands.keep_good(docs)
+    """Documents that the base rules and the compression bands keep; the bands
+    are fitted on documents of the tables that are labelled good."""
+    trusted = read_table(spark, sf_dir, "labels").where("quality = 1")
+    return compression_bands.keep_good(docs, compression_bands.fit_bands(read_table(spark, sf_dir, "documents"), trusted))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,7 +64,7 @@ def delete_scratch(spark: SparkSession) -> None:
 
 
 # Settings for a large cluster, applied by the application at submit time
-# (the library never changes a running session).  Static broadcasts from file
+# (the trip queries never change a running session).  Static broadcasts from file
 # size estimates are off; AQE still broadcasts a join side whose *measured*
 # shuffle output is small, coalesces small shuffles and splits skewed joins.
 CLUSTER_CONF = {
