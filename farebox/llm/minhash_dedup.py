@@ -287,8 +287,10 @@ def _can_reach(members: DataFrame, threshold_percent: int) -> DataFrame:
     share = F.col("core") / F.col("n_shingles")
     fullest = members.groupBy("key").agg(F.max(share).alias("fullest"))
     t = float(threshold_percent)
-    reach = F.col("core") * (100 + t - t / F.col("fullest")) * (1 + 1e-9)  # above any rounding
-    return members.join(fullest.hint("merge"), "key").where(reach >= t * F.col("n_shingles")).drop("fullest")
+    # Both sides times the largest share, which may be 0; above any rounding.
+    reach = F.col("core") * ((100 + t) * F.col("fullest") - t) * (1 + 1e-9)
+    able = (F.col("core") > 0) & (reach >= t * F.col("n_shingles") * F.col("fullest"))
+    return members.join(fullest.hint("merge"), "key").where(able).drop("fullest")
 
 
 def _remaining_pairs(open_members: DataFrame, major: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame,

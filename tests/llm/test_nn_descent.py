@@ -134,9 +134,9 @@ def test_all_neighbours_of_a_hub_and_of_a_code_meet(spark, monkeypatch):
 
 
 def test_descent_finds_what_the_seeds_leave(spark, monkeypatch):
-    """Groups too loose for balls, seeded by one table of short codes: the links come from neighbours of neighbours."""
-    monkeypatch.setattr(nn, "_tables", lambda bits, threshold: 1)
-    monkeypatch.setattr(nn, "CODE_ROWS", 4)
+    """Groups too loose for balls, seeded by two tables of long codes: the links come from neighbours of neighbours."""
+    monkeypatch.setattr(nn, "_tables", lambda bits, threshold: 2)
+    monkeypatch.setattr(nn, "CODE_ROWS", 2)
     rng = np.random.default_rng(14)
     vecs = []
     for _ in range(12):
@@ -150,7 +150,7 @@ def test_descent_finds_what_the_seeds_leave(spark, monkeypatch):
     seeds = nn._block_search(nodes, len(vecs), 24, 1, 0.95, 0.95).withColumn("fresh", nn.F.lit(True))
     share = lambda lists: len({(r.u, r.v) for r in lists.collect()} & links) / len(links)
     plain = nn._lists(seeds, 0.95)
-    assert share(plain) < 0.6 and share(nn._descend(seeds, nodes, 1, 0.95)) > 0.98
+    assert share(plain) < 0.7 and share(nn._descend(seeds, nodes, 1, 0.95)) > 0.97
 
 
 def test_given_vectors_with_planted_copies_match_sql(spark, tmp_path):
