@@ -16,7 +16,8 @@ Prints one JSON line.  Steps:
   line items, orders, customers and suppliers).
 * ``q2_sql_csv``, ``q3_sql``, ``q3_sql_csv``, ``q5_csv`` and ``q6_csv_32`` /
   ``_64`` / ``_128`` (shuffle partitions) -- the other timed forms.
-* ``big_*`` -- Q2 and Q5 over ``$BENCH_COPIES`` shifted copies of the trips
+* ``q4_stored_hour`` -- Q4 over a table converted with its pickup hour.
+* ``big_*`` -- Q2, Q5 and Q6 over ``$BENCH_COPIES`` shifted copies of the trips
   (millions of rows), two timed runs each, so that plan changes show.
 
 ``value`` is the sum of the Q1-Q6 medians (``q1``, ``q2``, ``q2_sql``, ``q3``,
@@ -48,6 +49,7 @@ def main() -> None:
     # folder only if none is configured; see farebox.session.checkpoint_root).
     spark = local_session("farebox-bench", cores=cpus, shuffle_partitions=int(cpus))
 
+    from farebox.functions.temporal import hour_name, with_stored_hour
     from farebox.plans import q1, q2
     from farebox.plans import zones as zq
     from farebox.sinks.writers import write_parquet
@@ -67,6 +69,8 @@ def main() -> None:
     timings["prepare"] = time.perf_counter() - t0
 
     geo = spark.read.parquet(geo_path)
+    geo_hours = spark.read.parquet(write_parquet(with_stored_hour(geo, "tpep_pickup_datetime"), scratch_path(spark, "geo_hours"),
+                                                 cluster=hour_name("tpep_pickup_datetime")))
     loc = spark.read.parquet(loc_path)
     zones = spark.read.parquet(zones_path)
     geo_csv = rawfiles.write_geo_csv(spark, sf_dir)
@@ -93,6 +97,7 @@ def main() -> None:
         "q2_sql": lambda: q2.longest_sql(spark, geo),
         "q3": lambda: zq.same_borough(loc, zones),
         "q4": lambda: zq.night_trips_sql(spark, geo),
+        "q4_stored_hour": lambda: zq.night_trips_sql(spark, geo_hours),
         "q5": lambda: zq.top_zone_pairs(loc, zones),
         "q6": lambda: zq.revenue_by_borough(loc, zones),
         "q3_csv": lambda: zq.same_borough(read_csv_inferred(spark, loc_csv), read_csv_inferred(spark, zones_csv)),
@@ -135,6 +140,7 @@ def main() -> None:
         "big_q2_window": lambda: q2.longest_window(big_geo),
         "big_q2_sql": lambda: q2.longest_sql(spark, big_geo),
         "big_q5": lambda: zq.top_zone_pairs(big_loc, zones),
+        "big_q6": lambda: zq.revenue_by_borough(big_loc, zones),
     }
     for name, build in big.items():
         samples = []

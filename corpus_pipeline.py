@@ -3,6 +3,16 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet and read again as the
 next stage's ``docs``.  All but the last return the columns of ``documents``.
+
+Defined results: a null or empty text fails the quality rules and goes there;
+texts of any length are judged, compared and packed whole; rows with a null id
+are judged like others, are no one's near-duplicate and are packed; repeated
+rows (same id) count as one document for near-duplicates, so all of them stay
+or go together, and each is packed; of a group of near-duplicates the smallest
+id stays, so ties cannot arise; extra columns of any name pass through all
+stages but the last, which has columns of its own; an empty table gives no
+rows, and without labels the classifier and the bands keep what their
+docstrings say.
 """
 
 from __future__ import annotations

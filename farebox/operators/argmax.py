@@ -11,10 +11,9 @@ All forms are lazy: building one starts no job, and its result is that of the
 source at the time of the action.  The first two share one idea: the least of
 all per-key maxima is a single number, a scalar subquery that Spark runs
 before the second scan, and no row below it can be a maximum of any key.  What
-is left of the input is close to the result, so the aggregate or join behind
-it moves few rows, and AQE picks the join from their real size.  With many
-keys of very different maxima the number rules out less and the join stays a
-sort-merge join; the result is the same.
+is left of the input is close to the result, so the aggregate or sort-merge
+join behind it moves few rows.  With many keys of very different maxima the
+number rules out less; the result is the same.
 
 ``at_most`` may give an upper bound of ``value`` that is cheaper to compute:
 rows whose bound is below the number are dropped before the value is needed.
@@ -82,7 +81,8 @@ def argmax_ties(df: DataFrame, keys, value: str, columns: list[str], method: str
         reached = F.col(value) == F.col("_max_value")
         for i, k in enumerate(ks):
             reached = reached & (F.col(k) == F.col(f"_max_key_{i}"))
-        return near_maximum(keyed_rows, per_key, value, at_most).join(best, reached).select(*columns)
+        # Neither side has a proven bound: no broadcast from an estimate; AQE splits a value that many rows tie at.
+        return near_maximum(keyed_rows, per_key, value, at_most).join(best.hint("merge"), reached).select(*columns)
     # Nulls sort last, so a null value reaches rank 1 only when the key has no
     # value at all; that row is dropped after the window.
     w = Window.partitionBy(*ks).orderBy(F.col(value).desc_nulls_last())

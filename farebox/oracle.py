@@ -391,3 +391,8 @@ FROM events GROUP BY 1""",
     "q4_night_converted": Q4,
     "q6_merged_months": Q6,
 }
+
+JOB_RESULTS = {"q1": Q1, "q1-udf": Q1, "q1-text": Q1, "q2": Q2_WINDOW, "q2-sql": Q2_SQL, "q2-text": Q2_TEXT, "q3": Q3, "q3-sql": Q3,
+               "q4": Q4, "q5": Q5, "q6": Q6}
+ORACLE["jobs_all_udf"] = "\nUNION ALL ".join(
+    f"SELECT '{job}' AS job, count(*) AS rows FROM ({sql}) AS r" for job, sql in JOB_RESULTS.items())

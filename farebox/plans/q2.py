@@ -72,7 +72,7 @@ near AS (
     SELECT VendorID, haversine_km, duration_min FROM {trips}
     WHERE km_at_most >= (SELECT MIN(km) FROM peak) AND haversine_km >= (SELECT MIN(km) FROM peak)
 )
-SELECT VendorID,
+SELECT /*+ MERGE(peak) */ VendorID,
        CAST(ROUND(haversine_km, 2) AS DOUBLE) AS `Max Haversine Distance (km)`,
        CAST(ROUND(duration_min, 1) AS DOUBLE) AS `Duration (min)`
 FROM near JOIN peak ON VendorID = vendor AND haversine_km = km

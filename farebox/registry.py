@@ -6,11 +6,13 @@ its SQL twin in ``farebox.oracle``."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from farebox import jobs
 from farebox.functions.format import VENDOR_RECORD, csv_record, fixed_record, vendor_line
 from farebox.functions.geo import haversine_km_asin, haversine_km_atan2, nonzero_points
 from farebox.functions.parse import fields, to_double, to_int, to_wall_clock
@@ -623,6 +625,27 @@ def q6_merged_months(spark, sf):
     return _r_money(zq.revenue_by_borough(read_merged(spark, _months(spark, sf)), _zones(spark, sf)))
 
 
+# Job, its input file, and whether it needs the zones.
+JOB_INPUTS = [("q1", "geo", False), ("q1-udf", "geo", False), ("q1-text", "geo", False), ("q2", "geo", False), ("q2-sql", "geo", False),
+              ("q2-text", "geo", False), ("q3", "loc", True), ("q3-sql", "loc", True), ("q4", "geo", False), ("q5", "loc", True),
+              ("q6", "loc", True)]
+
+
+@register("jobs_all_udf")
+def jobs_all_udf(spark, sf):
+    """Every command-line job over the raw files: rows of what it wrote below a run-scoped folder."""
+    files = {"geo": rawfiles.write_geo_csv(spark, sf), "loc": rawfiles.write_loc_csv(spark, sf)}
+    counts = []
+    for job, trips, zones in JOB_INPUTS:
+        named = ["--zones", rawfiles.write_zones_csv(spark, sf)] if zones else []
+        args = jobs.parse_args([job, "--trips", files[trips], *named, "--out", f"{scratch_path(spark, 'jobs')}/{job}", "--run-scoped",
+                                "--show", "0"])
+        out = jobs.run(spark, args)
+        written = spark.read.text(out) if job.endswith("-text") else spark.read.csv(out, header=True)
+        counts.append(written.agg(F.lit(job).alias("job"), F.count(F.lit(1)).alias("rows")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 SHUFFLE_PARTITION_SETTINGS = (8, 32, 64, 128)
 
 

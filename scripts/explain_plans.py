@@ -19,6 +19,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+PICKUP = "tpep_pickup_datetime"
+
 NOTES = {
     "Q1 hourly means": "Three pruned columns; the zero-coordinate test is pushed into the Parquet reader. Partial "
     "average per task, so the shuffle carries at most 25 rows per task (24 hours + null); the final sort is over "
@@ -26,24 +28,26 @@ NOTES = {
     "Q2 longest trip, window": "Each task sorts its own rows and keeps one per vendor (partial `WindowGroupLimit`) "
     "before the shuffle, so a vendor holding a third of all trips still sends one row per task. Ties broken by "
     "minutes.",
-    "Q2 longest trip": "The per-vendor maxima (a hash aggregate, read before this plan is built: at most 10,000 "
-    "rows, else they are checkpointed and size-checked) are broadcast, every task filters its own trips against them, and the largest duration among the few "
-    "trips that reach a maximum is a second small aggregate. Two scans, no sort, same row as the window form.",
-    "Q2 longest trip, SQL": "The same join back to the maxima, ties kept; the only sort is the final order of the "
-    "winners. The coordinate tests are pushed into the Parquet reader.",
-    "Join back to the per-vendor maxima": "The other tie-keeping method: the per-vendor maxima (a hash aggregate, "
-    "checkpointed and size-checked before this plan is built) are broadcast and every task filters its own trips "
-    "against them. No exchange of trips, and rows tied at a maximum never meet in one task.",
+    "Q2 longest trip": "The least of all per-vendor maxima is a scalar subquery (a hash aggregate); the second scan "
+    "drops trips below it, first by a cheap bound of the distance. Equal distances combine in their tasks, and the largest "
+    "distance of each vendor with its longest duration is a second small aggregate. Lazy, two scans, no sort, no join, same "
+    "row as the window form.",
+    "Q2 longest trip, SQL": "One SQL text: the maxima, the trips not below the least of them, and their join, ties kept. "
+    "A sort-merge join of what is left: no broadcast from an estimate. The coordinate tests are pushed into the Parquet "
+    "reader.",
+    "Join back to the per-vendor maxima": "The same in the DataFrame API: few trips are left to shuffle and sort.",
     "Q3 same borough": "Trips are counted per (pickup id, drop-off id) first, so the lookup joins a few hundred "
     "counted pairs; the cross-role borough equality is a second join key. The trips cross the network only as "
     "per-task partial counts.",
     "Q3 same borough, lookup above the broadcast bound": "The same plan with sort-merge joins of the counted pairs.",
     "Q4 night trips": "Two pruned columns; the hour test cannot be pushed into Parquet (a function of the column), "
     "so it runs right after the scan. Partial count per vendor.",
+    "Q4 night trips, converted table": "The stored pickup hour: the test reaches the Parquet reader, which skips the row "
+    "groups of the day, as the files are clustered and sorted by the hour.",
     "Q5 top zone pairs": "Counted id pairs joined to the lookup for both roles, zone inequality as a join residual, "
     "then `TakeOrderedAndProject(10)`: a per-task top 10 and a 10-row merge, no global sort.",
-    "Q6 revenue by borough": "Nine pruned columns, eight partial sums per pickup id and task; the lookup joins at most "
-    "one row per zone.",
+    "Q6 revenue by borough": "Nine pruned columns, eight exact partial sums (integers in parts) per pickup id and task; the "
+    "lookup joins at most one row per zone.",
     "Trip view (line items x orders x customers x suppliers)": "The only large shuffle in the project: line items "
     "and (order, customer nation) pairs are hash-partitioned by order key and sort-merge joined (`merge` hint: both "
     "sides grow with the data). Everything a line item decides alone is derived before that shuffle: the supplier "
@@ -73,6 +77,7 @@ def main() -> None:
     args = [a for a in sys.argv[1:] if not a.startswith("--")]
     markdown = "--markdown" in sys.argv
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    from farebox.functions.temporal import hour_name, with_stored_hour
     from farebox.operators.argmax import argmax_ties
     from farebox.plans import q1, q2
     from farebox.plans import zones as zq
@@ -86,6 +91,8 @@ def main() -> None:
     loc = spark.read.parquet(write_parquet(tables.loc_trips(spark, sf_dir), scratch_path(spark, "loc")))
     zones = spark.read.parquet(write_parquet(tables.zones(spark, sf_dir), scratch_path(spark, "zones"), files=1))
 
+    hours = spark.read.parquet(write_parquet(with_stored_hour(geo, PICKUP), scratch_path(spark, "hours"), cluster=hour_name(PICKUP)))
+
     def big_lookup_q3():
         spark.conf.set("farebox.broadcast.maxRows", "1")
         try:
@@ -103,6 +110,7 @@ def main() -> None:
         "Q3 same borough": lambda: zq.same_borough(loc, zones),
         "Q3 same borough, lookup above the broadcast bound": big_lookup_q3,
         "Q4 night trips": lambda: zq.night_trips_sql(spark, geo),
+        "Q4 night trips, converted table": lambda: zq.night_trips_sql(spark, hours),
         "Q5 top zone pairs": lambda: zq.top_zone_pairs(loc, zones),
         "Q6 revenue by borough": lambda: zq.revenue_by_borough(loc, zones),
         "Trip view (line items x orders x customers x suppliers)": lambda: tables.loc_trips(spark, sf_dir),
