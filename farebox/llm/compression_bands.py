@@ -14,9 +14,10 @@ doubling of the length, the whole ratio of trusted texts follows a line in the
 logarithm of the length, and the band is ``BAND_SIGMAS`` robust standard
 deviations around it; the chunk band lies as far around the median chunk.  A
 doubling with fewer than ``MIN_TRUSTED`` trusted texts keeps the fixed wide
-limits ``WHOLE_BANDS``, which no prose leaves.  The fit reads a bounded sample,
-the first ``FIT_ROWS`` trusted ids in the order of a hash, and only ratios
-reach the driver, never a text.
+limits ``WHOLE_BANDS``, which no prose leaves.  The fit reads all trusted
+texts.  Spark counts their ratios by small cells of length and ratio, with the
+exact means of each cell; only these counts reach the driver, and the number
+of cells is bounded by their widths, not by the texts.
 
 Defined results: a null or empty text has no words and fails the base rules;
 texts of any length are compressed whole; rows with equal ids or equal texts
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.llm.common import bounded, fresh_name, materialise, struct_array, utf8_values
+from farebox.operators.joins import fits_broadcast
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -62,10 +64,16 @@ WHOLE_BANDS = [
 CHUNK_BYTES = 1024
 CHUNK_BAND = (0.38, 0.85)
 MAX_OUTSIDE_SHARE = 0.2
-FIT_ROWS = 20_000
 MIN_TRUSTED = 60
 BAND_SIGMAS = 4.0
 
+# The fit holds logarithms of lengths and ratios as whole multiples of 2**-SCALE_BITS,
+# whose sums are exact in any order, and counts them by cells of
+# 2**-LENGTH_BITS and 2**-RATIO_BITS.
+SCALE_BITS = 24
+LENGTH_BITS = 4
+RATIO_BITS = 12
+
 RESULT_TYPE = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     + [T.StructField(n, T.DoubleType()) for n in ("whole_ratio", "outside_share")]
@@ -148,60 +156,74 @@ def new_compressor() -> zstandard.ZstdCompressor:
 
 
 # ---------------------------------------------------------------- fit
-def _robust_line(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+def _middle_and_sigma(values: np.ndarray, counts: np.ndarray, least: float) -> tuple[float, float]:
+    """Median and robust standard deviation of values that occur ``counts`` times."""
+    def median(x: np.ndarray) -> float:
+        order = np.argsort(x, kind="stable")
+        return float(x[order][np.searchsorted(np.cumsum(counts[order]), counts.sum() / 2)])
+
+    middle = median(values)
+    return middle, max(1.4826 * median(np.abs(values - middle)), least)
+
+
+def _robust_line(x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> tuple[float, float, float]:
     """Slope, level and robust standard deviation of the rest, without the rows far from a first line."""
     use = np.ones(len(x), dtype=bool)
     for _ in range(3):
-        slope, level = np.polyfit(x[use], y[use], 1) if np.ptp(x[use]) > 1e-9 else (0.0, float(np.median(y[use])))
+        slope, level = np.polyfit(x[use], y[use], 1, w=np.sqrt(counts[use])) if np.ptp(x[use]) > 1e-9 else (0.0, 0.0)
         rest = y - slope * x - level
-        middle = float(np.median(rest[use]))
-        sigma = max(1.4826 * float(np.median(np.abs(rest[use] - middle))), 1e-4)
+        middle, sigma = _middle_and_sigma(rest[use], counts[use], 2.0**-RATIO_BITS)
         use = np.abs(rest - middle) <= 4 * sigma
     return float(slope), float(level) + middle, sigma
 
 
-def _middle_and_sigma(values: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
-    """Median and robust standard deviation of values that occur ``counts`` times."""
-    def median(x: np.ndarray) -> float:
-        order = np.argsort(x)
-        return float(x[order][np.searchsorted(np.cumsum(counts[order]), counts.sum() / 2)])
-
-    middle = median(values)
-    return middle, max(1.4826 * median(np.abs(values - middle)), 1 / CHUNK_BYTES)
-
-
-def fit_bands(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = FIT_ROWS,
+def fit_bands(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int | None = None,
               sigmas: float = BAND_SIGMAS) -> Bands:
-    """Bands of the texts of ``docs`` whose ids are in ``trusted`` and that the base rules keep."""
-    chosen = (trusted.select(F.col(id_col).alias("_trusted")).where("_trusted IS NOT NULL").distinct()
-              .orderBy(F.xxhash64("_trusted"), "_trusted").limit(rows))
-    texts = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-        F.broadcast(chosen), F.col("_id") == F.col("_trusted")).select("_text")  # at most ``rows`` ids
+    """Bands of the texts of ``docs`` whose ids are in ``trusted`` and that the base rules keep; of all of
+    them, unless ``rows`` asks for the first ids in the order of a hash."""
+    chosen = trusted.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
+    if rows is not None:
+        chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    texts = bounded(docs).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = new_compressor()
         for batch in batches:
-            found = [(len(t), ratio_of(t, compressor), chunk_ratios(t, compressor)[0])
-                     for t in utf8_values(batch.column(0)) if t and not base_counts(t)[-1]]
-            sizes, wholes, chunks = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int64()), pa.array(wholes, pa.float64()),
-                                              pa.array(chunks, pa.list_(pa.float64()))], names=["n", "whole", "chunks"])
-
-    table = materialise(texts.mapInArrow(measure, "n long, whole double, chunks array<double>"), "bands-fit")
-    measured = table.select("n", "whole").toArrow().sort_by([("n", "ascending"), ("whole", "ascending")])  # at most rows a trusted id has
-    sizes, wholes = measured["n"].to_numpy(), measured["whole"].to_numpy()
-    doublings = np.array([int(n).bit_length() for n in sizes], dtype=int)
+            found = [(i, len(t), ratio_of(t, compressor), chunk_ratios(t, compressor)[0])
+                     for i, t in enumerate(utf8_values(batch.column(1))) if t and not base_counts(t)[-1]]
+            at, sizes, wholes, chunks = zip(*found) if found else ((), (), (), ())
+            scaled = [np.rint(np.array(v, dtype=float) * 2**SCALE_BITS).astype(np.int64) for v in (np.log2(np.array(sizes, dtype=float)), wholes)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at, pa.int64())), pa.array([n.bit_length() for n in sizes], pa.int32()),
+                 *map(pa.array, scaled), pa.array(chunks, pa.list_(pa.float64()))], names=["_id", "doubling", "x", "y", "chunks"])
+
+    # Few ids go to the texts; many meet the measured numbers, so that no text is shuffled.
+    small = fits_broadcast(chosen)
+    if small:
+        texts = texts.join(F.broadcast(chosen), "_id", "left_semi")
+    kind = T.StructType([texts.schema["_id"], T.StructField("doubling", T.IntegerType()), T.StructField("x", T.LongType()),
+                         T.StructField("y", T.LongType()), T.StructField("chunks", T.ArrayType(T.DoubleType()))])
+    measured = texts.mapInArrow(measure, kind)
+    if not small:
+        measured = measured.join(chosen.hint("merge"), "_id", "left_semi")
+    table = materialise(measured, "bands-fit")
+    cells = table.groupBy("doubling", F.shiftright("x", SCALE_BITS - LENGTH_BITS).alias("length"),
+                          F.shiftright("y", SCALE_BITS - RATIO_BITS).alias("ratio")).agg(
+        F.count("*").alias("n"), F.sum("x").alias("x"), F.sum("y").alias("y"))
+    found = cells.toArrow().sort_by([(c, "ascending") for c in ("doubling", "length", "ratio")])  # cells, not texts
+    doublings, counts, x, y = (found[c].to_numpy() for c in ("doubling", "n", "x", "y"))
+    x, y = x / counts / 2**SCALE_BITS, y / counts / 2**SCALE_BITS
     lines = {}
     for k in np.unique(doublings).tolist():
         own = doublings == k
-        if own.sum() >= MIN_TRUSTED:
-            slope, level, sigma = _robust_line(np.log2(sizes[own]), wholes[own])
+        if counts[own].sum() >= MIN_TRUSTED:
+            slope, level, sigma = _robust_line(x[own], y[own], counts[own])
             lines[k] = (slope, level, sigmas * sigma)
     # A chunk compresses to one of some thousand sizes.
     counted = table.select(F.explode("chunks").alias("r")).groupBy("r").count().orderBy("r").collect()
     chunk = CHUNK_BAND
     if sum(c["count"] for c in counted) >= MIN_TRUSTED:
-        middle, sigma = _middle_and_sigma(np.array([c["r"] for c in counted]), np.array([c["count"] for c in counted]))
+        middle, sigma = _middle_and_sigma(np.array([c["r"] for c in counted]), np.array([c["count"] for c in counted]), 1 / CHUNK_BYTES)
         chunk = (middle - sigmas * sigma, middle + sigmas * sigma)
     return Bands(lines, chunk)
 

@@ -142,3 +142,17 @@ def test_fit_does_not_depend_on_partitions_or_other_columns(spark):
     assert few.lines == {} and few.whole(3000) == cb.WHOLE_BANDS[4][1:]
     kept = {r.doc_id: r.kept for r in cb.quality_report(docs, fits[0]).collect()}
     assert sum(kept[i] for i in range(3, 400)) >= 0.97 * 397
+
+
+def test_fit_reads_every_trusted_text(spark):
+    """Ids that no document has take no one's place, however many; and few or many ids give the same bands."""
+    rng = random.Random(22)
+    docs = spark.createDataFrame([(i, prose(rng, rng.randint(60, 900)), "x") for i in range(300)], SCHEMA)
+    only, more = spark.range(300).withColumnRenamed("id", "doc_id"), spark.range(30_000).withColumnRenamed("id", "doc_id")
+    want = cb.fit_bands(docs, only)
+    assert want.lines and cb.fit_bands(docs, more) == want
+    spark.conf.set("farebox.broadcast.maxRows", "10")
+    try:
+        assert cb.fit_bands(docs, more) == want
+    finally:
+        spark.conf.unset("farebox.broadcast.maxRows")
