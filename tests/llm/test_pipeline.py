@@ -94,3 +94,18 @@ def test_empty_tables(spark):
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([], LABELS).write.parquet(f"{path}/labels.parquet")
     assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_bands_of_the_pipeline_read_every_trusted_text(spark, tables, monkeypatch):
+    """Labels that no document has, however many, take no trusted text's place in the fit."""
+    docs, labels = spark.read.parquet(f"{tables}/documents.parquet"), spark.read.parquet(f"{tables}/labels.parquet")
+    path = scratch_path(spark, "pipeline-labels")
+    docs.write.parquet(f"{path}/documents.parquet")
+    strangers = spark.range(1_000_000, 1_100_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    labels.unionByName(strangers).write.parquet(f"{path}/labels.parquet")
+    used = []
+    keep = compression_bands.keep_good
+    monkeypatch.setattr(compression_bands, "keep_good", lambda d, bands: used.append(bands) or keep(d, bands))
+    for sf_dir in (tables, path):
+        corpus_pipeline.quality_rules(spark, docs, sf_dir).count()
+    assert used[0].chunk != compression_bands.CHUNK_BAND and used[1] == used[0]
