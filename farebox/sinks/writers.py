@@ -40,9 +40,13 @@ def write_csv_single(df: DataFrame, path: str, header: bool = True, mode: str =
     return path
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
-    """CSV with a header, natural part count, overwrite by default."""
-    _csv_writer(df, mode, header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", compression: str = "none",
+              max_records_per_file: int = 0) -> str:
+    """CSV with a header, natural part count, overwrite by default; ``compression``
+    names a codec.  As a gzip part is read by one task, ``max_records_per_file``
+    (0: no bound) lets a writing task start further parts."""
+    writer = _csv_writer(df, mode, header).option("compression", compression)
+    writer.option("maxRecordsPerFile", str(max_records_per_file)).csv(path)
     return path
 
 

@@ -4,7 +4,9 @@ The CSV and text variants of the queries need files in the layout of the raw
 trip and zone files; these are written by Spark, in parallel, below the
 session's shared checkpoint folder, from the same views the Parquet variants
 read.  Each file is written once per application and input
-folder, and goes with the application's scratch data.
+folder, gzipped (the CSVs are several times as large as the tables they come
+from) in parts small enough that reading them stays parallel, and goes with
+the application's scratch data.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from farebox.sinks.writers import write_csv
 from farebox.sources import tables
 
 
+RECORDS_PER_PART = 250_000  # some 15 to 35 MB of lines
+
 # Paths of the files written so far, by scratch folder of the application.
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -28,7 +32,8 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     root = scratch_root(spark)
     key = (root, sf_dir.rstrip("/"), name)
     if key not in _WRITTEN:
-        _WRITTEN[key] = write_csv(build(), scratch_path(spark, name))
+        _WRITTEN[key] = write_csv(build(), scratch_path(spark, name), compression="gzip",
+                                  max_records_per_file=RECORDS_PER_PART)
     return _WRITTEN[key]
 
 

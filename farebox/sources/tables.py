@@ -109,8 +109,9 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                             "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     # Everything a line item decides on its own is derived before the big
     # shuffle: the supplier's nation (25 values, compresses well) replaces the
-    # supplier key, and the two one-letter flags become the money columns they
-    # set (fixed 8-byte slots instead of variable-length strings).
+    # supplier key, and the two one-letter flags become the bits of one number
+    # (a fixed 8-byte slot instead of variable-length strings), from which the
+    # money columns that they set are made after the join.
     lines = lookup_join(items, supplier.select("s_suppkey", "s_nationkey"),
                         F.col("l_suppkey") == F.col("s_suppkey")).select(
         "l_orderkey",
@@ -119,9 +120,8 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
         F.col("l_extendedprice").alias("fare_amount"),
         F.col("l_discount").alias("tip_amount"),
         F.col("l_tax").alias("tolls_amount"),
-        (F.col("l_linenumber") / F.lit(2.0)).alias("mta_tax"),
-        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double")).otherwise(F.lit(2.5)).alias("congestion_surcharge"),
-        F.when(F.col("l_linestatus") == "O", F.lit(1.75)).otherwise(F.lit(0.0)).alias("airport_fee"),
+        "l_linenumber",
+        (F.when(F.col("l_returnflag") == "R", 1).otherwise(0) + F.when(F.col("l_linestatus") == "O", 2).otherwise(0)).alias("flags"),
     )
     # Both sides grow with the data: always a shuffle (sort-merge) join, never
     # a broadcast picked from a low file-size estimate of the line items.  Where
@@ -139,9 +139,9 @@ def loc_trips_from(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
         "tip_amount",
         "tolls_amount",
         F.col("l_quantity").alias("extra"),
-        "mta_tax",
-        "congestion_surcharge",
-        "airport_fee",
+        (F.col("l_linenumber") / F.lit(2.0)).alias("mta_tax"),
+        F.when(F.col("flags") % 2 == 1, F.lit(None).cast("double")).otherwise(F.lit(2.5)).alias("congestion_surcharge"),
+        F.when(F.col("flags") >= 2, F.lit(1.75)).otherwise(F.lit(0.0)).alias("airport_fee"),
         (F.col("fare_amount") + F.col("tip_amount") + F.col("tolls_amount") + F.col("l_quantity")).alias("total_amount"),
     )
 

@@ -11,7 +11,7 @@ from farebox.plans import q1, q2
 from farebox.sinks import csv_to_parquet, run_scoped_path, write_csv_single, write_parquet, write_text
 from farebox.sources import rawfiles, tables
 from farebox.sources.csv import read_csv_inferred
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 
 
 def test_single_csv_keeps_sort_order_and_refuses_existing(spark, scratch):
@@ -157,3 +157,17 @@ def test_text_jobs_say_what_they_dropped(spark, scratch, capsys):
     printed = capsys.readouterr().out
     nulls = tables.geo_trips(spark, SF_SMALL).where("VendorID IS NULL").count()
     assert f"lines VendorID: no int: {nulls}\n" in printed and "lines kept: " in printed
+
+
+def test_raw_files_are_small_parts(spark, monkeypatch):
+    """The raw CSVs take under 40 bytes a row, and one writing task leaves several parts to read in parallel."""
+    monkeypatch.setattr(rawfiles, "RECORDS_PER_PART", 2_000)
+    rawfiles.forget(spark)
+    try:
+        for write, frame in ((rawfiles.write_geo_csv, tables.geo_trips), (rawfiles.write_loc_csv, tables.loc_trips)):
+            path, n = write(spark, SF_MID), frame(spark, SF_MID).count()
+            parts = [f"{path}/{f}" for f in os.listdir(path) if f.startswith("part-")]
+            assert len(parts) >= n / 2_000 and sum(map(os.path.getsize, parts)) < 40 * n
+            assert spark.read.csv(path, header=True).count() == n
+    finally:
+        rawfiles.forget(spark)
