@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ from farebox.llm.segment_encoding import drops_white_space, encode_column, load_
 PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u0148\u014a-\u017e]+")
 FEW = 8
 NO_RANK = np.int32((1 << 31) - 1)
+# Segments whose ids an encoder keeps for later calls, and the bytes of the longest.
+KNOWN_SEGMENTS = 400_000
+KNOWN_BYTES = 64
 
 RESULT_TYPE = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
                             T.StructField("decoded_sha256", T.StringType())])
@@ -94,6 +98,7 @@ class PairIndexBpe:
         self.token_of: list[bytes] = [b""] * self.size
         for token, i in [*self.vocab.items(), *self.special.items()]:
             self.token_of[i] = token.encode()
+        self._forget()
 
     @staticmethod
     def _pattern(pre_tokenizer: dict) -> regex.Pattern | None:
@@ -295,9 +300,33 @@ class PairIndexBpe:
                 owner.append(np.full(len(own), i, dtype=np.int64))
         return words, np.concatenate(owner)
 
+    def _forget(self) -> None:
+        self.known, self.known_ids = pa.array([], pa.string()), np.empty(0, dtype=np.int32)
+        self.known_sizes = np.empty(0, dtype=np.int64)
+
     def encode_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all segments (text without ASCII white space), one after the
-        other, and the number of ids of each segment."""
+        other, and the number of ids of each segment; short segments of earlier
+        calls are looked up."""
+        given = pa.array(segments, pa.string())
+        at = pc.fill_null(pc.index_in(given, value_set=self.known), -1).to_numpy().astype(np.int64)
+        fresh = np.flatnonzero(at < 0)
+        ids, sizes = self._encode_fresh([segments[i] for i in fresh.tolist()])
+        at[fresh] = len(self.known) + np.arange(len(fresh))
+        ids, sizes = np.concatenate([self.known_ids, ids]), np.concatenate([self.known_sizes, sizes])
+        begin, counts = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        short = pc.binary_length(given).to_numpy() <= KNOWN_BYTES
+        kept = fresh[short[fresh]]
+        if len(self.known) + len(kept) > KNOWN_SEGMENTS:  # full: go on with the segments of this call
+            self._forget()
+            kept = np.flatnonzero(short)[:KNOWN_SEGMENTS]
+        self.known = pa.concat_arrays([self.known, given.take(pa.array(kept))])
+        self.known_ids = np.concatenate([self.known_ids, take_runs(ids, begin[kept], counts[kept]).astype(np.int32)])
+        self.known_sizes = np.concatenate([self.known_sizes, counts[kept]])
+        return take_runs(ids, begin, counts), counts
+
+    def _encode_fresh(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_segments`` without looking up."""
         words, owner = self._words_of_all(segments)
         special = [k for k, w in enumerate(words) if w.__class__ is int]
         special_ids = [words[k] for k in special]

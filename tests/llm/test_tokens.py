@@ -144,3 +144,25 @@ def test_queries_on_the_small_tables(spark):
         ids = library.encode(t or "", add_special_tokens=False).ids
         assert got[i].n_tokens == len(ids)
         assert got[i].ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+
+
+def test_segments_of_earlier_calls_are_looked_up(monkeypatch):
+    """Ids do not depend on what an encoder has met; a segment met lately is not encoded again; the memory is bounded."""
+    import public_tokenizers
+
+    from farebox.llm import pair_index_bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(pair_index_bpe, "KNOWN_SEGMENTS", 50)
+    bpe, plain = pair_index_bpe.PairIndexBpe(path), pair_index_bpe.PairIndexBpe(path)
+    encoded = []
+    fresh = bpe._encode_fresh
+    monkeypatch.setattr(bpe, "_encode_fresh", lambda segments: encoded.extend(segments) or fresh(segments))
+    parts = [["the", "quick,", "\u00c9t\u00e9", "x" * 100], ["the", "x" * 100, "\u65e5\u672c", "the"], [f"w{i}a" for i in range(45)],
+             [f"w{i}a" for i in range(30, 120)], [], ["w31a", "the"]]
+    for part in parts:
+        ids, sizes = bpe.encode_segments(part)
+        want, want_sizes = plain._encode_fresh(part)
+        assert ids.tolist() == want.tolist() and sizes.tolist() == want_sizes.tolist()
+        assert len(bpe.known) == len(bpe.known_sizes) <= 50 and len(bpe.known_ids) == bpe.known_sizes.sum()
+    assert encoded.count("the") == 2 and encoded.count("x" * 100) == 2 and encoded.count("w31a") == 1
